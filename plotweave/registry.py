@@ -6,5 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from plotweave.operators import near
+from plotweave.sources.tables import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": lambda s, d: near.nearby(table(s, d, "nsi"), table(s, d, "structures"), table(s, d, "parcels")),
+}
 SQL: dict[str, str] = {}
