@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotweave.operators import near
+from plotweave.operators import impute, near
 from plotweave.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": lambda s, d: near.nearby(table(s, d, "nsi"), table(s, d, "structures"), table(s, d, "parcels")),
+    "p4_found": lambda s, d: impute.filled_cells(table(s, d, "structures")).select("record_id", "field"),
+    "p4_filled": lambda s, d: impute.filled_table(table(s, d, "structures")),
+}
+SQL: dict[str, str] = {
+    "p4_found": r"""
+WITH s AS (
+  SELECT record_id, TRY_CAST(regexp_extract(CBFIPS, '^\s*\+?([0-9]+)(\.0*)?\s*$', 1) AS BIGINT) AS b,
+    coalesce(NOT isnan(NumStories) AND NumStories BETWEEN 1 AND 200, false) AS u1,
+    coalesce(OccupantCountMethod IN ('nsi_max_2am_2pm_emp_students', 'num_units_x_census_household_size'), false) AS u3,
+    coalesce(NOT isnan(OccupantCount) AND OccupantCount BETWEEN 0 AND 50000, false) AND (OccupantCount <> 0 OR u3) AS u2
+  FROM structures
+), cells AS (
+  SELECT record_id, b, 'NumStories' AS field, u1 AS u FROM s WHERE b IS NOT NULL
+  UNION ALL SELECT record_id, b, 'OccupantCount', u2 FROM s WHERE b IS NOT NULL
+  UNION ALL SELECT record_id, b, 'OccupantCountMethod', u3 FROM s WHERE b IS NOT NULL
+)
+SELECT record_id, field FROM cells c WHERE NOT u AND EXISTS (SELECT 1 FROM cells d WHERE d.b = c.b AND d.field = c.field AND d.u)""",
 }
-SQL: dict[str, str] = {}
