@@ -6,15 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotweave.operators import impute, near
+from plotweave.operators import drift, impute, near
 from plotweave.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": lambda s, d: near.nearby(table(s, d, "nsi"), table(s, d, "structures"), table(s, d, "parcels")),
+    "p3_found": lambda s, d: drift.changes(table(s, d, "parcel_files"), table(s, d, "parcel_raw")).select("file_id", "field", "drift"),
+    "p3_report": lambda s, d: drift.changes(table(s, d, "parcel_files"), table(s, d, "parcel_raw")),
+    "p3_parcels": lambda s, d: drift.unified(table(s, d, "parcel_files"), table(s, d, "parcel_raw")),
     "p4_found": lambda s, d: impute.filled_cells(table(s, d, "structures")).select("record_id", "field"),
     "p4_filled": lambda s, d: impute.filled_table(table(s, d, "structures")),
 }
 SQL: dict[str, str] = {
+    # independent of the matcher: the names seen in the test feeds, by hand
+    "p3_found": r"""
+WITH v AS (
+  SELECT r.file_id, u.key AS key, json_type(r.payload, '$."' || u.key || '"') AS t,
+    lower(regexp_replace(u.key, '[^A-Za-z0-9]', '', 'g')) AS n
+  FROM parcel_raw r, unnest(json_keys(r.payload)) AS u(key)
+), k AS (
+  SELECT file_id, key,
+    CASE WHEN n IN ('acct', 'apn', 'parcelid', 'parid', 'pin', 'strap', 'taxid', 'foliono', 'mapblklot', 'propid') THEN 'ParcelID'
+         WHEN n IN ('addr', 'fulladdress', 'locline1', 'physaddr', 'premise', 'propertyaddress', 'siteaddress', 'situsaddr') THEN 'ParcelAddress'
+         WHEN n IN ('assessed', 'assessedvalue', 'avtotal', 'certval', 'jv', 'marketvalue', 'totalvalue', 'totalappraisal') THEN 'ParcelAssessedValue'
+         WHEN n IN ('actyrblt', 'builtyear', 'constr', 'yearbuilt', 'yrbuilt', 'effdtbld') THEN 'ParcelYearBuilt' END AS field,
+    CASE WHEN t IN ('OBJECT', 'ARRAY') THEN 'object' WHEN t IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT') THEN 'number' ELSE 'text' END AS kind
+  FROM v WHERE t <> 'NULL'
+), c AS (
+  SELECT file_id, field, key, kind, count(*) AS c FROM k WHERE field IS NOT NULL GROUP BY ALL
+), held AS (
+  SELECT file_id, field, any_value(key) AS key, arg_min(kind, (-c, kind)) AS kind FROM c GROUP BY ALL
+), line AS (
+  SELECT f.file_id, x.field, h.key, h.kind,
+    lag(h.key) OVER w AS key0, lag(h.kind) OVER w AS kind0, row_number() OVER w AS nth
+  FROM parcel_files f CROSS JOIN (VALUES ('ParcelID'), ('ParcelAddress'), ('ParcelAssessedValue'), ('ParcelYearBuilt')) x(field)
+  LEFT JOIN held h ON h.file_id = f.file_id AND h.field = x.field
+  WINDOW w AS (PARTITION BY f.feed, x.field ORDER BY f.vintage)
+)
+SELECT file_id, field, 'added' AS drift FROM line WHERE nth > 1 AND key0 IS NULL AND key IS NOT NULL
+UNION ALL SELECT file_id, field, 'removed' FROM line WHERE nth > 1 AND key0 IS NOT NULL AND key IS NULL
+UNION ALL SELECT file_id, field, 'renamed' FROM line WHERE nth > 1 AND key0 <> key
+UNION ALL SELECT file_id, field, 'retyped' FROM line WHERE nth > 1 AND kind0 <> kind""",
     "p4_found": r"""
 WITH s AS (
   SELECT record_id, TRY_CAST(regexp_extract(CBFIPS, '^\s*\+?([0-9]+)(\.0*)?\s*$', 1) AS BIGINT) AS b,
