@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotweave.llm import best_record, canonical, tokens
+from plotweave.llm import best_record, canonical, entity_match, tokens
 from plotweave.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": lambda s, d: best_record.best_cells(table(s, d, "structures")),
     "p1_records": lambda s, d: best_record.best_records(table(s, d, "structures")),
+    "p5_found": lambda s, d: entity_match.matches(table(s, d, "structures")).select("microsoftid", "overtureid"),
+    "p5_matches": lambda s, d: entity_match.matches(table(s, d, "structures")),
     "p6_found": lambda s, d: canonical.typed_rows(table(s, d, "structures"), table(s, d, "structure_types")),
     "p6_report": lambda s, d: canonical.type_report(table(s, d, "structures"), table(s, d, "structure_types")),
     "p7_ids": lambda s, d: tokens.encode_corpus(table(s, d, "documents")),
