@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotweave.llm import best_record, canonical, entity_match, tokens
+from plotweave.llm import best_record, canonical, entity_match, leakage, tokens
 from plotweave.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": lambda s, d: canonical.typed_rows(table(s, d, "structures"), table(s, d, "structure_types")),
     "p6_report": lambda s, d: canonical.type_report(table(s, d, "structures"), table(s, d, "structure_types")),
     "p7_ids": lambda s, d: tokens.encode_corpus(table(s, d, "documents")),
+    "p8_found": lambda s, d: leakage.leaks(table(s, d, "documents"), table(s, d, "eval_items")),
+    "p8_report": lambda s, d: leakage.leak_report(table(s, d, "documents"), table(s, d, "eval_items")),
 }
 
 _KEY = r"lower(regexp_replace(StructureID, '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g'))"
