@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotweave.llm import best_record, canonical, entity_match, leakage, tokens
+from plotweave.llm import best_record, canonical, entity_match, leakage, sentences, tokens
 from plotweave.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_report": lambda s, d: canonical.type_report(table(s, d, "structures"), table(s, d, "structure_types")),
     "p7_ids": lambda s, d: tokens.encode_corpus(table(s, d, "documents")),
     "p8_found": lambda s, d: leakage.leaks(table(s, d, "documents"), table(s, d, "eval_items")),
+    "p9_found": lambda s, d: sentences.sentence_units(table(s, d, "documents")),
     "p8_report": lambda s, d: leakage.leak_report(table(s, d, "documents"), table(s, d, "eval_items")),
 }
 
