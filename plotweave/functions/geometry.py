@@ -199,7 +199,7 @@ def representative_point(blobs: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """A point inside: the middle of the widest span half-way up; the centre of
     the box for rectangles."""
     for s in blobs:
-        yield pd.DataFrame([overlay.inner_point(g) or (None, None) for g in overlay.polygons(s.tolist())], columns=["x", "y"], index=s.index, dtype=float)
+        yield pd.DataFrame([(g and overlay.inner_point(g)) or (None, None) for g in overlay.polygons(s.tolist())], columns=["x", "y"], index=s.index, dtype=float)
 
 
 @F.pandas_udf(T.BinaryType())

@@ -192,6 +192,11 @@ def repaired(region: Region) -> Region:
     return [r for r in rings if signed_area(r) != 0]
 
 
+def united(regions: Sequence[Region]) -> Region:
+    """Points in any of the regions."""
+    return _build([repaired(r) for r in regions], any)
+
+
 def convex(region: Region) -> bool:
     if len(region) != 1:
         return False

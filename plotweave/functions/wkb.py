@@ -145,9 +145,9 @@ def read(blobs: Sequence[bytes | None]) -> Rings:
     order = np.argsort(geoms, kind="stable")
     if len(bad):
         order = order[~np.isin(geoms[order], bad)]
-    take = np.concatenate([np.arange(start[r], start[r + 1]) for r in order]) if len(bad) or not (np.diff(geoms) >= 0).all() else None
-    if take is not None:
-        pts, sizes, geoms = pts[take.astype(np.int64)] if len(order) else pts[:0], sizes[order], geoms[order]
+    if len(bad) or not (np.diff(geoms) >= 0).all():
+        pts = pts[spans(start[order], start[order + 1])[1]]
+        sizes, geoms = sizes[order], geoms[order]
         start = np.r_[0, np.cumsum(sizes)]
     return Rings(pts, start.astype(np.int64), geoms.astype(np.int64), len(blobs))
 

@@ -273,7 +273,7 @@ def unified(files: DataFrame, raw: DataFrame) -> DataFrame:
     become numbers; what can't be read becomes NULL.
     """
     keys = correspondences(raw).groupBy("file_id").agg(*[F.max(F.when(F.col("field") == f, F.col("key"))).alias(f"k_{f}") for f in FIELDS])
-    rows = raw.join(keys, "file_id", "left").withColumn("m", F.from_json("payload", "map<string,string>"))
+    rows = raw.select("row_id", "file_id", "payload").join(keys, "file_id", "left").withColumn("m", F.from_json("payload", "map<string,string>"))
     at = {f: F.try_element_at(F.col("m"), F.col(f"k_{f}")) for f in FIELDS}
     street = F.concat_ws(" ", F.get_json_object(at["ParcelAddress"], "$.no"), F.get_json_object(at["ParcelAddress"], "$.street"))
     address = F.when(at["ParcelAddress"].startswith("{"), street).otherwise(at["ParcelAddress"])

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotweave.config import PARCEL_ALIASES, PARCEL_COLUMNS, PARCEL_NUMBERS
+from plotweave.config import PARCEL_ALIASES, PARCEL_COLUMNS, PARCEL_NUMBERS, PipelineConfig, stable_hash
 from plotweave.functions import geometry as g
 from plotweave.functions.scalars import field_name, safe_number
-from plotweave.schema import PARCEL, project
+from plotweave.schema import PARCEL, empty, project
+from plotweave.session import cut
+from plotweave.sources import remote
+from plotweave.sources.attributes import read_vector
 
 
 def snake(name: str) -> str:
@@ -45,3 +49,49 @@ def standardize(raw: DataFrame, source: Mapping[str, Any], name: str) -> DataFra
     zone = g.frame_zone(df)
     df = df.crossJoin(F.broadcast(zone)).withColumn("ParcelArea_m2", g.utm_area(F.col("rings"), F.col("zone")))  # one row
     return project(df.drop("rings", "bbox", "zone"), PARCEL)
+
+
+def read_arcgis(spark: SparkSession, source: Mapping[str, Any], bounds: tuple) -> DataFrame:
+    """Features of a service as a table: a column per property, WKB geometry."""
+    remote.register(spark)
+    options = {k: str(v) for k, v in source.items() if k in ("url", "where", "out_fields", "page_size", "timeout", "transport", "pages_per_task")}
+    raw = spark.read.format("arcgis_features").options(**options, bounds=",".join(map(str, bounds))).load()
+    return features_table(raw)
+
+
+def features_table(raw: DataFrame) -> DataFrame:
+    p = raw.withColumn("p", F.from_json("properties", "map<string,string>"))
+    names = sorted(r[0] for r in p.select(F.explode(F.map_keys("p"))).distinct().collect())  # field names of one layer
+    return p.select(*[F.try_element_at(F.col("p"), F.lit(n)).alias(n) for n in names if n != "geometry"], g.encode(g.geojson_rings(F.col("geometry"))).alias("geometry"))
+
+
+def load(spark: SparkSession, source: Mapping[str, Any] | None, name: str, slug: str, bounds: tuple, boundary: bytes, config: PipelineConfig) -> DataFrame:
+    """Parcels of a city. A path wins over a url; a missing file or any failure
+    of a service gives an empty table. Answers of a service are kept under the
+    slug and a digest of the source, so a changed source is read anew."""
+    if not config.use_parcels or source is None:
+        return empty(spark, PARCEL)
+    if source.get("path"):
+        path = Path(source["path"]).expanduser()
+        if not path.exists():
+            print(f"parcels skipped: no file at {path}")
+            return empty(spark, PARCEL)
+        raw = read_vector(spark, str(path))
+        return standardize(raw.withColumn("geometry", g.clip(F.col("geometry"), boundary)), source, name)
+    if not source.get("url"):
+        return empty(spark, PARCEL)
+    kept = config.raw_dir / f"parcels_{slug}_{stable_hash(dict(source))}.parquet"
+    if kept.exists():
+        return spark.read.parquet(str(kept))
+    if not config.download_missing:
+        return empty(spark, PARCEL)
+    try:
+        raw = cut(read_arcgis(spark, source, bounds))
+    except Exception as e:  # the source is optional; pages already read are dropped
+        print(f"parcels skipped: {e}")
+        return empty(spark, PARCEL)
+    out = standardize(raw.withColumn("geometry", g.clip(F.col("geometry"), boundary)), source, name)
+    if config.cache_remote_parcels and not out.isEmpty():
+        out.write.mode("overwrite").parquet(str(kept))
+        return spark.read.parquet(str(kept))
+    return out
