@@ -207,6 +207,9 @@ def correspondences(raw: DataFrame) -> DataFrame:
     """file_id, field, key, kind of every canonical field a file holds."""
     names = ["key", "held", *[f"k_{k}" for k in KINDS], *[f"s_{s}" for s in SHAPES], "sample"]
     files = profiles(raw).where("held > 0").groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("columns"))
+    # profiles are small and matching them isn't: a fixed number of tasks, which adaptive execution leaves alone
+    spark = raw.sparkSession
+    files = files.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), F.xxhash64("file_id"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flood = Flooding()
