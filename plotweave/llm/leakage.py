@@ -47,7 +47,7 @@ _LOOKALIKE = str.maketrans({
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,80}>")
 _ESCAPE = re.compile(r"\\(u[0-9a-fA-F]{4}|[nrt\"'\\/])")
 _UNSEEN = re.compile("[\u00ad\u200b-\u200f\u2060-\u2064\ufeff\u034f\u061c\u180e]")
-_WORD = re.compile(r"[^\W_]+")
+_WORD = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W_\u3040-\u30ff\u3400-\u9fff]+")  # unspaced scripts: letter by letter
 _ASCII_WORD = re.compile(r"[a-z0-9]+")
 
 

@@ -203,7 +203,10 @@ def candidates(s: str, after: str = "") -> list[Candidate]:
 
     def greek(i: int) -> bool:
         """The last letter before ``i`` is Greek: its question mark is ``;``."""
-        return next((script(ch) == "greek" for ch in reversed(s[max(0, i - 40) : i]) if ch.isalpha()), False)
+        return last_script(i) == "greek"
+
+    def last_script(i: int) -> str:
+        return next((script(ch) for ch in reversed(s[max(0, i - 40) : i]) if ch.isalpha()), "none")
 
     def add(first: int, end: int, resume: int, mark: str, closed: str, lead: str) -> None:
         c = Candidate()
@@ -212,7 +215,7 @@ def candidates(s: str, after: str = "") -> list[Candidate]:
         last = resume >= len(s)
         c.next, c.shape = token_after(after, 0) if last else token_after(s, resume)
         c.open = inside(end)
-        c.script = script(s[first - 1]) if first else "none"
+        c.script = last_script(first)
         f = "" if last else s[resume]
         c.follow = "stop" if f in ",;:—–-،、，；：·)]" and f else "go"
         c.long = len(s)
@@ -221,7 +224,7 @@ def candidates(s: str, after: str = "") -> list[Candidate]:
     for m in _MARK.finditer(s):
         a, b = m.span()
         run = m[0]
-        if run[0] in ";;" and not (a and script(s[a - 1]) == "greek"):
+        if run[0] in ";;" and not greek(a):
             continue
         j, closed, lead = b, "", ""
         while j < len(s):
@@ -346,7 +349,9 @@ def train(cells: list[str]) -> MaxEnt:
     for c in inner:
         p, n = (c.prev, c.mark), c.next
         odd = mids[p] >= OFTEN and ends[p] <= SELDOM * mids[p] and c.prev not in ("<num>", "<mix>")
-        odd_next = follows[n] >= OFTEN and begins[n] <= SELDOM * follows[n]
+        # a capital behind a plain word is no reporting word; after a number it may be a month
+        telling = not c.shape.startswith("upper") or c.prev == "<num>" or c.closed == "quote"
+        odd_next = telling and follows[n] >= OFTEN and begins[n] <= SELDOM * follows[n]
         if c.open or c.follow == "stop" or c.shape.startswith("lower") or odd or odd_next:
             rows.append(c.features())
             labels.append(0)
