@@ -55,21 +55,27 @@ def within(x: Column, y: Column, rings: Column) -> Column:
     return (n % 2 == 1) & ~on
 
 
-def _shoelace(r: Column, px, py) -> Column:
-    """Signed area of one ring under a projection of its vertices, taken from
-    its first vertex (large coordinates would cost digits)."""
-    q = F.transform(r, lambda p: F.struct(px(p).alias("x"), py(p).alias("y")))
-    x, y = (lambda i: F.get(q, i)["x"] - F.get(q, F.lit(0))["x"]), (lambda i: F.get(q, i)["y"] - F.get(q, F.lit(0))["y"])
-    return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.size(r) - 1, F.lit(1))), F.lit(0.0),
-        lambda a, i: a + F.coalesce(x(i - 1) * y(i) - x(i) * y(i - 1), F.lit(0.0)),
-    ) / 2
-
-
-def area(rings: Column, px=lambda p: p["x"], py=lambda p: p["y"]) -> Column:
+def _shoelace(points: Column) -> Column:
+    """Signed area of one ring, one pass; taken from its first vertex (large
+    coordinates would cost digits)."""
+    def number(c: Column, n: str) -> Column:
+        return c.cast("double").alias(n)
+
+    nothing = F.lit(None)
+    start = F.struct(number(F.lit(0), "s"), number(nothing, "x0"), number(nothing, "y0"), number(nothing, "x"), number(nothing, "y"))
+
+    def step(a: Column, p: Column) -> Column:
+        x, y = p["x"] - F.coalesce(a["x0"], p["x"]), p["y"] - F.coalesce(a["y0"], p["y"])
+        cross = F.coalesce(a["x"] * y - x * a["y"], F.lit(0.0))
+        return F.struct(number(a["s"] + cross, "s"), number(F.coalesce(a["x0"], p["x"]), "x0"), number(F.coalesce(a["y0"], p["y"]), "y0"), number(x, "x"), number(y, "y"))
+
+    return F.aggregate(points, start, step, lambda a: a["s"] / 2)
+
+
+def area(rings: Column, projected=lambda ring: ring) -> Column:
     """Planar area. Rings that turn like the first add, others (holes) subtract,
     as writers wind holes against their outer ring."""
-    signed = F.transform(rings, lambda r: _shoelace(r, px, py))
+    signed = F.transform(rings, lambda r: _shoelace(projected(r)))
     return F.abs(F.aggregate(signed, F.lit(0.0), lambda a, v: a + v))
 
 
@@ -82,25 +88,42 @@ def utm_zone(lon: Column) -> Column:
     return F.least(F.greatest(F.floor((lon + 180) / 6) + 1, F.lit(1)), F.lit(60)).cast("int")
 
 
+def utm_points(points: Column, zone: Column) -> Column:
+    """Points (x: longitude, y: latitude) as easting and northing in metres
+    (northern false origin). Each step of the series is an array of its own, so
+    no part is computed twice."""
+    def start(p: Column) -> Column:
+        phi, lam = F.radians(p["y"]), F.radians(p["x"] - (zone * 6 - 183))
+        t = F.sinh(F.atanh(F.sin(phi)) - _E * F.atanh(_E * F.sin(phi)))
+        return F.struct(t.alias("t"), F.cos(lam).alias("c"), F.sin(lam).alias("s"))
+
+    def angles(q: Column) -> Column:
+        return F.struct(F.atan2(q["t"], q["c"]).alias("xi"), F.asinh(q["s"] / F.sqrt(q["t"] * q["t"] + q["c"] * q["c"])).alias("eta"))
+
+    def series(q: Column) -> Column:
+        east, north = q["eta"], q["xi"]
+        for j, a in ((2, _A1), (4, _A2)):
+            east = east + a * F.cos(j * q["xi"]) * F.sinh(j * q["eta"])
+            north = north + a * F.sin(j * q["xi"]) * F.cosh(j * q["eta"])
+        return F.struct((500000 + _SCALE * _RADIUS * east).alias("x"), (_SCALE * _RADIUS * north).alias("y"))
+
+    return F.transform(F.transform(F.transform(points, start), angles), series)
+
+
 def utm(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
-    """Easting and northing in metres (northern false origin)."""
-    phi, lam = F.radians(lat), F.radians(lon - (zone * 6 - 183))
-    t = F.sinh(F.atanh(F.sin(phi)) - _E * F.atanh(_E * F.sin(phi)))
-    xi, eta = F.atan2(t, F.cos(lam)), F.asinh(F.sin(lam) / F.sqrt(t * t + F.cos(lam) * F.cos(lam)))
-    east, north = eta, xi
-    for j, a in ((1, _A1), (2, _A2)):
-        east = east + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        north = north + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return 500000 + _SCALE * _RADIUS * east, _SCALE * _RADIUS * north
+    """Easting and northing of one point."""
+    p = F.get(utm_points(F.array(F.struct(lon.alias("x"), lat.alias("y"))), zone), F.lit(0))
+    return p["x"], p["y"]
 
 
 def utm_area(rings: Column, zone: Column) -> Column:
     """Area in square metres in a UTM zone."""
-    return area(rings, lambda p: utm(p["x"], p["y"], zone)[0], lambda p: utm(p["x"], p["y"], zone)[1])
+    return area(rings, lambda ring: utm_points(ring, zone))
 
 
 def frame_zone(df: DataFrame, box: str = "bbox") -> DataFrame:
-    """One row ``zone``: the UTM zone of the frame's middle longitude."""
+    """One row ``zone``, for use as a scalar subquery: the UTM zone of the
+    frame's middle longitude."""
     b = F.col(box)
     return df.agg(utm_zone((F.min(b["xmin"]) + F.max(b["xmax"])) / 2).alias("zone"))
 

@@ -33,6 +33,14 @@ def inner_points(df: DataFrame, key: str = "StructureID") -> DataFrame:
     return df.select(key, p.alias("p")).select(key, F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
+def shapes_of(df: DataFrame, key: str = "StructureID") -> DataFrame:
+    """key, rings, bbox and representative point (x, y): what the joins need,
+    decoded once."""
+    p = g.representative_point("geometry")
+    out = df.select(key, g.decode("geometry").alias("rings"), p.alias("p"))
+    return out.select(key, "rings", g.bbox(F.col("rings")).alias("bbox"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+
+
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row per key in a total order, by a combinable ``min``: a key
     that holds many rows is reduced before the shuffle."""
@@ -72,12 +80,14 @@ def merge_footprints(overture: DataFrame, microsoft: DataFrame, add_unmatched: b
     return overture.unionByName(microsoft.join(covered, "StructureID", "left_anti"))
 
 
-def attach_osm(base: DataFrame, osm: DataFrame, cell: float = CELL_DEG) -> DataFrame:
+def attach_osm(base: DataFrame, osm: DataFrame, cell: float = CELL_DEG, shapes: DataFrame | None = None) -> DataFrame:
     """Attributes of the first tag polygon that holds the base's
-    representative point; ties go to the lowest OSMID."""
+    representative point; ties go to the lowest OSMID. ``shapes`` (of
+    ``shapes_of``) spares decoding a base that has been attached to before."""
     attributes = {c: t for c, t in OSM.items() if c != "geometry"}
     polygons = with_rings(project(osm, OSM)).drop("geometry")
-    pairs = points_in_polygons(inner_points(base), polygons, cell)
+    points = inner_points(base) if shapes is None else shapes.select("StructureID", "x", "y")
+    pairs = points_in_polygons(points, polygons, cell)
     first = first_per_key(pairs.select("StructureID", *attributes), "StructureID", [F.col("OSMID").isNull(), F.length("OSMID"), F.col("OSMID")])
     return coalesce_onto(base, first, "StructureID", attributes)
 
@@ -99,22 +109,23 @@ def aggregate_inventory(joined: DataFrame, key: str = "StructureID") -> DataFram
     )
 
 
-def attach_inventory(base: DataFrame, nsi: DataFrame, cell: float = CELL_DEG) -> DataFrame:
+def attach_inventory(base: DataFrame, nsi: DataFrame, cell: float = CELL_DEG, shapes: DataFrame | None = None) -> DataFrame:
     """Inventory points (x, y) in base polygons, reduced per structure; a
     point in overlapping footprints counts in each."""
     points = ensure_columns(nsi, NSI)
     if "ordinal" not in points.columns:
         points = points.withColumn("ordinal", F.struct(F.length("fd_id"), F.col("fd_id")))
-    polygons = with_rings(base.select("StructureID", "geometry")).drop("geometry")
+    polygons = with_rings(base.select("StructureID", "geometry")).drop("geometry") if shapes is None else shapes.select("StructureID", "rings", "bbox")
     joined = points_in_polygons(points.select(*NSI, "ordinal", "x", "y"), polygons, cell)
     return coalesce_onto(base, aggregate_inventory(joined.select("StructureID", *NSI, "ordinal")), "StructureID", NSI_ATTACHED)
 
 
-def attach_parcels(base: DataFrame, parcels: DataFrame, cell: float = CELL_DEG) -> DataFrame:
+def attach_parcels(base: DataFrame, parcels: DataFrame, cell: float = CELL_DEG, shapes: DataFrame | None = None) -> DataFrame:
     """The smallest parcel around the representative point, areas unknown
     last, then the lower ParcelID."""
     polygons = with_rings(project(parcels, PARCEL)).drop("geometry")
-    pairs = points_in_polygons(inner_points(base), polygons, cell)
+    points = inner_points(base) if shapes is None else shapes.select("StructureID", "x", "y")
+    pairs = points_in_polygons(points, polygons, cell)
     columns = [c for c in PARCEL if c != "geometry"]
     first = first_per_key(pairs.select("StructureID", *columns), "StructureID", [nulls_last(F.col("ParcelArea_m2")), F.col("ParcelID").isNull(), F.col("ParcelID")])
     first = first.withColumn("ParcelMatchMethod", F.when(F.col("ParcelSource").isNotNull(), "representative_point_within"))

@@ -137,24 +137,30 @@ def pairs_within(v: np.ndarray, r: float, bucket: int = 16) -> tuple[np.ndarray,
 _NUM = r"([-+]?[0-9]*[.]?[0-9]+(?:[eE][-+]?[0-9]+)?)"
 
 
-def point_of(c: Column) -> tuple[Column, Column]:
-    """Longitude and latitude of a point written as GeoJSON geometry or feature,
-    WKT or EWKT; NULL when it is empty, malformed or off the globe."""
-    inner = F.coalesce(F.get_json_object(c, "$.geometry.coordinates"), F.get_json_object(c, "$.coordinates"))
-    json = F.regexp_extract_all(inner, F.lit(_NUM), F.lit(1))
-    text = F.upper(c)
-    wkt = rf"^\s*(?:SRID\s*=\s*[0-9]+\s*;)?\s*POINT\s*(?:Z|M|ZM)?\s*\(\s*{_NUM}\s+{_NUM}(?:\s+[^)]*)?\)\s*$"
-    is_wkt = text.rlike(wkt)
-    lon = F.when(is_wkt, F.regexp_extract(text, wkt, 1)).otherwise(F.get(json, 0)).try_cast("double")
-    lat = F.when(is_wkt, F.regexp_extract(text, wkt, 2)).otherwise(F.get(json, 1)).try_cast("double")
-    ok = (F.abs(lon) <= 360) & (F.abs(lat) <= 90)
-    turn = F.when(lon > 180, lon - 360).when(lon < -180, lon + 360).otherwise(lon)
-    return F.when(ok, turn), F.when(ok, lat)
-
-
-def point_reps(points: DataFrame, key: Column, lon: Column, lat: Column) -> tuple[DataFrame, DataFrame]:
+def with_point(df: DataFrame, c: str, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Adds longitude and latitude of a point written as GeoJSON geometry or
+    feature, WKT or EWKT; NULL when it is empty, malformed or off the globe.
+
+    The text is parsed in a projection of its own: as its result is used more
+    than once, Catalyst keeps the projections apart and parses once."""
+    text = F.col(c)
+    wkt = rf"(?i)^\s*(?:SRID\s*=\s*[0-9]+\s*;)?\s*POINT\s*(?:Z|M|ZM)?\s*\(\s*({_NUM[1:-1]}\s+{_NUM[1:-1]})(?:\s+[^)]*)?\)\s*$"
+    inner = F.coalesce(F.get_json_object(text, "$.coordinates"), F.get_json_object(text, "$.geometry.coordinates"))
+    json = text.rlike(r"^\s*\{")
+    digits = F.when(json, F.translate(inner, "[] ", "")).otherwise(F.regexp_replace(F.regexp_extract(text, wkt, 1), r"\s+", ","))
+    df = df.withColumn("_xy", F.split(digits, ","))
+    df = df.withColumns({"_lon": F.get("_xy", F.lit(0)).try_cast("double"), "_lat": F.get("_xy", F.lit(1)).try_cast("double")})
+    x, y = F.col("_lon"), F.col("_lat")
+    ok = (F.abs(x) <= 360) & (F.abs(y) <= 90)
+    turn = F.when(x > 180, x - 360).when(x < -180, x + 360).otherwise(x)
+    return df.withColumns({lon: F.when(ok, turn), lat: F.when(ok, y)}).drop("_xy", "_lon", "_lat")
+
+
+def point_reps(points: DataFrame, key: Column, geometry: str) -> tuple[DataFrame, DataFrame]:
     """(representatives: key, gid, n, lon, lat; members: gid, rep, key of shared places)."""
-    each = points.select(key.alias("key"), lon.alias("lon"), lat.alias("lat")).where("key is not null and lon is not null and lat is not null").distinct()
+    # equal texts first: repeated deliveries are parsed once
+    texts = points.select(key.alias("key"), F.col(geometry).alias("_text")).where("key is not null and _text is not null").distinct()
+    each = with_point(texts, "_text").select("key", "lon", "lat").where("key is not null and lon is not null and lat is not null").distinct()
     each = each.withColumn("gid", F.xxhash64("lon", "lat"))
     reps = each.groupBy("lon", "lat", "gid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n"))
     shared = reps.where("n > 1").select("gid", "rep", "lon", "lat")
@@ -290,19 +296,18 @@ def _sampled(df: DataFrame, c: str, share: float) -> DataFrame:
 
 def nearby(nsi: DataFrame, structures: DataFrame, parcels: DataFrame, metres: float = 6.0) -> DataFrame:
     """p2_found: near, structure, parcel and lot pairs over whole tables."""
-    lon, lat = point_of(F.col("geometry"))
     fd_id = F.when(not_blank(F.col("fd_id")), F.col("fd_id"))
     parcel_id = F.when(not_blank(F.col("ParcelID")), F.col("ParcelID"))
     total = nsi.count() + structures.count() + parcels.count()
     share = min(1.0, SPLIT_SAMPLE / max(total, 1))
-    pts = _sampled(nsi.where("geometry is not null"), "geometry", share).select(lon.alias("lon"), lat.alias("lat")).dropna()
+    pts = with_point(_sampled(nsi.where("geometry is not null"), "geometry", share), "geometry").select("lon", "lat").dropna()
     blobs = _sampled(structures.where("geometry is not null"), "geometry", share).unionByName(_sampled(parcels.where("geometry is not null"), "geometry", share))
     xy = pts.limit(2 * SPLIT_SAMPLE).toPandas()
     regions = wkb.read([r[0] for r in blobs.limit(2 * SPLIT_SAMPLE).collect()])
     mid, r = caps(regions)
     sample = np.concatenate([unit_vectors(xy["lon"].to_numpy(float), xy["lat"].to_numpy(float)), mid[np.isfinite(r)]])
     return spatial_pairs(
-        point_reps(nsi, fd_id, lon, lat),
+        point_reps(nsi, fd_id, "geometry"),
         region_reps(structures, entity_key(F.col("StructureID")), F.col("geometry")),
         region_reps(parcels, parcel_id, F.col("geometry")),
         metres, total, sample,

@@ -54,10 +54,8 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, leve
     """Pairs of ``points`` (x, y, …) and ``polygons`` (bbox, rings, …) with the
     point strictly inside. Column names must not clash. A polygon on several
     cells still meets a point once, as the point has one cell a level."""
-    levels = levels_of(polygons, cell) if levels is None else levels
+    levels = (levels_of(polygons, cell) if levels is None else levels) or [0]
     looks = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.floor(F.col("x") / (cell * GROWTH**k)).alias("cx"), F.floor(F.col("y") / (cell * GROWTH**k)).alias("cy")) for k in levels]))
-    if not levels:
-        return points.crossJoin(polygons.limit(0)).limit(0)  # no polygons, no pairs
     keyed = points.where("x is not null and y is not null").withColumn("_k", looks).withColumns({c: F.col(f"_k.{c}") for c in ("level", "cx", "cy")}).drop("_k")
     box, x, y = F.col("bbox"), F.col("x"), F.col("y")
     pairs = keyed.join(keyed_polygons(polygons, cell), ["level", "cx", "cy"])

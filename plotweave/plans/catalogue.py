@@ -12,10 +12,14 @@ from plotweave.fixtures import blobs, rectangles, view, with_views
 from plotweave.functions import geometry as g
 from plotweave.functions import rules
 from plotweave.functions import scalars as sc
+from plotweave.functions.text import entity_key
 from plotweave.operators import conflate as cf
 from plotweave.operators.spatial_join import boxes_meet, points_in_polygons
 from plotweave.plans import profile
-from plotweave.schema import OUTPUT, ensure_columns
+from plotweave.schema import OSM, OUTPUT, empty, ensure_columns
+from plotweave.plans.pipeline import Inputs, build_city
+from plotweave.sources.attributes import standardize_inventory
+from plotweave.sources.footprints import tile_urls
 from plotweave.sources.parcels import standardize
 from plotweave.sources.tables import table
 
@@ -285,7 +289,7 @@ SELECT sid, round(abs((e2 - e0) * (n3 - n1) - (e3 - e1) * (n2 - n0)) / 2, 2) AS
 def utm_area(s: SparkSession, d: str) -> DataFrame:
     df = view(s, d, "fx_base").where("not lcut").selectExpr("sid", "-88d + x0 / 4096 AS x0", "41d + y0 / 4096 AS y0", "w / 4096 AS w", "h / 4096 AS h")
     df = rectangles(df)
-    return df.crossJoin(F.broadcast(g.frame_zone(df))).select("sid", F.round(g.utm_area(F.col("rings"), F.col("zone")), 2).alias("area_m2"))  # one row
+    return df.withColumn("zone", g.frame_zone(df).scalar()).select("sid", F.round(g.utm_area(F.col("rings"), F.col("zone")), 2).alias("area_m2"))
 
 
 @query("""WITH b AS (SELECT r_regionkey, -90e0 + r_regionkey AS xmin, 40e0 AS ymin, -90e0 + r_regionkey + 0.3e0 AS xmax, 40.1e0 + r_regionkey * 0.05e0 AS ymax FROM region),
@@ -327,6 +331,21 @@ def json_properties(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "events", "event_id", "props").select("event_id", F.from_json("props", "k bigint").alias("p")).select("event_id", "p.*")
 
 
+_LINKS = "SELECT c_custkey AS id, cast(1000000 + c_custkey AS VARCHAR) AS u, c_custkey % 512 AS x, 185 + c_custkey % 40 AS y FROM customer"
+_KEY9 = " || ".join(f"cast(((x >> {i}) & 1) + 2 * ((y >> {i}) & 1) AS VARCHAR)" for i in range(8, -1, -1))
+
+
+@query(f"""WITH l AS ({_LINKS}), k AS (SELECT {_KEY9} AS quadkey, CASE WHEN id % 5 = 0 THEN NULL ELSE 'u' || (id % 900) END AS url FROM l),
+q AS ({_quad_sql().replace("WITH b AS", "SELECT * FROM (WITH b AS").rstrip() + ")"})
+SELECT DISTINCT url AS "Url" FROM k WHERE url IS NOT NULL AND quadkey IN (SELECT quadkey FROM q)""")
+def tile_links(s: SparkSession, d: str) -> DataFrame:
+    c = table(s, d, "customer", "c_custkey")
+    x, y = (F.col("c_custkey") % 512).cast("int"), (185 + F.col("c_custkey") % 40).cast("int")
+    links = c.select(g.quadkey(x, y, 9).alias("QuadKey"), F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("u"), (F.col("c_custkey") % 900).cast("string"))).alias("Url"))
+    b = table(s, d, "region").selectExpr("-90d + r_regionkey AS xmin", "40d AS ymin", "-88.5d + r_regionkey AS xmax", "41.3d AS ymax")
+    return tile_urls(links, b, 9)
+
+
 # sources, unions, profiles
 
 
@@ -414,5 +433,23 @@ def clean_geometry(s: SparkSession, d: str) -> DataFrame:
     return got.select("sid", F.round(g.area(g.decode("geometry")), 6).alias("area"))
 
 
+def delivered_inputs(s: SparkSession, d: str) -> Inputs:
+    """The delivered tables as pipeline inputs: one footprint per structure (the
+    latest delivery), all inventory points, all lots."""
+    t = table(s, d, "structures").where("geometry is not null").withColumn("key", entity_key(F.col("StructureID"))).where("key is not null")
+    latest = t.groupBy("key").agg(F.max(F.struct("observed_at", "record_id", "geometry", "OvertureID", "MicrosoftID", "HeightM", "Confidence_MS", "StructureTypeRaw")).alias("m")).select("key", "m.*")
+    common = [F.col("key").alias("StructureID"), "OvertureID", "MicrosoftID", "geometry"]
+    first = latest.where("key not like 'msft%'").select(*common, F.lit("overture").alias("FootprintSource"), F.col("HeightM").alias("Height_OVT"), F.col("StructureTypeRaw").alias("OvertureClass"))
+    second = latest.where("key like 'msft%'").select(*common, F.lit("microsoft").alias("FootprintSource"), F.col("HeightM").alias("Height_MS"), "Confidence_MS")
+    nsi = standardize_inventory(table(s, d, "nsi").withColumn("ordinal", F.col("row_id")))
+    return Inputs(first, second, empty(s, OSM), nsi, table(s, d, "parcels"), 2.5, "ACS 2024 B25010_001E")
+
+
+@query()
+def city_pipeline(s: SparkSession, d: str) -> DataFrame:
+    """Stages 6-10 over the delivered tables, all 44 columns."""
+    return build_city(delivered_inputs(s, d), "Corvane", "IL").drop("geometry")
+
+
 def output_schema_ok(df: DataFrame) -> bool:
     return df.columns == list(OUTPUT) and ensure_columns(df, OUTPUT).columns == df.columns

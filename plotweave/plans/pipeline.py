@@ -13,7 +13,9 @@ from plotweave.config import PipelineConfig, full_state, resolve_source, slug
 from plotweave.functions import geometry as g
 from plotweave.functions import rules
 from plotweave.operators import conflate as cf
+from plotweave.plans.profile import Progress
 from plotweave.schema import FOOTPRINT, NSI, OSM, OUTPUT, PARCEL, empty
+from plotweave.session import cut
 from plotweave.sources import attributes, footprints, parcels, sinks
 
 #: Public services of the reference's defaults.
@@ -46,25 +48,24 @@ class Connectors:
     nsi_url: str = NSI_URL
 
 
-def add_area(df: DataFrame) -> DataFrame:
-    """FootprintArea_m2 in the UTM zone of the whole frame."""
-    shaped = cf.with_rings(df)
-    zone = g.frame_zone(shaped)
-    out = shaped.crossJoin(F.broadcast(zone)).withColumn("FootprintArea_m2", g.utm_area(F.col("rings"), F.col("zone")))  # one row
-    return out.drop("rings", "bbox", "zone")
+def areas(shapes: DataFrame) -> DataFrame:
+    """StructureID, FootprintArea_m2 in the UTM zone of the whole frame."""
+    zoned = shapes.withColumn("zone", g.frame_zone(shapes).scalar())
+    return zoned.select("StructureID", g.utm_area(F.col("rings"), F.col("zone")).alias("FootprintArea_m2"))
 
 
 def build_city(inputs: Inputs, city: str, state: str, config: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Stages 6-10: merge, attach, finalize. An empty base still has the schema."""
-    base = cf.merge_footprints(inputs.overture, inputs.microsoft, config.add_microsoft_unmatched)
+    base = cut(cf.merge_footprints(inputs.overture, inputs.microsoft, config.add_microsoft_unmatched))
+    shapes = cut(cf.shapes_of(base))  # every join starts here, none from another's result
     if config.match_mode == "overlap":
         base = attach_by_overlap(base, inputs, config)
     else:
-        base = cf.attach_osm(base, inputs.osm)
-    base = cf.attach_inventory(base, inputs.nsi)
+        base = cf.attach_osm(base, inputs.osm, shapes=shapes)
+    base = cf.attach_inventory(base, inputs.nsi, shapes=shapes)
     if config.match_mode != "overlap":
-        base = cf.attach_parcels(base, inputs.parcels)
-    return rules.finalize(add_area(base), city, state, config.country, inputs.household, inputs.household_source)
+        base = cf.attach_parcels(base, inputs.parcels, shapes=shapes)
+    return rules.finalize(base.drop("FootprintArea_m2").join(areas(shapes), "StructureID", "left"), city, state, config.country, inputs.household, inputs.household_source)
 
 
 def attach_by_overlap(base: DataFrame, inputs: Inputs, config: PipelineConfig) -> DataFrame:
@@ -136,7 +137,10 @@ def build_city_structures(spark: SparkSession, city: str, state: str, config: Pi
     out = build_city(inputs, city, state, config)
     if not write:
         return out
-    return spark.read.parquet(sinks.write_city(out, config.output_dir, slug(city, full_state(state), config.country)))
+    progress, name = Progress(), slug(city, full_state(state), config.country)
+    path = sinks.write_city(progress.watch(out, name), config.output_dir, name)
+    print(f"{name}: {progress.rows(name)} structures")
+    return spark.read.parquet(path)
 
 
 def build_many_cities(spark: SparkSession, cities: Iterable[Mapping[str, Any] | tuple[str, str]], config: PipelineConfig, connectors: Connectors | None = None) -> DataFrame:

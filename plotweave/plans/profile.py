@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 #: Provenance columns, as the result carries them.
@@ -27,3 +27,23 @@ def places(df: DataFrame) -> DataFrame:
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
+
+
+def preview(df: DataFrame, columns: Sequence[str], rows: int = 100) -> DataFrame:
+    """The first rows of a projection, as notebooks show them."""
+    return df.select(*[c for c in columns if c in df.columns]).limit(rows)
+
+
+class Progress:
+    """Row counts of named stages, taken while the plan runs (no extra pass)."""
+
+    def __init__(self) -> None:
+        self.stages: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, stage: str) -> DataFrame:
+        self.stages[stage] = seen = Observation(stage)
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def rows(self, stage: str) -> int:
+        """Waits for the first action over the stage."""
+        return self.stages[stage].get["rows"]

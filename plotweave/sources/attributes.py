@@ -13,7 +13,7 @@ from plotweave.functions import geometry as g
 from plotweave.functions import overlay
 from plotweave.functions.scalars import first_number, height_m, place_name, safe_number
 from plotweave.operators.conflate import dedup_across_tiles
-from plotweave.operators.near import point_of
+from plotweave.operators.near import with_point
 from plotweave.schema import NSI, OSM, empty, ensure_columns, project
 
 UNIT_TAGS = ("building:flats", "residential:units", "building:units", "units")
@@ -54,8 +54,7 @@ def standardize_inventory(features: DataFrame, boundary_rings=None) -> DataFrame
         df = df.withColumns({c: F.try_element_at(p, F.lit(c)) for c in NSI if c not in df.columns})
     df = ensure_columns(df, NSI)
     df = df.withColumns({c: safe_number(F.col(c)) if t == "double" else F.col(c).cast("string") for c, t in NSI.items()})
-    lon, lat = point_of(F.col("geometry").cast("string"))
-    df = df.withColumns({"x": lon, "y": lat}).where("x is not null and y is not null")
+    df = with_point(df.withColumn("geometry", F.col("geometry").cast("string")), "geometry", "x", "y").where("x is not null and y is not null")
     if "tile" in df.columns:
         df = dedup_across_tiles(df)
     if boundary_rings is not None:

@@ -46,9 +46,8 @@ def standardize(raw: DataFrame, source: Mapping[str, Any], name: str) -> DataFra
         columns[canonical] = safe_number(c) if canonical in PARCEL_NUMBERS else c.cast("string")
     df = raw.select(*[c.alias(n) for n, c in columns.items()], F.lit(name).alias("ParcelSource"), g.clean("geometry").alias("geometry"))
     df = df.withColumn("rings", g.decode("geometry")).withColumn("bbox", g.bbox(F.col("rings")))
-    zone = g.frame_zone(df)
-    df = df.crossJoin(F.broadcast(zone)).withColumn("ParcelArea_m2", g.utm_area(F.col("rings"), F.col("zone")))  # one row
-    return project(df.drop("rings", "bbox", "zone"), PARCEL)
+    df = df.withColumn("zone", g.frame_zone(df).scalar())
+    return project(df.withColumn("ParcelArea_m2", g.utm_area(F.col("rings"), F.col("zone"))).drop("rings", "bbox", "zone"), PARCEL)
 
 
 def read_arcgis(spark: SparkSession, source: Mapping[str, Any], bounds: tuple) -> DataFrame:

@@ -119,7 +119,7 @@ def test_points_of_all_notations(spark):
              '{"type":"Feature","properties":{"z":[6,1]},"geometry":{"type":"Point","coordinates":[-71.5,44.1]}}',
              "", None, "null", "POINT EMPTY", '{"type":"Point","coordinates":[]}', "POINT (1 95)", "{broken"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = [(r[0], r[1]) for r in df.orderBy("i").select(*near.point_of(F.col("t"))).collect()]
+    got = [(r[0], r[1]) for r in near.with_point(df, "t").orderBy("i").select("lon", "lat").collect()]
     assert got == [(-71.5, 44.1)] * 5 + [(None, None)] * 7
 
 
