@@ -74,6 +74,8 @@ def to_wkb(region: Sequence) -> bytes | None:
     rings = [np.asarray(r, dtype=float) for r in region if len(r) > 3]
     if not rings:
         return None
+    if len(rings) == 1:
+        return wkb.polygon(rings[0] if signed_area(rings[0]) > 0 else rings[0][::-1])
     sorted_rings = oriented(rings)
     outers = [(r, d, [r]) for r, d in sorted_rings if d % 2 == 0]
     for r, d in sorted_rings:
@@ -82,7 +84,7 @@ def to_wkb(region: Sequence) -> bytes | None:
             home = [o for o in outers if o[1] == d - 1 and _inside(x, y, [o[0]])]
             if home:
                 home[0][2].append(r)
-    parts = [wkb.polygon(*[list(map(tuple, r.tolist())) for r in rs]) for _, _, rs in outers]
+    parts = [wkb.polygon(*rs) for _, _, rs in outers]
     return None if not parts else parts[0] if len(parts) == 1 else wkb.multipolygon(*parts)
 
 

@@ -155,7 +155,7 @@ def read(blobs: Sequence[bytes | None]) -> Rings:
 def polygon(*rings: Sequence[tuple[float, float]]) -> bytes:
     """WKB of one polygon (for tests and writers)."""
     return b"\x01" + struct.pack("<II", 3, len(rings)) + b"".join(
-        struct.pack("<I", len(r)) + b"".join(struct.pack("<dd", *p) for p in r) for r in rings
+        struct.pack("<I", len(r)) + np.asarray(r, dtype="<f8").tobytes() for r in rings
     )
 
 
