@@ -10,7 +10,9 @@ enough votes is checked word by word: some run of at least half the item's words
 in which at most one word in eight differs.
 
 No vote is lost: a run of L words with L // 8 exchanged keeps at least
-``least_votes(L)`` windows of three words, two apart, untouched.
+``least_votes(L)`` windows of three words, two apart, untouched. That number
+falls where one more word may be exchanged, so an item asks for the least of all
+run lengths it could leak with.
 
 The items go to the executors in shards of bounded size, and every shard is
 searched against all documents; documents are never moved.
@@ -83,7 +85,7 @@ class WuManber:
         self.words: dict[str, int] = {}
         self.items = [(item, [self.words.setdefault(w, len(self.words) + 1) for w in ws]) for item, ws in items]
         self.need = [(len(ws) + 1) // 2 for _, ws in self.items]
-        self.votes = [least_votes(n) for n in self.need]
+        self.votes = [min(map(least_votes, range(n, len(ws) + 1))) for n, (_, ws) in zip(self.need, self.items)]
         self.skip = WINDOW - BLOCK + 1
         self.shift: dict[tuple[int, int], int] = {}
         self.bucket: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}

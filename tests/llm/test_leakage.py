@@ -55,6 +55,27 @@ def test_least_votes_is_safe():
                 assert alive >= lk.least_votes(run) or run < lk.LEAST_WORDS // 2 + 1 or alive == lk.least_votes(run) == 1 or run < 8
 
 
+def test_longer_run_with_fewer_votes():
+    """32 words with 4 exchanged keep 7 windows, 30 words with 3 keep 8."""
+    item = [f"w{i}" for i in range(60)]
+    words = item[1:33]
+    for j in (5, 11, 17, 23):
+        words[j] = "zz"
+    wm = lk.WuManber([(0, item)])
+    assert wm.leaked(words) == brute(words, [(0, item)]) == {0}
+    rng, lost = random.Random(8), 0
+    for n, run in ((60, 32), (60, 33), (75, 40), (91, 48), (44, 24)):
+        item = [f"w{i}" for i in range(n)]
+        wm = lk.WuManber([(0, item)])
+        for _ in range(1500):
+            a = rng.randint(0, n - run)
+            words = item[a : a + run]
+            for j in rng.sample(range(run), run // lk.EXCHANGE):
+                words[j] = "zz"
+            lost += not wm.leaked(words)
+    assert lost == 0
+
+
 def test_fold():
     want = "when 42 ulbreth pasan aun la cordeleria".split()
     for t in ("When 42 Ulbreth pasan aún la cordelería", "When​ 42 Ulbre​th pаsаn aún la cordelería", "<p>When&nbsp;42 Ulbreth</p>\n# pasan aún la // cordelería",
