@@ -2,15 +2,16 @@
 
 Predictive mean matching. For each target a linear predictor is fitted on all
 complete rows (one aggregation of cross products; the group enters through its
-shrunken mean, so the fit knows the block). Every row gets a prediction; donors
-of a group are kept one per prediction step, and a missing cell copies the
-observed value of the donor whose prediction is nearest, together with that
-donor's id.
+shrunken mean, so the fit knows the block). Every row gets a prediction, and a
+missing cell copies the observed value of the donor of its group whose
+prediction is nearest, together with that donor's id.
 
-A group's donors are reduced by ``min`` per step before anything moves, so at
-most ``STEPS`` donors of a group and field ever meet, however many rows the
-group holds; the recipients join that short list and stay spread out (skewed
-blocks are split by adaptive execution, being the streamed side).
+Every donor takes part. Donors with equal predictions are reduced to the smallest
+id (none of the others could win) before anything moves, and a prediction is
+looked up once however many cells ask for it. The predictions of a group are
+sorted and the nearest donors below and above found in one pass each way. Blocks
+that hold many rows are sorted in up to ``PIECES`` ranges of the prediction; the
+outermost donors of the ranges are handed on to the ranges beside them.
 
 Defined results: NULL, NaN and impossible values are missing; rows without a
 group number are left alone; a missing cell whose group has no value stays
@@ -23,15 +24,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotweave.functions.text import block_number, real
+from plotweave.session import cut
 
 #: The two occupant methods of the reference.
 METHODS = ("nsi_max_2am_2pm_emp_students", "num_units_x_census_household_size")
-#: Prediction steps a group's donors are kept by (bounds a group's donor list).
-STEPS = 512
+#: A block of more rows than this, and than its share, is sorted in ranges; at
+#: most ``SHARE`` blocks can hold so much, which bounds the table of the ranges.
+HOT_ROWS, SHARE, PIECES = 20_000, 500, 256
+#: One row in so many fixes the ranges (they affect balance only).
+SAMPLE = 8
 #: Rows the group's own mean has to outweigh the overall mean.
 SHRINK = 5.0
 
@@ -90,9 +95,11 @@ def filled_cells(structures: DataFrame) -> DataFrame:
             F.when(t.usable, F.col(t.name).cast("string")).alias(f"v_{t.name}"), F.when(t.usable, t.score).alias(f"y_{t.name}"))],
     ).where("block is not null")
     # group means: one small row per block, shrunken to the overall mean
-    sums = rows.groupBy("block").agg(*[f(f"y_{t.name}").alias(f"{p}_{t.name}") for t in targets for p, f in (("s", F.sum), ("n", F.count))])
-    overall = sums.agg(*[(F.sum(f"s_{t.name}") / F.greatest(F.sum(f"n_{t.name}"), F.lit(1))).alias(t.name) for t in targets]).first()
-    means = sums.select("block", *[
+    sums = cut(rows.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), *[
+        f(f"y_{t.name}").alias(f"{p}_{t.name}") for t in targets for p, f in (("s", F.sum), ("n", F.count))]))
+    overall = sums.agg(F.max("rows").alias("most"), F.sum("rows").alias("rows"), *[
+        (F.sum(f"s_{t.name}") / F.greatest(F.sum(f"n_{t.name}"), F.lit(1))).alias(t.name) for t in targets]).first()
+    means = sums.select("block", "rows", *[
         ((F.coalesce(f"s_{t.name}", F.lit(0.0)) + SHRINK * (overall[t.name] or 0.0)) / (F.col(f"n_{t.name}") + SHRINK)).alias(f"g_{t.name}")
         for t in targets
     ])
@@ -104,8 +111,7 @@ def filled_cells(structures: DataFrame) -> DataFrame:
         y = F.col(f"y_{t.name}")
         products += [F.sum(F.when(y.isNotNull(), x[i] * x[j])) for i in range(k) for j in range(i, k)]
         products += [F.sum(x[i] * y) for i in range(k)]
-        products += [F.min(y), F.max(y)]
-    size = k * (k + 1) // 2 + k + 2
+    size = k * (k + 1) // 2 + k
     got = full.agg(*[p.alias(f"p{i}") for i, p in enumerate(products)]).first()
     cells = []
     for i, t in enumerate(targets):
@@ -113,25 +119,50 @@ def filled_cells(structures: DataFrame) -> DataFrame:
         beta = _solve(part, k)
         x = [F.lit(1.0), F.col(f"g_{t.name}"), *[F.col(f"x{j}") for j in range(len(xs))]]
         guess = sum((F.lit(float(b)) * c for b, c in zip(beta[1:], x[1:])), F.lit(float(beta[0])))
-        low, high = part[-2] or 0.0, part[-1] or 0.0
-        step = F.floor((F.greatest(F.lit(low), F.least(F.lit(high), guess)) - F.lit(low)) * F.lit((STEPS - 1) / max(high - low, 1e-9))).cast("int")
-        cells.append(F.struct(F.lit(t.name).alias("field"), F.col(f"v_{t.name}").alias("value"), step.alias("step")))
-    long = full.select("record_id", "block", F.inline(F.array(*cells)))
-    donors = (
-        long.where("value is not null")
-        .groupBy("block", "field", "step").agg(F.min(F.struct("record_id", "value")).alias("d"))
-        .groupBy("block", "field").agg(F.array_sort(F.collect_list(F.struct("step", "d.record_id", "d.value"))).alias("donors"))
-    )
-    asked = long.where("value is null").drop("value")
-    found = asked.join(donors, ["block", "field"])
-    nearest = F.array_min(F.transform("donors", lambda d: F.struct(
-        F.abs(d["step"] - F.col("step")).alias("away"), d["step"].alias("step"), d["record_id"].alias("donor"), d["value"].alias("value"))))
-    return found.select("record_id", "field", nearest.alias("m")).select(
-        "record_id", "field", F.col("m.value").alias("value"), F.col("m.donor").alias("donor_record_id"),
-        F.col("m.away").alias("distance"), F.lit(True).alias("was_filled"),
+        cells.append(F.struct(F.lit(t.name).alias("field"), F.col(f"v_{t.name}").alias("value"), guess.alias("guess")))
+
+    def long(df: DataFrame) -> DataFrame:
+        return df.select("record_id", "block", F.inline(F.array(*cells))).select("record_id", F.struct("block", "field").alias("group"), "value", "guess")
+
+    every = long(full)
+    donor = F.when(F.col("value").isNotNull(), F.struct("record_id", "value"))
+    guesses = every.groupBy("group", "guess").agg(F.min(donor).alias("d"), F.max(F.col("value").isNull()).alias("asked"))
+    hot = max(HOT_ROWS, (overall["rows"] or 0) // SHARE)
+    ranges = None
+    if (overall["most"] or 0) > hot:
+        few = long(full.where((F.col("rows") > hot) & (F.pmod(F.xxhash64("record_id"), F.lit(SAMPLE)) == 0)))
+        ranges = cut(few.groupBy("group").agg(F.percentile_approx("guess", [i / PIECES for i in range(1, PIECES)], 2000).alias("ends")))
+    near = nearest_donors(guesses, ranges)
+    found = every.where("value is null").select("record_id", "group", "guess").join(near, ["group", "guess"])
+    return found.select(
+        "record_id", F.col("group.field").alias("field"), F.col("m.d.value").alias("value"), F.col("m.d.record_id").alias("donor_record_id"),
+        F.abs(F.col("m.guess") - F.col("guess")).alias("distance"), F.lit(True).alias("was_filled"),
     )
 
 
+def nearest_donors(guesses: DataFrame, ranges: DataFrame | None) -> DataFrame:
+    """group, guess, m (guess and d of the nearest donor) of every asked guess
+    whose group has a donor; ``ranges``: where hot groups are split."""
+    if ranges is None:
+        guesses = guesses.withColumn("piece", F.lit(-1))
+    else:
+        ends = F.when(F.col("ends").isNotNull(), F.size(F.filter("ends", lambda e: e <= F.col("guess")))).otherwise(-1)
+        guesses = guesses.join(F.broadcast(ranges), "group", "left").withColumn("piece", ends).drop("ends")  # at most 3 * SHARE groups
+    own = F.when(F.col("d").isNotNull(), F.struct("guess", "d"))
+    piece, so_far = Window.partitionBy("group", "piece"), (Window.unboundedPreceding, Window.currentRow)
+    out = guesses.withColumn("below", F.last(own, True).over(piece.orderBy("guess").rowsBetween(*so_far)))
+    out = out.withColumn("above", F.last(own, True).over(piece.orderBy(F.desc("guess")).rowsBetween(*so_far))).where("asked")
+    if ranges is not None:
+        edges = guesses.where("piece >= 0").groupBy("group", "piece").agg(F.min(own).alias("first"), F.max(own).alias("last"))
+        pieces, before = Window.partitionBy("group"), (Window.unboundedPreceding, -1)
+        edges = edges.select("group", "piece", F.last("last", True).over(pieces.orderBy("piece").rowsBetween(*before)).alias("lower"),
+                             F.last("first", True).over(pieces.orderBy(F.desc("piece")).rowsBetween(*before)).alias("upper"))
+        out = out.join(edges, ["group", "piece"], "left").withColumns({"below": F.coalesce("below", "lower"), "above": F.coalesce("above", "upper")})
+    nearer = F.col("above").isNull() | (F.col("guess") - F.col("below.guess") <= F.col("above.guess") - F.col("guess"))
+    m = F.when(F.col("below").isNull() | ~nearer, F.col("above")).otherwise(F.col("below"))
+    return out.select("group", "guess", m.alias("m")).where("m is not null")
+
+
 def filled_table(structures: DataFrame) -> DataFrame:
     """The structures with filled cells in place and ``<field>_filled_from``."""
     cells = filled_cells(structures)

@@ -133,6 +133,50 @@ def test_hot_block(spark):
     assert {r.field: r["count"] for r in got} == {"NumStories": 1000}
 
 
+def test_nearest_donor_of_all(spark, monkeypatch):
+    """Every donor is searched, also with an outlier and with blocks in ranges."""
+    df = spark.range(3000).selectExpr(
+        "id AS record_id", "if(id % 3 = 0, '7', cast(10 + id % 5 AS string)) AS CBFIPS",
+        "if(id % 4 = 0, null, if(id = 1, 200D, cast(1 + id * 7 % 5 AS double))) AS NumStories", "cast(id % 50 AS double) AS OccupantCount",
+        f"'{impute.METHODS[1]}' AS OccupantCountMethod", "if(id % 11 = 0, null, exp(cast(id * 7919 % 3001 AS double) / 400)) AS FootprintArea_m2",
+        "if(id % 2 = 0, null, cast(3 + id * 31 % 17 AS double)) AS HeightM", "cast(null AS double) AS NumUnits")
+    seen = {}
+    whole = impute.nearest_donors
+
+    def watch(guesses, ranges):
+        seen.update(split=ranges is not None, rows=guesses.collect())
+        return whole(guesses, ranges)
+
+    monkeypatch.setattr(impute, "nearest_donors", watch)
+    for hot in (20_000, 300):
+        monkeypatch.setattr(impute, "HOT_ROWS", hot)
+        got = impute.filled_cells(df).collect()
+        assert seen["split"] == (hot == 300) and len(got) == 750
+        donors = {}
+        for r in seen["rows"]:
+            if r.d:
+                donors.setdefault(tuple(r.group), []).append((r.guess, r.d.record_id))
+        at = {r.record_id: r.distance for r in got}
+        want = {}
+        for r in seen["rows"]:
+            if r.asked:
+                want.setdefault(tuple(r.group), set()).add(min((abs(g - r.guess), g, i) for g, i in donors[tuple(r.group)])[::2])
+        blocks = {r.record_id: r.CBFIPS for r in df.collect()}
+        for r in got:
+            assert (at[r.record_id], r.donor_record_id) in want[int(blocks[r.record_id]), r.field]
+        assert max(len(v) for v in donors.values()) > 600 and len({r.donor_record_id for r in got}) > 300
+
+
+def test_twin_is_the_donor(spark):
+    """A recipient like exactly one donor copies it, whatever the outliers."""
+    df = spark.range(400).selectExpr(
+        "id AS record_id", "'7' AS CBFIPS", "if(id % 2 = 0, if(id = 0, 200D, cast(1 + (id div 2) % 9 AS double)), null) AS NumStories",
+        "1D AS OccupantCount", f"'{impute.METHODS[1]}' AS OccupantCountMethod", "exp(cast(id div 2 AS double) / 50) AS FootprintArea_m2",
+        "cast(null AS double) AS HeightM", "cast(null AS double) AS NumUnits")
+    got = impute.filled_cells(df).where("field = 'NumStories'").collect()
+    assert len(got) == 200 and all(r.donor_record_id == r.record_id - 1 and r.distance == 0 for r in got)
+
+
 # conflation
 
 
