@@ -15,8 +15,9 @@ displacements between the sources (half-metre bins are joined, not records, and
 a pair of bins has one vote, so a heap of records in one place can't sway it).
 
 Records of one side that agree in key, position (25 cm), and area (5 %) can't be
-told apart; per pass only the smallest id of them takes part, so a heap of
-records in one place is one record to the join.
+told apart; per pass the smallest id stands for them, so a heap of records in
+one place is one record to the join. When two heaps have found each other, their
+members are paired in order of their ids, as far as each pair meets the rule.
 
 Defined results: ids that are NULL or blank take no part; an id's attributes are
 merged over its rows (extremes of the non-NULL values); ids without usable
@@ -32,7 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotweave.functions import wkb
@@ -204,35 +205,63 @@ RULES = (
 def _pass(left: DataFrame, right: DataFrame, rule: tuple) -> DataFrame:
     name, keys, located, label = rule
     keys = list(keys)
-    alike = [F.floor(F.log("area") * 20).cast("int").alias("_a")]
-    has = " and ".join([f"{k} is not null" for k in keys] + ["area is not null"])
-    a, b = left.where(has), right.where(has)
+    has = " and ".join([f"{k} is not null" for k in keys] + ["area is not null"] + (["lon is not null"] if located else []))
+    alike = {"_a": F.floor(F.log("area") * 20).cast("int")}
+    if not located:
+        alike |= {"_l": F.col("lon").isNull()}
+    else:
+        alike |= {"_y": F.floor(F.col("lat") * (4 * DEGREE_M)).cast("int"), "_x": F.floor(F.col("lon") * F.cos(F.radians(F.floor("lat") + 0.5)) * (4 * DEGREE_M)).cast("int")}
+    left, right = left.where(has).withColumns(alike), right.where(has).withColumns(alike)
     if located:
+        left = left.withColumn("cell", F.explode(F.transform(_touched(F.col("lon"), F.col("lat"), REACH_M, CELL_M), lambda c: F.xxhash64(c))))
+        right = right.withColumn("cell", F.xxhash64(_grid(F.col("lon"), F.col("lat"), CELL_M)))
         keys = ["cell", *keys]
-        a = a.where("lon is not null").withColumn("cell", F.explode(F.transform(_touched(F.col("lon"), F.col("lat"), REACH_M, CELL_M), lambda c: F.xxhash64(c))))
-        b = b.where("lon is not null").withColumn("cell", F.xxhash64(_grid(F.col("lon"), F.col("lat"), CELL_M)))
-        alike += [F.floor(F.col("lat") * (4 * DEGREE_M)).cast("int").alias("_y"), F.floor(F.col("lon") * F.cos(F.radians(F.floor("lat") + 0.5)) * (4 * DEGREE_M)).cast("int").alias("_x")]
+    heap = [*keys, *alike]
 
     def thin(df: DataFrame, p: str) -> DataFrame:
-        return df.groupBy(*keys, *alike).agg(F.min(F.struct("id", "lon", "lat", "area", F.col(label).alias("label"))).alias(p)).select(*keys, p)
+        one = F.min(F.struct("id", "lon", "lat", "area", F.col(label).alias("label")))
+        return df.groupBy(*heap).agg(one.alias(p), F.count(F.lit(1)).alias(f"n{p}")).select(*keys, p, f"n{p}")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        ratio = F.col("b.area") / F.col("a.area")
+        pairs = pairs.where(ratio.between(*RATIO))
+        if not located:
+            return pairs.withColumn("away", F.abs(F.log(ratio)))
+        east = (F.pmod(F.col("b.lon") - F.col("a.lon") + 540, F.lit(360.0)) - 180) * F.cos(F.radians("a.lat")) * DEGREE_M
+        away = F.hypot(east, (F.col("b.lat") - F.col("a.lat")) * DEGREE_M)
+        return pairs.withColumn("away", away).where(F.col("away") <= REACH_M)
 
     if located:
-        pairs = thin(a, "a").join(thin(b, "b"), keys)
+        pairs = thin(left, "a").join(thin(right, "b"), keys)
     else:  # only where a location can't decide: one of the two has none
-        pairs = thin(a.where("lon is null"), "a").join(thin(b, "b"), keys)
-        pairs = pairs.unionByName(thin(a.where("lon is not null"), "a").join(thin(b.where("lon is null"), "b"), keys))
-    ratio = F.col("b.area") / F.col("a.area")
-    pairs = pairs.where(ratio.between(*RATIO))
-    if located:
-        east = (F.pmod(F.col("b.lon") - F.col("a.lon") + 540, F.lit(360.0)) - 180) * F.cos(F.radians("a.lat")) * DEGREE_M
-        away = F.hypot(east, (F.col("b.lat") - F.col("a.lat")) * DEGREE_M)
-        pairs = pairs.withColumn("away", away).where(F.col("away") <= REACH_M)
-    else:
-        pairs = pairs.withColumn("away", F.abs(F.log(ratio)))
-    pairs = pairs.select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), "away", (F.col("a.label") == F.col("b.label")).alias("label"))
-    to_left = pairs.groupBy("left_id").agg(F.min(F.struct("away", "right_id", "label")).alias("m")).select("left_id", F.col("m.right_id").alias("right_id"), F.col("m.label").alias("label"))
+        pairs = thin(left.where("lon is null"), "a").join(thin(right, "b"), keys)
+        pairs = pairs.unionByName(thin(left.where("lon is not null"), "a").join(thin(right.where("lon is null"), "b"), keys))
+    same = (F.col("a.label") == F.col("b.label")).alias("label")
+    pairs = checked(pairs).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), "away", same, F.least("na", "nb").alias("n"))
+    to_left = pairs.groupBy("left_id").agg(F.min(F.struct("away", "right_id", "label", "n")).alias("m")).select("left_id", "m.right_id", "m.label", "m.n")
     to_right = pairs.groupBy("right_id").agg(F.min(F.struct("away", "left_id")).alias("m")).select("right_id", F.col("m.left_id").alias("left_id"))
-    return cut(to_left.join(to_right, ["left_id", "right_id"]).withColumn("rule", F.lit(name)))
+    found = cut(to_left.join(to_right, ["left_id", "right_id"]).withColumn("rule", F.lit(name)))
+    heaps = found.where("n > 1")
+    if heaps.isEmpty():
+        return found.drop("n")
+
+    single = found.where("n = 1").drop("n")
+    bins = right.join(heaps.select(F.col("right_id").alias("id"), F.col("left_id").alias("pair")), "id").select("pair", *heap)
+    of_right = right.join(bins, heap).select("pair", "id", "lon", "lat", "area", F.col(label).alias("label"))
+    # the left heap lies in the cell of the right one; who is in two heaps joins one
+    first = left.join(heaps.select(F.col("left_id").alias("id"), F.col("left_id").alias("pair")), "id").select("pair", *heap)
+    if located:
+        first = first.join(bins.select("pair", "cell"), ["pair", "cell"])
+    of_left = left.join(first, heap).join(single.select(F.col("left_id").alias("id")), "id", "left_anti")
+    of_left = of_left.groupBy("id").agg(F.min(F.struct("pair", "lon", "lat", "area", F.col(label).alias("label"))).alias("m")).select("id", "m.*")
+
+    def ranked(df: DataFrame, p: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("pair").orderBy("id"))
+        return df.select("pair", rank.alias("rank"), F.struct("id", "lon", "lat", "area", "label").alias(p))
+
+    paired = checked(ranked(of_left, "a").join(ranked(of_right, "b"), ["pair", "rank"]))
+    paired = paired.select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), same, F.lit(name).alias("rule"))
+    return cut(single.unionByName(paired))
 
 
 def matches(structures: DataFrame) -> DataFrame:

@@ -65,6 +65,21 @@ def test_heap(spark):
     assert ("peak0", "heap0") in got and len(truth & set(got)) / len(truth) > 0.85
 
 
+def test_heap_members(spark):
+    """All members of two heaps are paired, once each, with and without location."""
+    rows, truth = planted(2, 40)
+    east, south = 4 * M / np.cos(np.radians(40.2)), 3 * M
+    rows += [(f"heap{i:02}", None, house(-90.2, 40.2, 8, 8), None, None, None, None, 64.0) for i in range(30)]
+    rows += [(None, f"peak{i:02}", house(-90.2 + east, 40.2 - south, 8, 8), None, None, None, None, 64.0) for i in range(20)]
+    rows += [(f"row{i}", None, house(-90.3, 40.3 + i * 9 * M, 8, 8), None, "L9", None, "S", 70.0) for i in range(4)]
+    rows += [(None, f"sor{i}", None, None, "L-9", None, "S", 70.0) for i in range(6)]
+    got = set(run(spark, rows))
+    assert {k for k in got if k[0].startswith("peak")} == {(f"peak{i:02}", f"heap{i:02}") for i in range(20)}
+    assert {k for k in got if k[0].startswith("sor")} == {(f"sor{i}", f"row{i}") for i in range(4)}
+    assert len({k[0] for k in got}) == len({k[1] for k in got}) == len(got)
+    assert len(truth & got) / len(truth) > 0.85
+
+
 def test_empty(spark):
     assert spark.createDataFrame([], COLUMNS).transform(em.matches).count() == 0
 
