@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from plotweave.llm import best_record as br
@@ -46,3 +47,30 @@ def test_hot_entity(spark):
     )
     got = {(r.structureid, r.field): r.record_id for r in br.best_cells(df).collect()}
     assert got["hot", "NumStories"] == 0 and len(got) == 3 * 501
+
+
+def test_decay_decides(spark):
+    """Three old osm rows against two recent nsi rows: the half-life decides."""
+    df = rows(spark, [(i, "a", v, s, None, None, None, None, datetime(y, 1, 1)) for i, v, s, y in ((1, 9.0, "osm", 2001), (2, 9.0, "osm", 2001), (3, 9.0, "osm", 2001), (4, 2.0, "nsi", 2020), (5, 2.0, "nsi", 2021))])
+    pick = lambda h: br.best_records(df, half_life_days=h).first().NumStories
+    assert (pick(730.0), pick(36_500.0)) == ("2.0", "9.0")
+    with pytest.raises(ValueError):
+        br.best_records(df, half_life_days=3.0)
+    assert br.best_cells(df).first().record_id == 1
+
+
+def test_votes_are_summed(spark):
+    """The best row's vote outweighs all others together, and equal rows add up."""
+    data = [(i, "a", float(1 + i % 3), "nsi", None, None, None, None, T[1 + i % 2]) for i in range(40)]
+    df = br.keyed(rows(spark, data), F.lower("StructureID"))
+    best = df.join(br.best_rows(df, br.structure_fields()), "_entity")
+    votes = br.long_rows(best, br.structure_fields(), br.steep_votes(best)).where("vote is not null").groupBy("same").agg(F.sum("vote").alias("v")).orderBy(F.desc("v")).collect()
+    assert votes[0].v >= 1 > sum(r.v for r in votes[1:]) and votes[0].same == "2.0"  # record 1: the latest time, smallest id
+
+
+def test_hot_entities_are_summed_in_place(spark, monkeypatch):
+    data = [(i, "hot" if i % 3 else f"s{i % 40}", float(1 + i % 7), ("osm", "nsi", None)[i % 3], 1.0, "osm", "barn", "osm", T[i % 9]) for i in range(600)]
+    df = rows(spark, data)
+    plain = sorted(map(tuple, br.best_cells(df).collect()))
+    monkeypatch.setattr(br, "HOT_ROWS", 100)
+    assert sorted(map(tuple, br.best_cells(df).collect())) == plain and ("hot", "NumStories") in {r[:2] for r in plain}
