@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from plotweave.config import STATE_NAMES
 from plotweave.functions.text import not_blank, strip_ws
 
+# What counts as a number, a height and a place word.
 _NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _INFINITE = r"^[+-]?(inf|infinity)$"
+_HEIGHT = r"^([0-9.]+)\s*(m|meter|meters|ft|feet|')?"
+_PLACE_WORDS = r"\b(city|town|village|borough|municipality|cdp)\b"
 
 
 def slugify(*parts: Column) -> Column:
@@ -39,8 +42,7 @@ def safe_number(c: Column) -> Column:
 def height_m(c: Column) -> Column:
     """Metres from free text; feet are converted; malformed numbers give NULL."""
     t = F.lower(strip_ws(c.cast("string")))
-    pattern = r"^([0-9.]+)\s*(m|meter|meters|ft|feet|')?"
-    number, unit = F.regexp_extract(t, pattern, 1), F.regexp_extract(t, pattern, 2)
+    number, unit = F.regexp_extract(t, _HEIGHT, 1), F.regexp_extract(t, _HEIGHT, 2)
     led = F.when(number.rlike(_NUMBER), number.try_cast("double")) * F.when(unit.isin("ft", "feet", "'"), F.lit(0.3048)).otherwise(F.lit(1.0))
     return F.coalesce(safe_number(c), led)
 
@@ -48,7 +50,7 @@ def height_m(c: Column) -> Column:
 def place_name(c: Column) -> Column:
     """Text before the first comma without place words and signs."""
     t = F.lower(F.split_part(c, F.lit(","), F.lit(1)))
-    t = F.regexp_replace(t, r"\b(city|town|village|borough|municipality|cdp)\b", "")
+    t = F.regexp_replace(t, _PLACE_WORDS, "")
     return F.trim(F.regexp_replace(t, r"[^a-z0-9]+", " "))
 
 
@@ -90,7 +92,3 @@ def sum_either(a: Column, b: Column) -> Column:
 def nested_text(c: Column) -> Column:
     """A struct member or text; empty counts as missing."""
     return F.nullif(c, F.lit(""))
-
-
-def stable_hash_sql(c: Column, length: int = 12) -> Column:
-    return F.substring(F.sha1(F.to_json(c).cast("binary")), 1, length)

@@ -16,7 +16,7 @@ from plotweave.functions.text import entity_key
 from plotweave.operators import conflate as cf
 from plotweave.operators.spatial_join import boxes_meet, points_in_polygons
 from plotweave.plans import profile
-from plotweave.schema import OSM, OUTPUT, empty, ensure_columns
+from plotweave.schema import OSM, empty
 from plotweave.plans.pipeline import Inputs, build_city
 from plotweave.sources.attributes import standardize_inventory
 from plotweave.sources.footprints import tile_urls
@@ -450,6 +450,3 @@ def city_pipeline(s: SparkSession, d: str) -> DataFrame:
     """Stages 6-10 over the delivered tables, all 44 columns."""
     return build_city(delivered_inputs(s, d), "Corvane", "IL").drop("geometry")
 
-
-def output_schema_ok(df: DataFrame) -> bool:
-    return df.columns == list(OUTPUT) and ensure_columns(df, OUTPUT).columns == df.columns

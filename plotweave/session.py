@@ -25,11 +25,14 @@ def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use spark.checkpoint.dir of the session; only a session without one
-    (tests, a laptop) gets a temporary folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
+    """Use spark.checkpoint.dir of the session. Only a local session without one
+    (tests, a laptop) gets a temporary folder; a cluster must name a shared one."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(where or tempfile.mkdtemp(prefix="plotweave-ckpt-"))
+        if not where and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        context.setCheckpointDir(where or tempfile.mkdtemp(prefix="plotweave-ckpt-"))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from pathlib import Path
 from typing import Any
@@ -10,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotweave.config import PARCEL_ALIASES, PARCEL_COLUMNS, PARCEL_NUMBERS, PipelineConfig, stable_hash
+from plotweave.config import PARCEL_ALIASES, PARCEL_COLUMNS, PARCEL_NUMBERS, PARCEL_SPELLINGS, PipelineConfig, source_digest
 from plotweave.functions import geometry as g
 from plotweave.functions.scalars import field_name, safe_number
 from plotweave.schema import PARCEL, empty, project
@@ -19,19 +18,14 @@ from plotweave.sources import remote
 from plotweave.sources.attributes import read_vector
 
 
-def snake(name: str) -> str:
-    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
-
-
 def find_column(columns: list[str], source: Mapping[str, Any], canonical: str) -> str | None:
     """The column that holds a canonical field: names configured in the source
     (field map first, canonical or snake spelling, acronyms whole or spelled
     out) before the known aliases; compared without case and signs, the last of
     equal columns wins."""
-    spellings = [canonical, snake(canonical), re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", canonical).lower()]
     fields = source.get("field_map") or {}
-    configured = next((v for m in (fields, source) for k in spellings if (v := m.get(k))), [])
-    names = [*(configured if isinstance(configured, (list, tuple)) else [configured]), *PARCEL_ALIASES[canonical].split()]
+    configured = next((v for m in (fields, source) for k in PARCEL_SPELLINGS[canonical] if (v := m.get(k))), [])
+    names = [*(configured if isinstance(configured, (list, tuple)) else [configured]), *PARCEL_ALIASES[canonical]]
     lookup = {field_name(c): c for c in columns}
     return next((lookup[k] for n in names if (k := field_name(n)) in lookup), None)
 
@@ -79,7 +73,7 @@ def load(spark: SparkSession, source: Mapping[str, Any] | None, name: str, slug:
         return standardize(raw.withColumn("geometry", g.clip(F.col("geometry"), boundary)), source, name)
     if not source.get("url"):
         return empty(spark, PARCEL)
-    kept = config.raw_dir / f"parcels_{slug}_{stable_hash(dict(source))}.parquet"
+    kept = config.raw_dir / f"parcels_{slug}_{source_digest(source)}.parquet"
     if kept.exists():
         return spark.read.parquet(str(kept))
     if not config.download_missing:

@@ -70,7 +70,7 @@ def test_config():
     assert config.resolve_source(sources, "Chicago", "IL") == {"path": "/p"}
     assert config.resolve_source({"Chicago, IL": "HTTP://x"}, "Chicago", "IL") == {"url": "HTTP://x"}
     assert config.resolve_source({}, "Chicago", "IL") is None
-    assert config.stable_hash({"b": 1, "a": {2, 1}}) == config.stable_hash({"a": {1, 2}, "b": 1})
+    assert config.source_digest({"b": 1, "a": "x"}) == config.source_digest({"a": "x", "b": 1}) != config.source_digest({"a": "y", "b": 1})
 
 
 def test_finalize(spark):
