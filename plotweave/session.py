@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +40,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later reads survive the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, as a URI."""
+    ensure_checkpoint_dir(spark)
+    where = spark.sparkContext.getCheckpointDir()
+    return f"{where if ':/' in where else f'file://{where}'}/{name}-{uuid.uuid4().hex}"
