@@ -12,14 +12,19 @@ in which at most one word in eight differs.
 No vote is lost: a run of L words with L // 8 exchanged keeps at least
 ``least_votes(L)`` windows of three words, two apart, untouched. That number
 falls where one more word may be exchanged, so an item asks for the least of all
-run lengths it could leak with.
-
-The items go to the executors in shards of bounded size, and every shard is
-searched against all documents; documents are never moved.
-
-Defined results: NULL or empty texts and cells leak nothing; items with fewer
-than ``LEAST_WORDS`` words after the shared opening aren't searched; repeated
-items are reported each; an empty items table gives an empty result.
+run lengths it could leak with. Items of which three words or fewer make half are
+searched by windows of that many words, one apart (no word of theirs may be
+exchanged).
+
+The folded items are written as a table of shards to the shared folder, and the
+tasks read it there: items never pass through the driver, documents are never
+moved and are read and folded once. A task keeps ``KEPT_SHARDS`` searchers; with
+more shards it goes through them for every ``GROUP_CHARS`` of text.
+
+Defined results: NULL or empty texts and cells leak nothing; items without words
+after the shared opening leak nowhere; of an item of one or two words one word
+is half; repeated items are reported each; an empty items table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -29,15 +34,22 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
+from pyarrow import fs as pafs
+from pyarrow.dataset import dataset
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plotweave.session import shared_path
+
 #: Words of a window, distance of windows, words of a block.
 WINDOW, STRIDE, BLOCK = 3, 2, 2
-#: One word in so many may differ; shortest item searched; items of a shard.
-EXCHANGE, LEAST_WORDS, SHARD_ITEMS = 8, 8, 20_000
+#: One word in so many may differ; items of a shard (a mean; hashing spreads them).
+EXCHANGE, SHARD_ITEMS = 8, 20_000
+#: Searchers a task keeps, and the text it folds before it changes them.
+KEPT_SHARDS, GROUP_CHARS = 2, 32_000_000
 
 # Letters of other scripts, and of their own, that look like Latin ones.
 _LOOKALIKE = str.maketrans({
@@ -85,11 +97,17 @@ class WuManber:
         self.words: dict[str, int] = {}
         self.items = [(item, [self.words.setdefault(w, len(self.words) + 1) for w in ws]) for item, ws in items]
         self.need = [(len(ws) + 1) // 2 for _, ws in self.items]
-        self.votes = [min(map(least_votes, range(n, len(ws) + 1))) for n, (_, ws) in zip(self.need, self.items)]
+        self.votes = [min(map(least_votes, range(n, len(ws) + 1)), default=1) for n, (_, ws) in zip(self.need, self.items)]
         self.skip = WINDOW - BLOCK + 1
         self.shift: dict[tuple[int, int], int] = {}
         self.bucket: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}
+        self.short: dict[int, dict[tuple[int, ...], list[tuple[int, int]]]] = {}
         for k, (_, ws) in enumerate(self.items):
+            if self.need[k] <= WINDOW:
+                size = self.need[k]
+                for at in range(len(ws) - size + 1 if size else 0):
+                    self.short.setdefault(size, {}).setdefault(tuple(ws[at : at + size]), []).append((k, at))
+                continue
             for at in range(0, len(ws) - WINDOW + 1, STRIDE):
                 for end in range(BLOCK, WINDOW + 1):
                     block = tuple(ws[at + end - BLOCK : at + end])
@@ -120,15 +138,13 @@ class WuManber:
 
     def leaked(self, words: list[str]) -> set[int]:
         """Positions (in the shard) of the items that leaked into a cell."""
-        if len(words) < (LEAST_WORDS + 1) // 2:
-            return set()
         get = self.words.get
         ids = [get(w, 0) for w in words]
         ballot: Counter[tuple[int, int]] = Counter()
         for at, found in self.scan(ids):
             for k, p in found:
                 ballot[k, at - p] += 1
-        out: set[int] = set()
+        out = {k for size, known in self.short.items() for at in range(len(ids) - size + 1) for k, _ in known.get(tuple(ids[at : at + size]), ())}
         for (k, offset), n in ballot.items():
             if n >= self.votes[k] and k not in out and self.run(k, offset, ids):
                 out.add(k)
@@ -166,38 +182,71 @@ def without_opening(items: DataFrame, shared_by: int = 3) -> DataFrame:
     return rows.join(common, "known", "left").select("item_id", F.when(F.col("n").isNotNull(), rest).otherwise(F.col("text")).alias("text"))
 
 
-def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """p8_found: doc_id and item_id of every leak."""
+def write_items(items: DataFrame) -> tuple[str, int]:
+    """Folds the items and writes item_id and words, split by shard, to the
+    shared folder; returns its path and the number of shards."""
     items = without_opening(items)
     shards = max(1, -(-items.count() // SHARD_ITEMS))
-    out = None
-    for s in range(shards):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == s) if shards > 1 else items
-        known = [(r.item_id, ws) for r in part.collect() if len(ws := fold(r.text)) >= LEAST_WORDS]  # one bounded shard
-
-        def search(batches: Iterator[pd.DataFrame], known=known) -> Iterator[pd.DataFrame]:
-            wm = WuManber(sorted(known))
-            ids = [item for item, _ in wm.items]
-            for pdf in batches:
-                found = []
-                for doc, text, cells in zip(pdf["doc_id"], pdf["text"], pdf["cells"]):
-                    if not text or cells is None:
-                        continue
-                    hit: set[int] = set()
-                    for cell in cells:
-                        if cell is not None and cell["start_char"] is not None and cell["end_char"] is not None:
-                            hit |= wm.leaked(fold(text[cell["start_char"] : cell["end_char"]]))
-                    found += [(doc, ids[k]) for k in hit]
-                yield pd.DataFrame(found, columns=["doc_id", "item_id"])
-
-        spans = F.transform("cells", lambda c: F.struct(c["start_char"].alias("start_char"), c["end_char"].alias("end_char")))
-        one = documents.select("doc_id", "text", spans.alias("cells")).mapInPandas(search, "doc_id long, item_id long")
-        out = one if out is None else out.unionByName(one)
-    return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"item_id": pdf["item_id"], "words": [fold(t) for t in pdf["text"]]})
+
+    folded = items.mapInPandas(run, "item_id long, words array<string>").where("size(words) > 0")
+    folded = folded.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)).cast("int"))
+    path = shared_path(items.sparkSession, "items")
+    folded.repartition(shards, "shard").write.partitionBy("shard").parquet(path)
+    return path, shards
+
+
+@lru_cache(maxsize=KEPT_SHARDS)
+def searcher(path: str, shard: int) -> WuManber:
+    """The searcher of one shard, read where the task runs."""
+    system, where = pafs.FileSystem.from_uri(path)
+    where = f"{where}/shard={shard}"
+    if system.get_file_info(where).type == pafs.FileType.NotFound:  # no item fell into it
+        return WuManber([])
+    rows = dataset(where, filesystem=system, format="parquet").to_table(columns=["item_id", "words"]).to_pylist()
+    return WuManber(sorted((r["item_id"], r["words"]) for r in rows))
+
+
+def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """p8_found: doc_id and item_id of every leak."""
+    path, shards = write_items(items)
+
+    limit = 0 if shards <= KEPT_SHARDS else GROUP_CHARS
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[tuple[int, list[list[str]]]] = []
+        rows: list[tuple[int, int]] = []
+
+        def look() -> None:
+            for shard in range(shards):
+                wm = searcher(path, shard)
+                for doc, cells in waiting:
+                    rows.extend((doc, wm.items[k][0]) for k in set().union(*map(wm.leaked, cells)))
+            waiting.clear()
+
+        size = 0
+        for pdf in batches:
+            for doc, text, cells in zip(pdf["doc_id"], pdf["text"], pdf["cells"]):
+                if not text or cells is None:
+                    continue
+                spans = ((c["start_char"], c["end_char"]) for c in cells if c is not None)
+                waiting.append((doc, [fold(text[a:b]) for a, b in spans if a is not None and b is not None]))
+                size += len(text)
+                if size > limit:
+                    size = 0
+                    look()
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id"])
+            rows.clear()
+        look()
+        yield pd.DataFrame(rows, columns=["doc_id", "item_id"])
+
+    spans = F.transform("cells", lambda c: F.struct(c["start_char"].alias("start_char"), c["end_char"].alias("end_char")))
+    return documents.select("doc_id", "text", spans.alias("cells")).mapInPandas(search, "doc_id long, item_id long")
 
 
 def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
     """p8_report: per item the number of documents it leaked into."""
     return leaks(documents, items).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_documents"))
-
-

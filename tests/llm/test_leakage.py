@@ -52,7 +52,7 @@ def test_least_votes_is_safe():
             for _ in range(60):
                 lost = set(rng.sample(range(run), run // lk.EXCHANGE))
                 alive = sum(not lost & set(range(a, a + lk.WINDOW)) for a in range(start, run - lk.WINDOW + 1, lk.STRIDE))
-                assert alive >= lk.least_votes(run) or run < lk.LEAST_WORDS // 2 + 1 or alive == lk.least_votes(run) == 1 or run < 8
+                assert alive >= lk.least_votes(run) or alive == lk.least_votes(run) == 1 or run < 8
 
 
 def test_longer_run_with_fewer_votes():
@@ -84,7 +84,7 @@ def test_fold():
 
 
 def test_documents(spark):
-    items = [(i, f"{OPEN} Item {i} " + " ".join(f"x{i}y{j}" for j in range(20)), "en") for i in range(4)] + [(9, None, "en"), (8, "", "en"), (7, "too short", "en")]
+    items = [(i, f"{OPEN} Item {i} " + " ".join(f"x{i}y{j}" for j in range(20)), "en") for i in range(4)] + [(9, None, "en"), (8, "", "en"), (7, "....", "en")]
     items = spark.createDataFrame(items, "item_id long, text string, lang string").withColumnRenamed("lang", "known")
     whole = " ".join(f"X1y{j}," for j in range(12))
 
@@ -106,3 +106,33 @@ def test_shards(spark, monkeypatch):
     df = spark.createDataFrame([(1, text, [(0, "text", None, 0, len(text))])], f"doc_id long, text string, {CELLS}")
     monkeypatch.setattr(lk, "SHARD_ITEMS", 2)
     assert sorted(r.item_id for r in lk.leaks(df, items).collect()) == list(range(9))
+
+
+def test_short_items_against_brute_force():
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(12)]
+    items = [(i, [rng.choice(pool) for _ in range(rng.randint(1, 9))]) for i in range(14)]
+    wm, found = lk.WuManber(items), 0
+    for _ in range(200):
+        words = [rng.choice(pool) for _ in range(rng.randint(0, 14))]
+        want = brute(words, items)
+        assert wm.leaked(words) == want
+        found += len(want)
+    assert found > 100
+
+
+def test_short_item_in_a_document(spark):
+    items = spark.createDataFrame([(1, "seven plain words make up this item"), (2, "uno dos tres"), (3, "alone")], "item_id long, text string")
+    texts = ["say: Seven plain words make up this item!", "uno, dos", "uno tres", "not ALONE here"]
+    df = spark.createDataFrame([(i, t, [(0, "text", None, 0, len(t))]) for i, t in enumerate(texts)], f"doc_id long, text string, {CELLS}")
+    assert sorted(map(tuple, lk.leaks(df, items).collect())) == [(0, 1), (1, 2), (3, 3)]
+
+
+def test_changing_searchers(spark, monkeypatch):
+    """More shards than a task keeps: documents wait in groups."""
+    items = spark.createDataFrame([(i, " ".join(f"x{i}y{j}" for j in range(10))) for i in range(9)], "item_id long, text string")
+    texts = [" ".join(f"x{i}y{j}" for j in range(10)) for i in range(9)] * 3
+    df = spark.createDataFrame([(n, t, [(0, "text", None, 0, len(t))]) for n, t in enumerate(texts)], f"doc_id long, text string, {CELLS}")
+    monkeypatch.setattr(lk, "SHARD_ITEMS", 1)
+    monkeypatch.setattr(lk, "GROUP_CHARS", 100)
+    assert sorted(map(tuple, lk.leaks(df, items).collect())) == [(n, n % 9) for n in range(27)]
