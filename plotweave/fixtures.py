@@ -80,14 +80,16 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def rectangles(df: DataFrame) -> DataFrame:
-    """Adds rings and bbox from x0, y0, w, h; ``lcut`` rows are L-shaped."""
+    """Adds rings and bbox from x0, y0, w, h; ``lcut`` rows are L-shaped, with bars
+    as wide as ``notch`` (1 where there is no such column)."""
     x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h")
     rings = g.rectangle(x0, y0, x1, y1)
     if "lcut" in df.columns:
         def p(x, y):
             return F.struct(x.alias("x"), y.alias("y"))
 
-        cut = F.array(F.array(p(x0, y0), p(x1, y0), p(x1, y0 + 1), p(x0 + 1, y0 + 1), p(x0 + 1, y1), p(x0, y1), p(x0, y0)))
+        u = F.col("notch") if "notch" in df.columns else F.lit(1.0)
+        cut = F.array(F.array(p(x0, y0), p(x1, y0), p(x1, y0 + u), p(x0 + u, y0 + u), p(x0 + u, y1), p(x0, y1), p(x0, y0)))
         rings = F.when(F.col("lcut"), cut).otherwise(rings)
     out = df.withColumn("rings", rings)
     return out.withColumn("bbox", g.bbox(F.col("rings")))

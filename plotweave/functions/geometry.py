@@ -10,15 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plotweave.functions import overlay, wkb
+from plotweave.functions import kernels, overlay, wkb
+from plotweave.functions.kernels import A1, A2, E, RADIUS, SCALE
 
 _XY = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 RINGS = T.ArrayType(T.ArrayType(_XY))
+BOX = T.StructType([T.StructField(c, T.DoubleType()) for c in ("xmin", "ymin", "xmax", "ymax")])
 
 
 def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -38,21 +42,23 @@ def bbox(rings: Column) -> Column:
 
 
 def within(x: Column, y: Column, rings: Column) -> Column:
-    """Strictly inside: odd crossings and on no edge."""
-    def edges(r: Column, f) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(r) - 1, F.lit(1))), lambda i: f(F.get(r, i - 1), F.get(r, i)))
+    """Strictly inside: odd crossings and on no edge. One pass over the vertices
+    of each ring, which remembers the one before."""
+    def number(c: Column, n: str) -> Column:
+        return c.cast("double").alias(n)
 
-    def crosses(a: Column, b: Column) -> Column:
-        hit = ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
-        return F.coalesce(hit, F.lit(False)).cast("int")
+    start = F.struct(F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(False).alias("odd"), F.lit(False).alias("on"))
 
-    def touches(a: Column, b: Column) -> Column:
-        flat = (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"]) == 0
-        return flat & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+    def step(a: Column, p: Column) -> Column:
+        off = (p["x"] - a["x"]) * (y - a["y"]) - (p["y"] - a["y"]) * (x - a["x"])
+        hit = ((a["y"] > y) != (p["y"] > y)) & ((off > 0) == (p["y"] > a["y"])) & (off != 0)
+        on = (off == 0) & x.between(F.least(a["x"], p["x"]), F.greatest(a["x"], p["x"])) & y.between(F.least(a["y"], p["y"]), F.greatest(a["y"], p["y"]))
+        first = a["x"].isNull()
+        return F.struct(number(p["x"], "x"), number(p["y"], "y"), F.when(first, False).otherwise(a["odd"] != hit).alias("odd"), F.when(first, False).otherwise(a["on"] | on).alias("on"))
 
-    n = F.aggregate(F.flatten(F.transform(rings, lambda r: edges(r, crosses))), F.lit(0), lambda a, v: a + v)
-    on = F.exists(F.flatten(F.transform(rings, lambda r: edges(r, touches))), lambda v: F.coalesce(v, F.lit(False)))
-    return (n % 2 == 1) & ~on
+    ring = F.transform(rings, lambda r: F.aggregate(r, start, step, lambda a: F.struct(a["odd"].alias("odd"), a["on"].alias("on"))))
+    both = F.struct(F.lit(False).alias("odd"), F.lit(False).alias("on"))
+    return F.aggregate(ring, both, lambda a, r: F.struct((a["odd"] != r["odd"]).alias("odd"), (a["on"] | r["on"]).alias("on")), lambda a: a["odd"] & ~a["on"])
 
 
 def _shoelace(points: Column) -> Column:
@@ -79,10 +85,6 @@ def area(rings: Column, projected=lambda ring: ring) -> Column:
     return F.abs(F.aggregate(signed, F.lit(0.0), lambda a, v: a + v))
 
 
-# WGS 84 and the order-2 Krueger series.
-_E, _RADIUS, _A1, _A2, _SCALE = 0.08181919084262157, 6367449.14582, 8.377318206e-4, 7.608527773e-7, 0.9996
-
-
 def utm_zone(lon: Column) -> Column:
     """Zone of a longitude, 1 to 60."""
     return F.least(F.greatest(F.floor((lon + 180) / 6) + 1, F.lit(1)), F.lit(60)).cast("int")
@@ -94,7 +96,7 @@ def utm_points(points: Column, zone: Column) -> Column:
     no part is computed twice."""
     def start(p: Column) -> Column:
         phi, lam = F.radians(p["y"]), F.radians(p["x"] - (zone * 6 - 183))
-        t = F.sinh(F.atanh(F.sin(phi)) - _E * F.atanh(_E * F.sin(phi)))
+        t = F.sinh(F.atanh(F.sin(phi)) - E * F.atanh(E * F.sin(phi)))
         return F.struct(t.alias("t"), F.cos(lam).alias("c"), F.sin(lam).alias("s"))
 
     def angles(q: Column) -> Column:
@@ -102,10 +104,10 @@ def utm_points(points: Column, zone: Column) -> Column:
 
     def series(q: Column) -> Column:
         east, north = q["eta"], q["xi"]
-        for j, a in ((2, _A1), (4, _A2)):
+        for j, a in ((2, A1), (4, A2)):
             east = east + a * F.cos(j * q["xi"]) * F.sinh(j * q["eta"])
             north = north + a * F.sin(j * q["xi"]) * F.cosh(j * q["eta"])
-        return F.struct((500000 + _SCALE * _RADIUS * east).alias("x"), (_SCALE * _RADIUS * north).alias("y"))
+        return F.struct((500000 + SCALE * RADIUS * east).alias("x"), (SCALE * RADIUS * north).alias("y"))
 
     return F.transform(F.transform(F.transform(points, start), angles), series)
 
@@ -194,64 +196,88 @@ def geojson_rings(c: Column) -> Column:
     return F.when(kind == "Polygon", points(one)).when(kind == "MultiPolygon", points(many))
 
 
-# Arrow batches between WKB and rings
+# Arrow batches: whole columns as flat arrays, no row is touched alone unless its
+# geometry has several rings
+
+
+def _rings(blobs: pa.Array) -> wkb.Rings:
+    return wkb.read(blobs.to_pylist())
 
 
-@F.pandas_udf(RINGS)
-def decode(blobs: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in blobs:
-        r = wkb.read(s.tolist())
-        out: list = [None] * len(s)
-        for k, g in enumerate(r.geom):
-            xy = r.xy[r.start[k] : r.start[k + 1]]
-            if out[g] is None:
-                out[g] = []
-            out[g].append([{"x": x, "y": y} for x, y in xy.tolist()])
-        yield pd.Series(out, index=s.index, dtype=object)
+@F.arrow_udf(RINGS)
+def decode(blobs: pa.Array) -> pa.Array:
+    r = _rings(blobs)
+    points = pa.StructArray.from_arrays([pa.array(r.xy[:, 0]), pa.array(r.xy[:, 1])], ["x", "y"])
+    rings = pa.ListArray.from_arrays(pa.array(r.start, pa.int32()), points)
+    count = np.bincount(r.geom, minlength=r.n_geoms)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)], pa.int32()), rings, mask=pa.array(count == 0))
 
 
-@F.pandas_udf(T.BinaryType())
-def encode(rings: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def rings_of(column: pa.Array) -> wkb.Rings:
+    """Flat arrays of a column of rings."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    rings = column.flatten()
+    points = rings.flatten()
+    count = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    size = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False)
+    xy = np.stack([pc.struct_field(points, k).to_numpy(zero_copy_only=False) for k in (0, 1)], axis=1) if len(points) else np.empty((0, 2))
+    return wkb.Rings(xy.astype(float), np.r_[0, np.cumsum(size)].astype(np.int64), np.repeat(np.arange(len(column)), count), len(column))
+
+
+@F.arrow_udf(T.BinaryType())
+def encode(rings: pa.Array) -> pa.Array:
     """WKB of rings: each outer ring with its holes, by nesting."""
-    for s in rings:
-        yield pd.Series([overlay.to_wkb([[(p["x"], p["y"]) for p in r] for r in g]) if g is not None and len(g) else None for g in s], index=s.index, dtype=object)
+    return pa.array(kernels.write(rings_of(rings)), pa.binary())
+
 
+@F.arrow_udf(BOX)
+def box_of(blobs: pa.Array) -> pa.Array:
+    """Struct xmin, ymin, xmax, ymax; NULL without polygons."""
+    b = _rings(blobs).bounds()
+    return pa.StructArray.from_arrays([pa.array(b[:, k]) for k in range(4)], ["xmin", "ymin", "xmax", "ymax"], mask=pa.array(np.isnan(b[:, 0])))
 
-@F.pandas_udf(_XY)
-def representative_point(blobs: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """A point inside: the middle of the widest span half-way up; the centre of
-    the box for rectangles."""
-    for s in blobs:
-        yield pd.DataFrame([(g and overlay.inner_point(g)) or (None, None) for g in overlay.polygons(s.tolist())], columns=["x", "y"], index=s.index, dtype=float)
 
+@F.arrow_udf(_XY)
+def representative_point(blobs: pa.Array) -> pa.Array:
+    """A point inside: the middle of the widest span at the height half-way
+    between the vertex heights around the centre; NULLs without area."""
+    p = kernels.inner_points(_rings(blobs))
+    none = np.isnan(p[:, 0])
+    return pa.StructArray.from_arrays([pa.array(p[:, k], mask=none) for k in (0, 1)], ["x", "y"])
 
-@F.pandas_udf(T.BinaryType())
-def clean(blobs: Iterator[pd.Series]) -> Iterator[pd.Series]:
+
+@F.arrow_udf(T.BinaryType())
+def clean(blobs: pa.Array) -> pa.Array:
     """Polygonal part, closed, without repeated vertices; rings that cross
     themselves are rebuilt by the even-odd rule; nothing left gives NULL."""
-    for s in blobs:
-        yield pd.Series([overlay.to_wkb(overlay.repaired(g)) if g else None for g in overlay.polygons(s.tolist())], index=s.index, dtype=object)
+    return pa.array(kernels.cleaned(_rings(blobs)), pa.binary())
 
 
-@F.pandas_udf(T.BinaryType())
-def snap(blobs: pd.Series, grid: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BinaryType())
+def snap(blobs: pa.Array, grid: pa.Array) -> pa.Array:
     """Vertices on a grid, collapsed rings dropped."""
-    got = [overlay.to_wkb(overlay.repaired(overlay.snapped(g, s))) if g else None for g, s in zip(overlay.polygons(blobs.tolist()), grid)]
-    return pd.Series(got, index=blobs.index, dtype=object)
+    return pa.array(kernels.cleaned(kernels.snapped(_rings(blobs), grid.to_numpy(zero_copy_only=False))), pa.binary())
 
 
 def clip(geometry: Column, boundary: bytes) -> Column:
     """The part of each geometry inside one boundary (a small driver-side blob)."""
-    @F.pandas_udf(T.BinaryType())
-    def run(blobs: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        clipper = overlay.Clipper(overlay.polygons([boundary])[0])
-        for s in blobs:
-            yield pd.Series([overlay.to_wkb(clipper.clip(g)) if g else None for g in overlay.polygons(s.tolist())], index=s.index, dtype=object)
+    @F.arrow_udf(T.BinaryType())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        clipper = overlay.Clipper((overlay.polygons([boundary]) or [None])[0])
+        for blobs in batches:
+            yield pa.array(kernels.clipped(_rings(blobs), clipper), pa.binary())
 
     return run(geometry)
 
 
-@F.pandas_udf(T.DoubleType())
-def intersection_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Planar area that two WKB geometries share, in units of their coordinates."""
-    return pd.Series([overlay.shared_area(x, y) if x and y else 0.0 for x, y in zip(overlay.polygons(a.tolist()), overlay.polygons(b.tolist()))], index=a.index)
+def shared(a: Column, b: Column, zone: Column | int = 0) -> Column:
+    """Struct area (that two WKB geometries share) and base (area of the first),
+    in square metres of a UTM zone, or in units of the coordinates for zone 0."""
+    return _shared(a, b, F.lit(zone) if isinstance(zone, int) else zone)
+
+
+@F.arrow_udf(T.StructType([T.StructField("area", T.DoubleType()), T.StructField("base", T.DoubleType())]))
+def _shared(a: pa.Array, b: pa.Array, zone: pa.Array) -> pa.Array:
+    z = pc.fill_null(zone, 0).to_numpy(zero_copy_only=False).astype(float)
+    left, right = (kernels.projected(kernels.closed(_rings(x)), z) for x in (a, b))
+    return pa.StructArray.from_arrays([pa.array(kernels.shared_areas(left, right)), pa.array(kernels.areas(left))], ["area", "base"])

@@ -69,6 +69,21 @@ def region_area(region: Region) -> float:
     return sum(signed_area(r) for r, _ in oriented(region))
 
 
+def parts(region: Region) -> list[Region]:
+    """Each outer ring with its holes."""
+    if len(region) == 1:
+        return [region]
+    nested = oriented(region)
+    outers = [(r, d, [r]) for r, d in nested if d % 2 == 0]
+    for r, d in nested:
+        if d % 2:
+            x, y = _ring_point(r)
+            home = next((o for o in outers if o[1] == d - 1 and _inside(x, y, [o[0]])), None)
+            if home:
+                home[2].append(r)
+    return [rs for _, _, rs in outers]
+
+
 def to_wkb(region: Sequence) -> bytes | None:
     """Polygon or multipolygon; holes go to the outer ring around them."""
     rings = [np.asarray(r, dtype=float) for r in region if len(r) > 3]
@@ -76,32 +91,24 @@ def to_wkb(region: Sequence) -> bytes | None:
         return None
     if len(rings) == 1:
         return wkb.polygon(rings[0] if signed_area(rings[0]) > 0 else rings[0][::-1])
-    sorted_rings = oriented(rings)
-    outers = [(r, d, [r]) for r, d in sorted_rings if d % 2 == 0]
-    for r, d in sorted_rings:
-        if d % 2:
-            x, y = _ring_point(r)
-            home = [o for o in outers if o[1] == d - 1 and _inside(x, y, [o[0]])]
-            if home:
-                home[0][2].append(r)
-    parts = [wkb.polygon(*rs) for _, _, rs in outers]
-    return None if not parts else parts[0] if len(parts) == 1 else wkb.multipolygon(*parts)
+    pieces = [wkb.polygon(*rs) for rs in parts(rings)]
+    return None if not pieces else pieces[0] if len(pieces) == 1 else wkb.multipolygon(*pieces)
 
 
 def inner_point(region: Region) -> tuple[float, float] | None:
-    """Middle of the widest inside span at half height; if a vertex lies at that
-    height, half-way to the next vertex height below it."""
-    ys = np.unique(np.concatenate([r[:, 1] for r in region]))
-    if len(ys) < 2:
-        return None
-    y = (ys[0] + ys[-1]) / 2
-    if (ys == y).any():
-        y = (y + ys[ys < y].max()) / 2
-    spans = _spans(region, y)
-    if not spans:
-        return None
-    a, b = max(spans, key=lambda s: s[1] - s[0])
-    return (float(a + b) / 2, float(y)) if b > a else None
+    """Middle of the widest inside span of all parts, taken half-way between the
+    vertex heights around the middle of the part."""
+    best = None
+    for part in parts(region):
+        ys = np.unique(np.concatenate([r[:, 1] for r in part]))
+        if len(ys) < 2:
+            continue
+        mid = (ys[0] + ys[-1]) / 2
+        y = (ys[ys <= mid].max() + ys[ys > mid].min()) / 2
+        for a, b in _spans(part, y):
+            if b > a and (best is None or b - a > best[0]):
+                best = b - a, float(a + b) / 2, float(y)
+    return None if best is None else best[1:]
 
 
 def _spans(region: Region, y: float) -> list[tuple[float, float]]:
@@ -131,16 +138,38 @@ def _edges(region: Region) -> np.ndarray:
     return np.concatenate([np.hstack([r[:-1], r[1:]]) for r in region]) if region else np.empty((0, 4))
 
 
+def _near_pairs(a: np.ndarray, b: np.ndarray, chunk: int = 1_000_000):
+    """Index pairs of edges whose boxes meet, some at a time: the edges of ``b``
+    in order of their lower ends are met by a sweep."""
+    low, high = np.minimum(b[:, 1], b[:, 3]), np.maximum(b[:, 1], b[:, 3])
+    order = np.argsort(low, kind="stable")
+    low, tall = low[order], float((high - low[np.argsort(order)]).max(initial=0))
+    bottom, top = np.minimum(a[:, 1], a[:, 3]), np.maximum(a[:, 1], a[:, 3])
+    first, last = np.searchsorted(low, bottom - tall, side="left"), np.searchsorted(low, top, side="right")
+    done = np.cumsum(last - first)
+    at = 0
+    while at < len(a):
+        end = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + chunk, side="right")))
+        i, j = wkb.spans(first[at:end], last[at:end])
+        i, j = i + at, order[j]
+        ok = (high[j] >= bottom[i]) & (np.maximum(a[i, 0], a[i, 2]) >= np.minimum(b[j, 0], b[j, 2])) & (np.minimum(a[i, 0], a[i, 2]) <= np.maximum(b[j, 0], b[j, 2]))
+        yield i[ok], j[ok]
+        at = end
+
+
 def _crossings(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Heights where edges of ``a`` properly cross or touch edges of ``b``."""
-    ax, ay, bx, by = (a[:, None, k] for k in range(4))
-    cx, cy, dx, dy = (b[None, :, k] for k in range(4))
-    den = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
-    with np.errstate(all="ignore"):
-        t = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / den
-        u = ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / den
+    """Heights where edges of ``a`` properly cross edges of ``b``."""
+    out = [np.empty(0)]
+    for i, j in _near_pairs(a, b):
+        ax, ay, bx, by = a[i].T
+        cx, cy, dx, dy = b[j].T
+        den = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
+        with np.errstate(all="ignore"):
+            t = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / den
+            u = ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / den
         ok = (den != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
-        return (ay + t * (by - ay))[ok]
+        out.append((ay + t * (by - ay))[ok])
+    return np.concatenate(out)
 
 
 def crosses_itself(region: Region) -> bool:

@@ -16,6 +16,7 @@ from plotweave.functions import geometry as g
 from plotweave.functions.scalars import sum_either
 from plotweave.functions.text import real
 from plotweave.operators.spatial_join import boxes_meet, points_in_polygons
+from plotweave.session import cut
 from plotweave.schema import FOOTPRINT, NSI, NSI_ATTACHED, OSM, PARCEL, PARCEL_ATTACHED, ensure_columns, project
 
 #: Grid cell in degrees, near the extent of a building with its lot.
@@ -23,8 +24,9 @@ CELL_DEG = 0.0005
 
 
 def with_rings(df: DataFrame) -> DataFrame:
-    out = df.withColumn("rings", g.decode("geometry"))
-    return out.withColumn("bbox", g.bbox(F.col("rings")))
+    """Rings and box in place of the geometry, decoded once: the grid levels are
+    looked up before the join, so the table is cut here."""
+    return cut(df.withColumns({"rings": g.decode("geometry"), "bbox": g.box_of("geometry")}).drop("geometry"))
 
 
 def inner_points(df: DataFrame, key: str = "StructureID") -> DataFrame:
@@ -37,8 +39,8 @@ def shapes_of(df: DataFrame, key: str = "StructureID") -> DataFrame:
     """key, rings, bbox and representative point (x, y): what the joins need,
     decoded once."""
     p = g.representative_point("geometry")
-    out = df.select(key, g.decode("geometry").alias("rings"), p.alias("p"))
-    return out.select(key, "rings", g.bbox(F.col("rings")).alias("bbox"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    out = df.select(key, g.decode("geometry").alias("rings"), g.box_of("geometry").alias("bbox"), p.alias("p"))
+    return out.select(key, "rings", "bbox", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -85,7 +87,7 @@ def attach_osm(base: DataFrame, osm: DataFrame, cell: float = CELL_DEG, shapes:
     representative point; ties go to the lowest OSMID. ``shapes`` (of
     ``shapes_of``) spares decoding a base that has been attached to before."""
     attributes = {c: t for c, t in OSM.items() if c != "geometry"}
-    polygons = with_rings(project(osm, OSM)).drop("geometry")
+    polygons = with_rings(project(osm, OSM))
     points = inner_points(base) if shapes is None else shapes.select("StructureID", "x", "y")
     pairs = points_in_polygons(points, polygons, cell)
     first = first_per_key(pairs.select("StructureID", *attributes), "StructureID", [F.col("OSMID").isNull(), F.length("OSMID"), F.col("OSMID")])
@@ -115,7 +117,7 @@ def attach_inventory(base: DataFrame, nsi: DataFrame, cell: float = CELL_DEG, sh
     points = ensure_columns(nsi, NSI)
     if "ordinal" not in points.columns:
         points = points.withColumn("ordinal", F.struct(F.length("fd_id"), F.col("fd_id")))
-    polygons = with_rings(base.select("StructureID", "geometry")).drop("geometry") if shapes is None else shapes.select("StructureID", "rings", "bbox")
+    polygons = with_rings(base.select("StructureID", "geometry")) if shapes is None else shapes.select("StructureID", "rings", "bbox")
     joined = points_in_polygons(points.select(*NSI, "ordinal", "x", "y"), polygons, cell)
     return coalesce_onto(base, aggregate_inventory(joined.select("StructureID", *NSI, "ordinal")), "StructureID", NSI_ATTACHED)
 
@@ -123,7 +125,7 @@ def attach_inventory(base: DataFrame, nsi: DataFrame, cell: float = CELL_DEG, sh
 def attach_parcels(base: DataFrame, parcels: DataFrame, cell: float = CELL_DEG, shapes: DataFrame | None = None) -> DataFrame:
     """The smallest parcel around the representative point, areas unknown
     last, then the lower ParcelID."""
-    polygons = with_rings(project(parcels, PARCEL)).drop("geometry")
+    polygons = with_rings(project(parcels, PARCEL))
     points = inner_points(base) if shapes is None else shapes.select("StructureID", "x", "y")
     pairs = points_in_polygons(points, polygons, cell)
     columns = [c for c in PARCEL if c != "geometry"]
@@ -132,19 +134,21 @@ def attach_parcels(base: DataFrame, parcels: DataFrame, cell: float = CELL_DEG,
     return coalesce_onto(base, first, "StructureID", PARCEL_ATTACHED)
 
 
-def best_overlap(base: DataFrame, candidates: DataFrame, columns: Sequence[str], key: str = "StructureID",
-                 least_ratio: float = 0.0, cell: float = CELL_DEG, candidate_key: str | None = None) -> DataFrame:
+def best_overlap(base: DataFrame, candidates: DataFrame, columns: Sequence[str], key: str = "StructureID", least_ratio: float = 0.0,
+                 cell: float = CELL_DEG, candidate_key: str | None = None, metres: bool = True) -> DataFrame:
     """Per base polygon the candidate that shares the most area with it:
     key, columns, overlap_area, overlap_ratio (of the base's area; a base without
-    area has ratio 0). Ties go to the lower candidate key."""
-    tie = candidate_key or columns[0]
-    a = with_rings(base.select(key, F.col("geometry"))).select(key, "bbox", F.col("geometry").alias("l_geometry"), g.area(F.col("rings")).alias("_base"))
-    b = with_rings(candidates.select(*{*columns, tie}, "geometry")).select(*[c for c in dict.fromkeys([*columns, tie])], "bbox", F.col("geometry").alias("r_geometry"))
-    pairs = boxes_meet(a, b, cell).withColumn("overlap_area", g.intersection_area("l_geometry", "r_geometry"))
-    pairs = pairs.withColumn("overlap_ratio", F.coalesce(F.col("overlap_area") / F.nullif(F.col("_base"), F.lit(0.0)), F.lit(0.0)))
-    good = pairs.where((F.col("overlap_area") > 0) & (F.col("overlap_ratio") >= least_ratio))
-    keep = list(dict.fromkeys([*columns, tie]))
-    return first_per_key(good.select(key, *keep, "overlap_area", "overlap_ratio"), key, [-F.col("overlap_area"), F.col(tie)]).select(key, *columns, "overlap_area", "overlap_ratio")
+    area has ratio 0). Areas are square metres in the UTM zone of the base's
+    middle, or in units of the coordinates without ``metres``. Ties go to the
+    lower candidate key."""
+    keep = list(dict.fromkeys([*columns, candidate_key or columns[0]]))
+    a = cut(base.select(key, g.box_of("geometry").alias("bbox"), F.col("geometry").alias("l_geometry")))
+    b = cut(candidates.select(*keep, g.box_of("geometry").alias("bbox"), F.col("geometry").alias("r_geometry")))
+    zone = g.frame_zone(a).scalar() if metres else F.lit(0)
+    pairs = boxes_meet(a, b, cell).withColumn("_s", g.shared(F.col("l_geometry"), F.col("r_geometry"), zone))
+    ratio = F.coalesce(F.col("_s.area") / F.nullif(F.col("_s.base"), F.lit(0.0)), F.lit(0.0))
+    good = pairs.select(key, *keep, F.col("_s.area").alias("overlap_area"), ratio.alias("overlap_ratio")).where((F.col("overlap_area") > 0) & (F.col("overlap_ratio") >= least_ratio))
+    return first_per_key(good, key, [-F.col("overlap_area"), F.col(keep[-1] if candidate_key else columns[0])]).select(key, *columns, "overlap_area", "overlap_ratio")
 
 
 def dedup_across_tiles(features: DataFrame, tile: str = "tile", key: str = "fd_id") -> DataFrame:

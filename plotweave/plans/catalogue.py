@@ -14,7 +14,7 @@ from plotweave.functions import rules
 from plotweave.functions import scalars as sc
 from plotweave.functions.text import entity_key
 from plotweave.operators import conflate as cf
-from plotweave.operators.spatial_join import boxes_meet, points_in_polygons
+from plotweave.operators.spatial_join import boxes_meet
 from plotweave.plans import profile
 from plotweave.schema import OSM, empty
 from plotweave.plans.pipeline import Inputs, build_city
@@ -87,7 +87,23 @@ def place_name(s: SparkSession, d: str) -> DataFrame:
     return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", sc.place_name(F.expr(_PLACE)).alias("place"))  # region: five rows
 
 
-_TYPE_CASE = "CASE " + " ".join(f"WHEN regexp_matches(lower(coalesce({{0}}, '')), '{p}') THEN '{t}'" for p, t in rules.TYPE_RULES) + " ELSE 'unknown' END"
+# written by hand: the first line that fits decides
+_TYPE_CASE = """CASE
+  WHEN regexp_matches(lower({0}), 'condo') THEN 'condo'
+  WHEN regexp_matches(lower({0}), 'apart|res3|multi.?family') THEN 'apartment'
+  WHEN regexp_matches(lower({0}), '[hm]otel|res4') THEN 'hotel'
+  WHEN regexp_matches(lower({0}), 'garage|parking') THEN 'garage'
+  WHEN regexp_matches(lower({0}), 'barn|farm_auxiliary|agric|stable|greenhouse') THEN 'barn'
+  WHEN regexp_matches(lower({0}), 'mobile|res2|manufactured') THEN 'mobile_home'
+  WHEN regexp_matches(lower({0}), 'school|college|university|edu') THEN 'education'
+  WHEN regexp_matches(lower({0}), 'hospital|clinic|medical|nursing|res6') THEN 'healthcare'
+  WHEN regexp_matches(lower({0}), 'warehouse|wholesale|com2') THEN 'warehouse'
+  WHEN regexp_matches(lower({0}), 'factory|ind') THEN 'industrial'
+  WHEN regexp_matches(lower({0}), 'retail|office|com') THEN 'commercial'
+  WHEN regexp_matches(lower({0}), 'church|civic|public|government|religious') THEN 'public'
+  WHEN regexp_matches(lower({0}), 'house|detached|terrace|res') THEN 'residential'
+  ELSE 'unknown' END"""
+_SINGLE = "'house|detached|terrace|res[12]|mobile'"
 
 
 @query(f"SELECT k, tag, {_TYPE_CASE.format('tag')} AS structure_type FROM fx_tags")
@@ -122,7 +138,7 @@ def stories_estimate(s: SparkSession, d: str) -> DataFrame:
 
 
 _UNITS = "coalesce(u_osm, u_nsi)"
-_INFER = f"({_UNITS} IS NULL AND {_TYPE_CASE.format('(' + _RAW + ')')} IN ('residential', 'mobile_home') AND regexp_matches(lower(coalesce({_RAW}, '')), '{rules.SINGLE_FAMILY}'))"
+_INFER = f"({_UNITS} IS NULL AND {_TYPE_CASE.format('(' + _RAW + ')')} IN ('residential', 'mobile_home') AND regexp_matches(lower(coalesce({_RAW}, '')), {_SINGLE}))"
 
 
 @query(f"""SELECT k, CASE WHEN {_INFER} THEN 1e0 ELSE {_UNITS} END AS units,
@@ -190,22 +206,7 @@ def _base(s: SparkSession, d: str) -> DataFrame:
 SELECT b.sid, cast(m.oid AS VARCHAR) AS osmid, m.st AS tag FROM fx_base b LEFT JOIN m ON m.sid = b.sid AND m.n = 1""")
 def osm_attach(s: SparkSession, d: str) -> DataFrame:
     osm = blobs(view(s, d, "fx_osm")).select(F.col("oid").cast("string").alias("OSMID"), F.col("st").alias("OSM_StructureType"), "geometry")
-    base = _base(s, d).join(_fixture_points(s, d), "StructureID")
-    return _attached_at_points(base, osm).select(F.col("StructureID").alias("sid"), F.col("OSMID").alias("osmid"), F.col("OSM_StructureType").alias("tag"))
-
-
-def _fixture_points(s: SparkSession, d: str) -> DataFrame:
-    return view(s, d, "fx_base_pt").select(F.col("sid").alias("StructureID"), F.col("px").alias("x"), F.col("py").alias("y"))
-
-
-def _attached_at_points(base: DataFrame, osm: DataFrame) -> DataFrame:
-    """attach_osm with the fixture's own interior points."""
-    from plotweave.schema import OSM, project
-
-    attributes = {c: t for c, t in OSM.items() if c != "geometry"}
-    pairs = points_in_polygons(base.select("StructureID", "x", "y"), cf.with_rings(project(osm, OSM)).drop("geometry"), CELL)
-    first = cf.first_per_key(pairs.select("StructureID", *attributes), "StructureID", [F.col("OSMID").isNull(), F.length("OSMID"), F.col("OSMID")])
-    return cf.coalesce_onto(base.drop("x", "y"), first, "StructureID", attributes)
+    return cf.attach_osm(_base(s, d), osm, CELL).select(F.col("StructureID").alias("sid"), F.col("OSMID").alias("osmid"), F.col("OSM_StructureType").alias("tag"))
 
 
 @query(f"""WITH j AS (SELECT b.sid, p.* FROM fx_base b JOIN fx_pts p ON {_IN_BASE.format(x="p.px", y="p.py")}),
@@ -223,28 +224,45 @@ def inventory_attach(s: SparkSession, d: str) -> DataFrame:
                       F.col("NSI_NumStory").alias("stories"), F.col("NSI_ResUnits").alias("units"), F.col("NSI_EmpNum").alias("employed"))
 
 
-@query("""WITH c AS (SELECT *, x0 + w / 2 AS cx, y0 + h / 2 AS cy FROM fx_base WHERE NOT lcut),
+@query("""WITH c AS (SELECT sid, px AS cx, py AS cy FROM fx_base_pt),
 m AS (SELECT c.sid, cast(o.oid AS VARCHAR) AS parcel, CASE WHEN o.oid % 7 = 0 THEN NULL ELSE o.w * o.h END AS area,
   row_number() OVER (PARTITION BY c.sid ORDER BY CASE WHEN o.oid % 7 = 0 THEN NULL ELSE o.w * o.h END NULLS LAST, cast(o.oid AS VARCHAR)) AS n
   FROM c JOIN fx_osm o ON c.cx > o.x0 AND c.cx < o.x0 + o.w AND c.cy > o.y0 AND c.cy < o.y0 + o.h)
 SELECT c.sid, m.parcel, m.area, CASE WHEN m.parcel IS NOT NULL THEN 'representative_point_within' END AS method FROM c LEFT JOIN m ON m.sid = c.sid AND m.n = 1""")
 def parcel_attach(s: SparkSession, d: str) -> DataFrame:
-    base = blobs(view(s, d, "fx_base").where("not lcut")).select(F.col("sid").alias("StructureID"), "geometry")
+    base = _base(s, d)
     parcels = blobs(view(s, d, "fx_osm")).select(F.col("oid").cast("string").alias("ParcelID"), F.expr("CASE WHEN oid % 7 = 0 THEN NULL ELSE w * h END").alias("ParcelArea_m2"), F.lit("lots").alias("ParcelSource"), "geometry")
     out = cf.attach_parcels(base, parcels, cell=CELL)
     return out.select(F.col("StructureID").alias("sid"), F.col("ParcelID").alias("parcel"), F.col("ParcelArea_m2").alias("area"), F.col("ParcelMatchMethod").alias("method"))
 
 
-@query("""WITH p AS (SELECT b.sid, o.oid, greatest(0e0, least(b.x0 + b.w, o.x0 + o.w) - greatest(b.x0, o.x0)) * greatest(0e0, least(b.y0 + b.h, o.y0 + o.h) - greatest(b.y0, o.y0)) AS area, b.w * b.h AS base
-  FROM (SELECT * FROM fx_base WHERE NOT lcut) b JOIN fx_osm o ON least(b.x0 + b.w, o.x0 + o.w) > greatest(b.x0, o.x0) AND least(b.y0 + b.h, o.y0 + o.h) > greatest(b.y0, o.y0)),
-r AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY area DESC, oid) AS n FROM p WHERE area > 0 AND area / base >= 0.05e0)
+# an L is its lower bar and the post on it
+_SHARED = """WITH bars AS (
+  SELECT sid, lcut, w * h AS whole, x0, y0, x0 + w AS x1, CASE WHEN lcut THEN y0 + 1 ELSE y0 + h END AS y1 FROM fx_base
+  UNION ALL SELECT sid, lcut, w * h, x0, y0 + 1, x0 + 1, y0 + h FROM fx_base WHERE lcut),
+size AS (SELECT sid, sum((x1 - x0) * (y1 - y0)) AS base FROM bars GROUP BY sid),
+p AS (SELECT b.sid, o.oid, sum((least(b.x1, o.x0 + o.w) - greatest(b.x0, o.x0)) * (least(b.y1, o.y0 + o.h) - greatest(b.y0, o.y0))) AS area
+  FROM bars b JOIN fx_osm o ON least(b.x1, o.x0 + o.w) > greatest(b.x0, o.x0) AND least(b.y1, o.y0 + o.h) > greatest(b.y0, o.y0) GROUP BY b.sid, o.oid)"""
+
+
+@query(f"""{_SHARED}, r AS (SELECT p.*, base, row_number() OVER (PARTITION BY p.sid ORDER BY area DESC, oid) AS n FROM p JOIN size ON size.sid = p.sid WHERE area / base >= 0.05e0)
 SELECT sid, oid, round(area, 9) AS overlap_area, round(area / base, 9) AS overlap_ratio FROM r WHERE n = 1""")
 def best_overlap(s: SparkSession, d: str) -> DataFrame:
-    base = blobs(view(s, d, "fx_base").where("not lcut")).select("sid", "geometry")
-    got = cf.best_overlap(base, blobs(view(s, d, "fx_osm")).select("oid", "geometry"), ["oid"], key="sid", least_ratio=0.05, cell=CELL)
+    base = blobs(view(s, d, "fx_base")).select("sid", "geometry")
+    got = cf.best_overlap(base, blobs(view(s, d, "fx_osm")).select("oid", "geometry"), ["oid"], key="sid", least_ratio=0.05, cell=CELL, metres=False)
     return got.select("sid", "oid", F.round("overlap_area", 9).alias("overlap_area"), F.round("overlap_ratio", 9).alias("overlap_ratio"))
 
 
+# the lattice near 41 degrees north: shares of an area survive the projection to
+# a few millionths, so they are compared in steps no lattice share lies beside
+@query(f"""{_SHARED} SELECT p.sid, cast(floor(max(area) / any_value(base) * 1000 + 0.37e0) AS BIGINT) AS share FROM p JOIN size ON size.sid = p.sid GROUP BY p.sid""")
+def best_overlap_metres(s: SparkSession, d: str) -> DataFrame:
+    small = ("-88d + x0 / 65536 AS x0", "41d + y0 / 65536 AS y0", "w / 65536 AS w", "h / 65536 AS h")
+    base = blobs(view(s, d, "fx_base").selectExpr("sid", "lcut", "1 / 65536d AS notch", *small)).select("sid", "geometry")
+    got = cf.best_overlap(base, blobs(view(s, d, "fx_osm").selectExpr("oid", *small)).select("oid", "geometry"), ["oid"], key="sid", cell=CELL / 65536)
+    return got.select("sid", F.floor(F.col("overlap_ratio") * 1000 + 0.37).alias("share"))
+
+
 @query("""SELECT b.sid, count(*) AS n FROM fx_base b JOIN fx_extra e ON least(b.x0 + b.w, e.x0 + e.w) > greatest(b.x0, e.x0)
   AND least(b.y0 + b.h, e.y0 + e.h) > greatest(b.y0, e.y0) GROUP BY b.sid""")
 def box_pairs(s: SparkSession, d: str) -> DataFrame:
@@ -266,30 +284,39 @@ def total_bounds(s: SparkSession, d: str) -> DataFrame:
 
 
 def _utm_sql(lon: str, lat: str) -> tuple[str, str]:
-    phi, lam = f"radians({lat})", f"radians({lon} + 87e0)"
-    e = 0.08181919084262157
-    t = f"sinh(atanh(sin({phi})) - {e} * atanh({e} * sin({phi})))"
-    xi, eta = f"atan2({t}, cos({lam}))", f"asinh(sin({lam}) / sqrt({t} * {t} + cos({lam}) * cos({lam})))"
-    a = ((2, 8.377318206e-4), (4, 7.608527773e-7))
-    east = " + ".join([eta, *[f"{c} * cos({k} * {xi}) * sinh({k} * {eta})" for k, c in a]])
-    north = " + ".join([xi, *[f"{c} * sin({k} * {xi}) * cosh({k} * {eta})" for k, c in a]])
-    return f"(0.9996e0 * 6367449.14582e0 * ({east}))", f"(0.9996e0 * 6367449.14582e0 * ({north}))"
+    """Easting and northing in zone 16 by the series in powers of the distance
+    from the meridian (another way than the operator's)."""
+    e2 = 0.0066943799901413165
+    f, ep = f"radians({lat})", e2 / (1 - e2)
+    n = f"(6378137e0 / sqrt(1e0 - {e2} * sin({f}) * sin({f})))"
+    t, c = f"(tan({f}) * tan({f}))", f"({ep} * cos({f}) * cos({f}))"
+    a = f"(cos({f}) * radians({lon} + 87e0))"
+    arc = [1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256 - 175 * e2**4 / 16384, 3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024 + 420 * e2**4 / 16384, 15 * e2**2 / 256 + 45 * e2**3 / 1024 + 525 * e2**4 / 16384, 35 * e2**3 / 3072 + 175 * e2**4 / 12288]
+    k = [f"{v:.20f}e0" for v in arc]
+    m = f"(6378137e0 * ({k[0]} * {f} - {k[1]} * sin(2 * {f}) + {k[2]} * sin(4 * {f}) - {k[3]} * sin(6 * {f})))"
+    east = f"0.9996e0 * {n} * ({a} + (1 - {t} + {c}) * pow({a}, 3) / 6 + (5 - 18 * {t} + {t} * {t} + 72 * {c} - 58 * {ep}) * pow({a}, 5) / 120)"
+    north = f"0.9996e0 * ({m} + {n} * tan({f}) * (pow({a}, 2) / 2 + (5 - {t} + 9 * {c} + 4 * {c} * {c}) * pow({a}, 4) / 24 + (61 - 58 * {t} + {t} * {t} + 600 * {c} - 330 * {ep}) * pow({a}, 6) / 720))"
+    return f"({east})", f"({north})"
 
 
 def _utm_area_sql() -> str:
-    corners = [("x0", "y0"), ("x0 + w", "y0"), ("x0 + w", "y0 + h"), ("x0", "y0 + h")]
+    u = "(1e0 / 4096)"
+    corners = [("x0", "y0"), ("x0 + w", "y0"), ("x0 + w", f"y0 + {u}"), (f"x0 + {u}", f"y0 + {u}"), (f"x0 + {u}", "y0 + h"), ("x0", "y0 + h"), ("x0 + w", "y0 + h")]
     cte = ", ".join(f"{_utm_sql(x, y)[i]} AS {n}{k}" for k, (x, y) in enumerate(corners) for i, n in enumerate("en"))
-    # diagonals of a quadrilateral
-    return f"""WITH q AS (SELECT sid, -88e0 + x0 / 4096 AS x0, 41e0 + y0 / 4096 AS y0, w / 4096 AS w, h / 4096 AS h FROM fx_base WHERE NOT lcut),
-c AS (SELECT sid, {cte} FROM q)
-SELECT sid, round(abs((e2 - e0) * (n3 - n1) - (e3 - e1) * (n2 - n0)) / 2, 2) AS area_m2 FROM c"""
+
+    def shoelace(ks: tuple[int, ...]) -> str:
+        return " + ".join(f"((e{a} - e0) * (n{b} - n0) - (e{b} - e0) * (n{a} - n0))" for a, b in zip(ks, (*ks[1:], ks[0])))
+
+    return f"""WITH q AS (SELECT sid, lcut, -88e0 + x0 / 4096 AS x0, 41e0 + y0 / 4096 AS y0, w / 4096 AS w, h / 4096 AS h FROM fx_base),
+c AS (SELECT sid, lcut, {cte} FROM q)
+SELECT sid, round(CASE WHEN lcut THEN {shoelace((0, 1, 2, 3, 4, 5))} ELSE {shoelace((0, 1, 6, 5))} END / 2, 1) AS area_m2 FROM c"""
 
 
 @query(_utm_area_sql())
 def utm_area(s: SparkSession, d: str) -> DataFrame:
-    df = view(s, d, "fx_base").where("not lcut").selectExpr("sid", "-88d + x0 / 4096 AS x0", "41d + y0 / 4096 AS y0", "w / 4096 AS w", "h / 4096 AS h")
+    df = view(s, d, "fx_base").selectExpr("sid", "lcut", "-88d + x0 / 4096 AS x0", "41d + y0 / 4096 AS y0", "w / 4096 AS w", "h / 4096 AS h", "1 / 4096d AS notch")
     df = rectangles(df)
-    return df.withColumn("zone", g.frame_zone(df).scalar()).select("sid", F.round(g.utm_area(F.col("rings"), F.col("zone")), 2).alias("area_m2"))
+    return df.withColumn("zone", g.frame_zone(df).scalar()).select("sid", F.round(g.utm_area(F.col("rings"), F.col("zone")), 1).alias("area_m2"))
 
 
 @query("""WITH b AS (SELECT r_regionkey, -90e0 + r_regionkey AS xmin, 40e0 AS ymin, -90e0 + r_regionkey + 0.3e0 AS xmax, 40.1e0 + r_regionkey * 0.05e0 AS ymax FROM region),
@@ -380,7 +407,7 @@ def _final(s: SparkSession, d: str) -> DataFrame:
 
 _FINAL = f"""t AS (SELECT *, {_RAW} AS raw, {_RAW_FROM} AS raw_from, {_H} AS hm, {_EST} AS est FROM fx_tags),
 u AS (SELECT *, {_TYPE_CASE.format("raw")} AS typ FROM t),
-v AS (SELECT *, (u_osm IS NULL AND u_nsi IS NULL AND typ IN ('residential', 'mobile_home') AND regexp_matches(lower(coalesce(raw, '')), '{rules.SINGLE_FAMILY}')) AS single,
+v AS (SELECT *, (u_osm IS NULL AND u_nsi IS NULL AND typ IN ('residential', 'mobile_home') AND regexp_matches(lower(coalesce(raw, '')), {_SINGLE})) AS single,
   greatest(CASE WHEN k % 4 = 0 THEN cast(k % 6 AS DOUBLE) END, CASE WHEN k % 5 = 0 THEN 3e0 END) AS ppl FROM u),
 final AS (SELECT sid AS "StructureID", CASE WHEN k % 2 = 0 THEN 'Corvane' ELSE 'Tessaly' END AS "City", 'Illinois' AS "State", typ AS "StructureType", raw AS "StructureTypeRaw", raw_from AS "StructureTypeSource",
   CASE WHEN single THEN 1e0 ELSE coalesce(u_osm, u_nsi) END AS "NumUnits",
@@ -411,10 +438,10 @@ def distinct_places(s: SparkSession, d: str) -> DataFrame:
     return profile.places(_final(s, d))
 
 
-@query("SELECT sid, x0 + w / 2 AS x, y0 + h / 2 AS y FROM fx_base WHERE NOT lcut")
+@query("SELECT sid, px AS x, py AS y FROM fx_base_pt")
 def rep_point(s: SparkSession, d: str) -> DataFrame:
     p = g.representative_point("geometry")
-    return blobs(view(s, d, "fx_base").where("not lcut")).select("sid", p.alias("p")).select("sid", "p.x", "p.y")
+    return blobs(view(s, d, "fx_base")).select("sid", p.alias("p")).select("sid", "p.x", "p.y")
 
 
 @query("""WITH c AS (SELECT oid, greatest(x0, 1e0) AS a, greatest(y0, 1e0) AS b, least(x0 + w, 30.5e0) AS c, least(y0 + h, 20.25e0) AS d FROM fx_osm)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 #: Provenance columns, as the result carries them.
@@ -14,11 +13,12 @@ SOURCES = ("FootprintSource", "StructureTypeSource", "BuildingNameSource", "NumU
 
 def label_counts(df: DataFrame, columns: Sequence[str] = SOURCES, top: int = 20) -> DataFrame:
     """column_name, label, n: the most frequent labels of each column, NULL
-    among them; ties by label, NULL last. One pass over the table."""
+    among them; ties by label, NULL last. One pass over the table; the counts
+    are then ranked column by column."""
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("label")) for c in columns])
     counts = df.select(F.inline(cells)).groupBy("column_name", "label").agg(F.count(F.lit(1)).alias("n"))
-    parts = [counts.where(F.col("column_name") == c).orderBy(F.desc("n"), F.asc_nulls_last("label")).limit(top) for c in columns]
-    return reduce(DataFrame.unionByName, parts)
+    rank = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc_nulls_last("label")))
+    return counts.withColumn("rank", rank).where(F.col("rank") <= top).drop("rank")
 
 
 def places(df: DataFrame) -> DataFrame:

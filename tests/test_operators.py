@@ -217,9 +217,16 @@ def test_attach(spark):
 def test_best_overlap(spark):
     base = footprints(spark, [("a", box(0, 0, 2), ""), ("b", box(10, 10, 1), "")])
     cand = spark.createDataFrame([(2, box(1, 0, 2)), (1, box(-1, 0, 2)), (3, box(0, 0, 0.5)), (4, box(2, 0, 2))], "oid int, geometry binary")
-    got = [tuple(r) for r in cf.best_overlap(base, cand, ["oid"], cell=1.0).collect()]
+    got = [tuple(r) for r in cf.best_overlap(base, cand, ["oid"], cell=1.0, metres=False).collect()]
     assert got == [("a", 1, 2.0, 0.5)]
-    assert cf.best_overlap(base, cand, ["oid"], least_ratio=0.6, cell=1.0).count() == 0
+    assert cf.best_overlap(base, cand, ["oid"], least_ratio=0.6, cell=1.0, metres=False).count() == 0
+
+
+def test_best_overlap_in_metres(spark):
+    base = footprints(spark, [("a", box(3.0, 40.0, 20 * D), "")])
+    cand = spark.createDataFrame([(1, box(3.0 + 10 * D, 40.0, 20 * D)), (2, None)], "oid int, geometry binary")
+    got = cf.best_overlap(base, cand, ["oid"]).first()
+    assert got.overlap_area == pytest.approx(10 * 20 * np.cos(np.radians(40)), rel=5e-3) and got.overlap_ratio == pytest.approx(0.5, abs=1e-6)
 
 
 def test_tile_dedup(spark):
