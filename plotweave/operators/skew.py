@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A key is hot above both bounds; at most ``SHARE`` keys can be.
@@ -23,3 +23,16 @@ def join_spread(rows: DataFrame, table: DataFrame, key: str, hot: list) -> DataF
         return rows.join(table, key)
     few = F.col(key).isin(hot)
     return rows.where(~few).join(table, key).unionByName(rows.where(few).join(F.broadcast(table.where(few)), key))
+
+
+def ranked(rows: DataFrame, group: list[str], n: str, order: str, piece_rows: int = HOT_ROWS) -> DataFrame:
+    """Adds ``nth``, a row's number in its group (from 1). Groups of ``n`` rows
+    are numbered in pieces of about ``piece_rows``, cut by the hash of ``order``
+    and sorted by it inside; the pieces' sizes are added up."""
+    piece = F.pmod(F.xxhash64(order), F.ceil(F.col(n) / F.lit(piece_rows)))
+    rows = rows.withColumn("_piece", piece)
+    before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    nth = F.row_number().over(Window.partitionBy(*group, "_piece").orderBy(order))
+    return rows.withColumn("_nth", nth).join(sizes, [*group, "_piece"]).withColumn("nth", F.col("_nth") + F.col("_offset")).drop("_nth", "_offset", "_piece")

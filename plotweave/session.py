@@ -47,3 +47,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     ensure_checkpoint_dir(spark)
     where = spark.sparkContext.getCheckpointDir()
     return f"{where if ':/' in where else f'file://{where}'}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A written table in the shared folder: compressed, and read by column."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
