@@ -2,22 +2,23 @@
 
 A deterministic cascade: each rule is an exact join on a combination of
 attributes, from strong to weak, over the records no earlier rule has resolved
-(anti-joined after each pass). Location enters as a grid cell wide enough to
-hold a building's twin; each left record is keyed by the up to four cells its
+(the residue is carried forward by an anti-join after each pass). Location enters
+as a grid cell; each record of the second source is keyed by the cells its
 tolerance square touches. A rule accepts a pair when the two are each other's
 nearest among the rule's candidates and their areas agree. Confidence is the
-rule's precision on silver labels (agreement of an identifier the rule did not
-use), smoothed by Laplace's rule.
+rule's precision, smoothed by Laplace's rule, on labelled pairs if there are any,
+else on silver labels (agreement of an identifier the rule did not use).
 
 One source may be shifted as a whole from the other, differently by region.
 Before the cascade each region's shift is found as the peak of the histogram of
 displacements between the sources (half-metre bins are joined, not records, and
 a pair of bins has one vote, so a heap of records in one place can't sway it).
 
-Records of one side that agree in key, position (25 cm), and area (5 %) can't be
-told apart; per pass the smallest id stands for them, so a heap of records in
-one place is one record to the join. When two heaps have found each other, their
-members are paired in order of their ids, as far as each pair meets the rule.
+Records of one side that agree in position (25 cm) and area (5 %), or without
+location in the rule's key and area, can't be told apart: a heap. Its members are
+numbered, and the number is part of every rule's key, so two heaps meet member by
+member and never as all pairs. What is left of heaps after the rules on location
+is numbered anew and joined once more.
 
 Defined results: ids that are NULL or blank take no part; an id's attributes are
 merged over its rows (extremes of the non-NULL values); ids without usable
@@ -27,23 +28,24 @@ most one pair; ties go to the smaller id; empty tables give an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotweave.functions import wkb
 from plotweave.functions.text import block_number, real, strip_ws
-from plotweave.session import cut
+from plotweave.operators.skew import ranked
+from plotweave.session import stored
 
 #: Metres of a degree of latitude.
 DEGREE_M = 111_195.08
-#: Farthest a twin may lie after the shift, and the cell that tolerance needs.
-REACH_M, CELL_M = 3.0, 6.0
+#: Farthest a twin may lie after the shift.
+REACH_M = 3.0
 #: Largest regional shift looked for, its bins, the region in degrees, and the
 #: least votes of a peak.
 SHIFT_M, BIN_M, REGION_DEG, LEAST_VOTES = 12.0, 0.5, 0.25, 5
@@ -59,10 +61,11 @@ def address_key(c: Column) -> Column:
     the number stands on; NULL without a number or name."""
     t = F.lower(F.split_part(F.coalesce(c, F.lit("")), F.lit(","), F.lit(1)))
     number = F.regexp_extract(t, r"\b([0-9]+[a-z]?)\b", 1)
-    name = strip_ws(F.regexp_replace(F.regexp_replace(t, r"\b[0-9]+[a-z]?\b", " "), r"[^\p{L}]+", " "))
-    for long, short in STREETS.items():
-        name = F.regexp_replace(name, rf"\b{long}$", short)
-    return F.when((number != "") & (name != ""), F.concat_ws(" ", number, name))
+    name = F.split(F.trim(F.regexp_replace(t, r"\b[0-9]+[a-z]?\b|[^\p{L}]+", " ")), " +")
+    kinds = F.create_map(*[F.lit(x) for kv in STREETS.items() for x in kv])
+    last = F.element_at(name, -1)
+    name = F.concat(F.slice(name, 1, F.size(name) - 1), F.array(F.coalesce(F.try_element_at(kinds, last), last)))
+    return F.when((number != "") & (last != ""), F.concat_ws(" ", number, F.array_join(name, " ")))
 
 
 def code_key(c: Column) -> Column:
@@ -105,35 +108,38 @@ def centres(blobs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[0], out[1], out[2]
 
 
-def side(structures: DataFrame, id_column: str) -> DataFrame:
-    """One row per id: address, parcel, block and state (as 64-bit keys; rules
-    that use them check areas too), area, lon, lat. Footprints are reduced to
-    their centre before any row moves."""
+def sides(structures: DataFrame) -> DataFrame:
+    """One row per source (``kind`` 0 and 1) and id: address, parcel, block and
+    state (as 64-bit keys; rules that use them check areas too), area, lon, lat.
+    Footprints are reduced to their centre before any row moves."""
+    ids = F.filter(F.array(*[F.struct(F.lit(k).alias("kind"), F.nullif(strip_ws(F.col(c)), F.lit("")).alias("id")) for k, c in enumerate(("OvertureID", "MicrosoftID"))]), lambda x: x["id"].isNotNull())
     rows = structures.select(
-        F.nullif(strip_ws(F.col(id_column)), F.lit("")).alias("id"), "geometry",
+        F.inline(ids), "geometry",
         address_key(F.col("ParcelAddress")).alias("address"), code_key(F.col("ParcelID")).alias("parcel"),
-        block_number(F.col("CBFIPS")).alias("block"), F.lower(strip_ws(F.col("State"))).alias("state"),
+        block_number(F.col("CBFIPS")).alias("block"), F.xxhash64(F.lower(strip_ws(F.col("State")))).alias("state"), F.col("State").isNotNull().alias("stated"),
         F.when(real(F.col("FootprintArea_m2")) > 0, F.col("FootprintArea_m2")).alias("area"),
-    ).where("id is not null")
-    schema = "id string, address string, parcel string, block long, state string, area double, lon double, lat double"
+    )
+    schema = "kind int, id string, address string, parcel string, block long, state long, stated boolean, area double, lon double, lat double"
+    names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            lon, lat, area = centres(pdf["geometry"].tolist())
-            yield pdf.drop(columns="geometry").assign(lon=lon, lat=lat, area=pdf["area"].fillna(pd.Series(area, index=pdf.index)))[[c.split()[0] for c in schema.split(", ")]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lon, lat, area = (pa.array(c, mask=np.isnan(c)) for c in centres(batch.column("geometry").to_pylist()))
+            known = {"lon": lon, "lat": lat, "area": pc.coalesce(batch.column("area"), area)}
+            yield pa.RecordBatch.from_arrays([known[c] if c in known else batch.column(c) for c in names], names)
 
-    rows = rows.mapInPandas(run, schema).withColumns({c: real(F.col(c)) for c in ("area", "lon", "lat")})
+    rows = rows.mapInArrow(run, schema)
     # the longest address: typing errors mostly lose letters
-    one = rows.groupBy("id").agg(
+    one = rows.groupBy("kind", "id").agg(
         F.max(F.when(F.col("address").isNotNull(), F.struct(F.length("address").alias("n"), F.col("address").alias("v")))).alias("a"),
-        F.max(F.when(F.col("lon").isNotNull(), F.struct("lon", "lat"))).alias("at"),
-        *[F.max(c).alias(c) for c in ("parcel", "block", "state", "area")],
+        F.max(F.when(F.col("lon").isNotNull(), F.struct("lon", "lat"))).alias("at"), F.max(F.when(F.col("stated"), F.col("state"))).alias("state"),
+        *[F.max(c).alias(c) for c in ("parcel", "block", "area")],
     )
 
     def key(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c.split(".")[-1])
 
-    return cut(one.select("id", key("a.v").alias("address"), key("parcel"), "block", key("state"), "area", "at.lon", "at.lat"))
+    return stored(one.select("kind", "id", key("a.v").alias("address"), key("parcel"), "block", "state", "area", "at.lon", "at.lat"), "sides")
 
 
 def _turned(lon: Column) -> Column:
@@ -173,11 +179,15 @@ def shifts(left: DataFrame, right: DataFrame) -> DataFrame:
             F.floor(F.log("area") / 0.3).cast("int").alias("size"), band.cast("int").alias("band"),
         ).groupBy("band", "bx", "by", "size").agg(F.min("lon").alias("lon"), F.min("lat").alias("lat"))
 
-    a = bins(left).select("band", "size", F.col("bx").alias("ax"), F.col("by").alias("ay"), F.explode(_touched(F.col("lon"), F.col("lat"), SHIFT_M, size)).alias("cell"))
-    b = bins(right).select("band", "size", "bx", "by", _grid(F.col("lon"), F.col("lat"), size).alias("cell"), _region(F.col("lon"), F.col("lat")).alias("region"))
+    def cell(c: Column) -> Column:
+        return F.xxhash64(c, "size", "band")
+
+    a = bins(left).select(F.col("bx").cast("int").alias("ax"), F.col("by").cast("int").alias("ay"), cell(_grid(F.col("lon"), F.col("lat"), size)).alias("cell"))
+    cells = F.transform(_touched(F.col("lon"), F.col("lat"), SHIFT_M, size), cell)
+    b = bins(right).select(F.col("bx").cast("int").alias("bx"), F.col("by").cast("int").alias("by"), _region(F.col("lon"), F.col("lat")).alias("region"), F.explode(cells).alias("cell"))
     most = int(SHIFT_M / BIN_M)
     votes = (
-        b.join(a, ["cell", "size", "band"])
+        b.join(a, "cell")
         .select("region", (F.col("bx") - F.col("ax")).alias("dx"), (F.col("by") - F.col("ay")).alias("dy"))
         .where(F.abs("dx").between(0, most) & F.abs("dy").between(0, most))
         .groupBy("region", "dx", "dy").agg(F.count(F.lit(1)).alias("n"))
@@ -192,100 +202,120 @@ def shifts(left: DataFrame, right: DataFrame) -> DataFrame:
     return best.select("region", (F.col("m.sx") / F.col("m.votes") * BIN_M).alias("dx"), (F.col("m.sy") / F.col("m.votes") * BIN_M).alias("dy"))
 
 
-#: name, key columns besides the cell, location used?, identifier that labels it
+#: name, key columns, size of the cell in metres (None: no location), identifier
+#: that labels it. Cells are wide where another key keeps candidates few.
 RULES = (
-    ("cell+address", ("address",), True, "parcel"),
-    ("cell+parcel", ("parcel",), True, "block"),
-    ("cell", (), True, "block"),
-    ("parcel+area", ("parcel", "state"), False, "address"),
-    ("address+area", ("address", "state"), False, "block"),
+    ("cell+address", ("address",), 48.0, "parcel"),
+    ("cell+parcel", ("parcel",), 48.0, "block"),
+    ("cell", (), 12.0, "block"),
+    ("parcel+area", ("parcel", "state"), None, "address"),
+    ("address+area", ("address", "state"), None, "block"),
 )
 
 
-def _pass(left: DataFrame, right: DataFrame, rule: tuple) -> DataFrame:
-    name, keys, located, label = rule
-    keys = list(keys)
-    has = " and ".join([f"{k} is not null" for k in keys] + ["area is not null"] + (["lon is not null"] if located else []))
-    alike = {"_a": F.floor(F.log("area") * 20).cast("int")}
-    if not located:
-        alike |= {"_l": F.col("lon").isNull()}
-    else:
-        alike |= {"_y": F.floor(F.col("lat") * (4 * DEGREE_M)).cast("int"), "_x": F.floor(F.col("lon") * F.cos(F.radians(F.floor("lat") + 0.5)) * (4 * DEGREE_M)).cast("int")}
-    left, right = left.where(has).withColumns(alike), right.where(has).withColumns(alike)
-    if located:
-        left = left.withColumn("cell", F.explode(F.transform(_touched(F.col("lon"), F.col("lat"), REACH_M, CELL_M), lambda c: F.xxhash64(c))))
-        right = right.withColumn("cell", F.xxhash64(_grid(F.col("lon"), F.col("lat"), CELL_M)))
-        keys = ["cell", *keys]
-    heap = [*keys, *alike]
-
-    def thin(df: DataFrame, p: str) -> DataFrame:
-        one = F.min(F.struct("id", "lon", "lat", "area", F.col(label).alias("label")))
-        return df.groupBy(*heap).agg(one.alias(p), F.count(F.lit(1)).alias(f"n{p}")).select(*keys, p, f"n{p}")
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        ratio = F.col("b.area") / F.col("a.area")
-        pairs = pairs.where(ratio.between(*RATIO))
-        if not located:
-            return pairs.withColumn("away", F.abs(F.log(ratio)))
-        east = (F.pmod(F.col("b.lon") - F.col("a.lon") + 540, F.lit(360.0)) - 180) * F.cos(F.radians("a.lat")) * DEGREE_M
-        away = F.hypot(east, (F.col("b.lat") - F.col("a.lat")) * DEGREE_M)
-        return pairs.withColumn("away", away).where(F.col("away") <= REACH_M)
-
-    if located:
-        pairs = thin(left, "a").join(thin(right, "b"), keys)
+def area_bin() -> Column:
+    return F.floor(F.log("area") * 20).cast("int")
+
+
+def numbered(rows: DataFrame, alike: dict[str, Column]) -> DataFrame:
+    """Adds ``nth``: the number of each row among those alike (heaps only; every
+    other row is 1)."""
+    keys = ["kind", *alike]
+    rows = rows.drop("nth")
+    heaps = stored(rows.select("kind", *[c.alias(k) for k, c in alike.items()]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "heaps")
+    if heaps.isEmpty():
+        return rows.withColumn("nth", F.lit(1).cast("bigint"))
+    members = rows.select("kind", "id", *[c.alias(k) for k, c in alike.items()]).join(heaps, keys)
+    nth = stored(ranked(members, keys, "n", "id").select("kind", "id", "nth"), "nth")
+    return rows.join(nth, ["kind", "id"], "left").withColumn("nth", F.coalesce("nth", F.lit(1).cast("bigint")))
+
+
+def in_place() -> dict[str, Column]:
+    """What records of one place have in common; NULLs keep the rest apart."""
+    return {"_y": F.floor(F.col("lat") * (4 * DEGREE_M)), "_x": F.floor(F.col("lon") * F.cos(F.radians(F.floor("lat") + 0.5)) * (4 * DEGREE_M)), "_a": area_bin()}
+
+
+def candidates(rows: DataFrame, keys: tuple[str, ...], size: float | None, label: str) -> DataFrame:
+    """left_id, right_id, away, label of the pairs that share the keys and agree
+    in area (and place)."""
+    has = " and ".join([f"{k} is not null" for k in keys] + ["area is not null"] + (["lon is not null"] if size else []))
+    rows = rows.where(has).select("kind", "id", "lon", "lat", "area", F.col(label).alias("label"), *[F.col(k).alias(f"_{k}") for k in keys], "nth")
+    shared = [F.col(f"_{k}") for k in keys] + [F.col("nth")]
+
+    def side(kind: int, p: str, key: Column, df: DataFrame = rows) -> DataFrame:
+        return df.where(F.col("kind") == kind).select(key.alias("key"), *[F.col(c).alias(f"{p}_{c}") for c in ("id", "lon", "lat", "area", "label")])
+
+    if size:
+        cells = F.explode(F.transform(_touched(F.col("lon"), F.col("lat"), REACH_M, size), lambda c: F.xxhash64(c, *shared)))
+        pairs = side(0, "a", F.xxhash64(_grid(F.col("lon"), F.col("lat"), size), *shared)).join(side(1, "b", cells), "key")
     else:  # only where a location can't decide: one of the two has none
-        pairs = thin(left.where("lon is null"), "a").join(thin(right, "b"), keys)
-        pairs = pairs.unionByName(thin(left.where("lon is not null"), "a").join(thin(right.where("lon is null"), "b"), keys))
-    same = (F.col("a.label") == F.col("b.label")).alias("label")
-    pairs = checked(pairs).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), "away", same, F.least("na", "nb").alias("n"))
-    to_left = pairs.groupBy("left_id").agg(F.min(F.struct("away", "right_id", "label", "n")).alias("m")).select("left_id", "m.right_id", "m.label", "m.n")
+        key, lost, at = F.xxhash64(*shared), rows.where("lon is null"), rows.where("lon is not null")
+        pairs = side(0, "a", key, lost).join(side(1, "b", key), "key").unionByName(side(0, "a", key, at).join(side(1, "b", key, lost), "key"))
+    ratio = F.col("b_area") / F.col("a_area")
+    pairs = pairs.where(ratio.between(*RATIO))
+    if size:
+        east = (F.pmod(F.col("b_lon") - F.col("a_lon") + 540, F.lit(360.0)) - 180) * F.cos(F.radians("a_lat")) * DEGREE_M
+        away = F.hypot(east, (F.col("b_lat") - F.col("a_lat")) * DEGREE_M)
+    else:
+        away = F.abs(F.log(ratio))
+    pairs = pairs.select(F.col("a_id").alias("left_id"), F.col("b_id").alias("right_id"), away.alias("away"), (F.col("a_label") == F.col("b_label")).alias("label"))
+    return pairs.where(F.col("away") <= REACH_M) if size else pairs
+
+
+def mutual(pairs: DataFrame) -> DataFrame:
+    """The pairs whose two are each other's nearest."""
+    to_left = pairs.groupBy("left_id").agg(F.min(F.struct("away", "right_id", "label")).alias("m")).select("left_id", "m.right_id", "m.label")
     to_right = pairs.groupBy("right_id").agg(F.min(F.struct("away", "left_id")).alias("m")).select("right_id", F.col("m.left_id").alias("left_id"))
-    found = cut(to_left.join(to_right, ["left_id", "right_id"]).withColumn("rule", F.lit(name)))
-    heaps = found.where("n > 1")
-    if heaps.isEmpty():
-        return found.drop("n")
-
-    single = found.where("n = 1").drop("n")
-    bins = right.join(heaps.select(F.col("right_id").alias("id"), F.col("left_id").alias("pair")), "id").select("pair", *heap)
-    of_right = right.join(bins, heap).select("pair", "id", "lon", "lat", "area", F.col(label).alias("label"))
-    # the left heap lies in the cell of the right one; who is in two heaps joins one
-    first = left.join(heaps.select(F.col("left_id").alias("id"), F.col("left_id").alias("pair")), "id").select("pair", *heap)
-    if located:
-        first = first.join(bins.select("pair", "cell"), ["pair", "cell"])
-    of_left = left.join(first, heap).join(single.select(F.col("left_id").alias("id")), "id", "left_anti")
-    of_left = of_left.groupBy("id").agg(F.min(F.struct("pair", "lon", "lat", "area", F.col(label).alias("label"))).alias("m")).select("id", "m.*")
-
-    def ranked(df: DataFrame, p: str) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy("pair").orderBy("id"))
-        return df.select("pair", rank.alias("rank"), F.struct("id", "lon", "lat", "area", "label").alias(p))
-
-    paired = checked(ranked(of_left, "a").join(ranked(of_right, "b"), ["pair", "rank"]))
-    paired = paired.select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), same, F.lit(name).alias("rule"))
-    return cut(single.unionByName(paired))
-
-
-def matches(structures: DataFrame) -> DataFrame:
-    """overtureid, microsoftid, rule, confidence of every matched pair."""
-    left, right = side(structures, "OvertureID"), side(structures, "MicrosoftID")
+    return to_left.join(to_right, ["left_id", "right_id"])
+
+
+def without(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows no pair has resolved yet."""
+    ids = F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("id")) for k, c in enumerate(("left_id", "right_id"))]))
+    return rows.join(found.select(ids), ["kind", "id"], "left_anti")
+
+
+def matches(structures: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """overtureid, microsoftid, rule, confidence of every matched pair.
+    ``labelled``: overtureid, microsoftid, same (boolean) of known pairs; rules
+    they reach take their precision from them."""
+    rows = sides(structures)
     # the globe has 1,036,800 regions of a quarter degree, so this table is bounded
-    shift = F.broadcast(cut(shifts(left, right)))
-    moved = right.withColumn("region", _region(F.col("lon"), F.col("lat"))).join(shift, "region", "left")
+    shift = F.broadcast(stored(shifts(rows.where("kind = 0"), rows.where("kind = 1")), "shifts"))
+    rows = numbered(rows, in_place())
+    moved = rows.withColumn("region", F.when(F.col("kind") == 1, _region(F.col("lon"), F.col("lat")))).join(shift, "region", "left")
     dx, dy = F.coalesce("dx", F.lit(0.0)), F.coalesce("dy", F.lit(0.0))
-    right = moved.withColumns({
+    rows = moved.withColumns({
         "lon": _turned(F.col("lon") - dx / (F.cos(F.radians("lat")) * DEGREE_M)), "lat": F.col("lat") - dy / DEGREE_M,
     }).drop("region", "dx", "dy")
     done: list[DataFrame] = []
-    for rule in RULES:
-        a, b = left, right
-        if done:
-            so_far = reduce(DataFrame.unionByName, done)
-            a = a.join(so_far.select(F.col("left_id").alias("id")), "id", "left_anti")
-            b = b.join(so_far.select(F.col("right_id").alias("id")), "id", "left_anti")
-        done.append(_pass(a, b, rule))
+
+    def resolve(part: DataFrame, rule: tuple) -> DataFrame:
+        """The pairs of a rule."""
+        name, keys, size, label = rule
+        done.append(stored(mutual(candidates(part, keys, size, label)).withColumn("rule", F.lit(name)), "found"))
+        return done[-1]
+
+    for rule in RULES[:3]:
+        rows = stored(without(rows, resolve(rows, rule)), "residue")
+    if not rows.where("nth > 1").isEmpty():
+        rows = numbered(rows, in_place())
+        rows = stored(without(rows, resolve(rows, RULES[2])), "residue")
+    for rule in RULES[3:]:
+        keys = list(rule[1])
+        # only keys that some record without location has
+        lost = rows.where("lon is null and area is not null").select(*keys).dropna().distinct()
+        part = rows.where("area is not null").join(lost, keys, "left_semi")
+        part = numbered(stored(part, "part"), {**{k: F.col(k) for k in keys}, "_a": area_bin(), "_l": F.col("lon").isNull()})
+        rows = without(rows, resolve(part, rule))
     pairs = reduce(DataFrame.unionByName, done)
     trust = pairs.groupBy("rule").agg(((F.count(F.when(F.col("label"), 1)) + 1) / (F.count("label") + 2)).alias("confidence"))
+    if labelled is not None:
+        known = labelled.select(F.col("overtureid").alias("left_id"), F.col("microsoftid").alias("right_id"), "same").where("same is not null")
+        told = pairs.join(known, ["left_id", "right_id"]).groupBy("rule").agg(((F.count(F.when(F.col("same"), 1)) + 1) / (F.count("same") + 2)).alias("told"))
+        trust = trust.join(told, "rule", "left").select("rule", F.coalesce("told", "confidence").alias("confidence"))
     return pairs.join(F.broadcast(trust), "rule").select(  # a row per rule
         F.col("left_id").alias("overtureid"), F.col("right_id").alias("microsoftid"), "rule", F.round("confidence", 6).alias("confidence"))
 
 
-assert CELL_M >= 2 * REACH_M and math.isfinite(DEGREE_M)
+assert all(size is None or size >= 2 * REACH_M for _, _, size, _ in RULES)

@@ -98,3 +98,20 @@ def test_centres():
     lon, lat, area = em.centres([wkb.polygon(ring), None, two, wkb.polygon(ring, hole)])
     assert lon[[0, 2]].tolist() == [2, 6] and lat[0] == 2 and np.isnan(lon[1])
     assert np.isclose(lon[3], (16 * 2 - 4 * 1) / 12) and np.isclose(area[2] / area[0], 2)
+
+
+def test_labelled_pairs_set_the_confidence(spark):
+    rows, truth = planted(4, 60)
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], COLUMNS)
+    known = spark.createDataFrame([(o, m, k % 4 > 0) for k, (m, o) in enumerate(sorted(truth))], "overtureid string, microsoftid string, same boolean")
+    got = em.matches(df, known).collect()
+    trust = {r.rule: r.confidence for r in got}
+    hits = [r for r in got if r.rule == "cell+address" and (r.microsoftid, r.overtureid) in truth]
+    same = sum(k % 4 > 0 for k, (m, o) in enumerate(sorted(truth)) if (m, o) in {(r.microsoftid, r.overtureid) for r in hits})
+    assert trust["cell+address"] == round((same + 1) / (len(hits) + 2), 6)
+
+
+def test_numbers_in_pieces(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS g", "cast(id AS string) AS id").join(spark.range(3).selectExpr("id AS g", "333L + if(id = 0, 1, 0) AS n"), "g")
+    got = em.ranked(df, ["g"], "n", "id", piece_rows=50).groupBy("g").agg(F.min("nth").alias("a"), F.max("nth").alias("b"), F.count_distinct("nth").alias("c")).collect()
+    assert sorted((r.g, r.a, r.b, r.c) for r in got) == [(0, 1, 334, 334), (1, 1, 333, 333), (2, 1, 333, 333)]
