@@ -170,12 +170,14 @@ def spans(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
 
 
-def sweep_inside(px: np.ndarray, py: np.ndarray, rings: Rings, chunk: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+def sweep_inside(px: np.ndarray, py: np.ndarray, rings: Rings, chunk: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
     """(point, geometry) of every point strictly inside a geometry.
 
-    Plane sweep from west to east: points in order of x; each region is open
-    between its west and its east end and meets the points there; the edges of a
-    region that pass above a point decide by parity. Points on an edge are out.
+    Plane sweep from west to east over points and edges: an edge is alive between
+    its ends and meets the points there, so a point sees the edges its vertical
+    line crosses and no others. Those above it decide by parity, geometry by
+    geometry; points on an edge are out. The sweep goes on in steps of about
+    ``chunk`` meetings, whatever the number of vertices of a polygon.
     """
     r = rings.unwrapped()
     box = r.bounds()
@@ -185,32 +187,39 @@ def sweep_inside(px: np.ndarray, py: np.ndarray, rings: Rings, chunk: int = 2_00
     order = np.argsort(px, kind="stable")
     sx, sy = px[order], py[order]
     edges, eg = r.edges()
-    first = np.searchsorted(eg, np.arange(r.n_geoms))
-    last = np.searchsorted(eg, np.arange(r.n_geoms), side="right")
-    live = np.flatnonzero(last > first)
-    lo, hi = np.searchsorted(sx, box[live, 0], side="right"), np.searchsorted(sx, box[live, 2], side="left")
+    # the points of an edge's west-east range
+    lo = np.searchsorted(sx, np.minimum(edges[:, 0], edges[:, 2]), side="left")
+    hi = np.searchsorted(sx, np.maximum(edges[:, 0], edges[:, 2]), side="right")
+    live = np.flatnonzero(hi > lo)
+    live = live[np.argsort(lo[live], kind="stable")]
+    births = lo[live]
+    alive = np.zeros(len(sx) + 1, dtype=np.int64)
+    np.add.at(alive, lo[live], 1)
+    np.add.at(alive, hi[live], -1)
+    meetings = np.cumsum(np.cumsum(alive)[:-1])
     out_p, out_g = [], []
-    at = 0
-    total = np.cumsum(np.maximum(hi - lo, 0))
-    while at < len(live):
-        done = total[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(total, done + chunk, side="right")))
-        g, p = spans(lo[at:end], hi[at:end])
-        g = live[at:end][g]
-        ok = (sy[p] > box[g, 1]) & (sy[p] < box[g, 3])
-        g, p = g[ok], p[ok]
-        c, e = spans(first[g], last[g])
-        x, y = sx[p[c]], sy[p[c]]
-        x0, y0, x1, y1 = edges[e].T
+    active = np.empty(0, dtype=np.int64)
+    at = born = 0
+    while at < len(sx):
+        done = meetings[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(meetings, done + chunk, side="right")))
+        new = int(np.searchsorted(births, end, side="left"))
+        active = np.r_[active[hi[active] > at], live[born:new]]
+        born = new
+        e, p = spans(np.maximum(lo[active], at), np.minimum(hi[active], end))
+        e = active[e]
+        g, y = eg[e], sy[p]
+        ok = (y >= box[g, 1]) & (y <= box[g, 3])
+        e, p, g, y = e[ok], p[ok], g[ok], y[ok]
+        x, (x0, y0, x1, y1) = sx[p], edges[e].T
         cross = (x1 - x0) * (y - y0) - (y1 - y0) * (x - x0)
-        on = (cross == 0) & (x >= np.minimum(x0, x1)) & (x <= np.maximum(x0, x1)) & (y >= np.minimum(y0, y1)) & (y <= np.maximum(y0, y1))
+        on = (cross == 0) & (y >= np.minimum(y0, y1)) & (y <= np.maximum(y0, y1))
         above = ((x0 <= x) != (x1 <= x)) & ((cross < 0) == (x1 > x0))
-        n = np.bincount(c[above], minlength=len(g))
-        touch = np.bincount(c[on], minlength=len(g))
-        inside = (n % 2 == 1) & (touch == 0)
-        out_p.append(ids[order[p[inside]]])
-        out_g.append(g[inside])
+        pair, which = np.unique(p * r.n_geoms + g, return_inverse=True)
+        inside = (np.bincount(which, above, len(pair)) % 2 == 1) & (np.bincount(which, on, len(pair)) == 0)
+        out_p.append(ids[order[pair[inside] // r.n_geoms]])
+        out_g.append(pair[inside] % r.n_geoms)
         at = end
     if not out_p:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    return np.concatenate(out_p), np.concatenate(out_g)
+    return np.concatenate(out_p).astype(np.int64), np.concatenate(out_g).astype(np.int64)

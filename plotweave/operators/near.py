@@ -7,10 +7,11 @@ points and regions together; there a local k-d tree answers the radius search by
 chord length and a plane sweep over the polygons' edges finds containing
 regions. A pair is reported only by the leaf that owns its first member.
 
-Equal points and equal footprints are searched once: a representative stands
-for all keys of one location and the keys are joined back afterwards, so a third
-of all rows in one place neither overloads a leaf nor is compared pairwise.
-(The relation asked for lists key pairs, so its size is what the data hold.)
+Equal points and equal footprints are searched once, as a class with a
+representative: ``Classes`` holds the pairs of classes and who belongs to them,
+so a third of all rows in one place neither overloads a leaf nor is compared
+pairwise. ``nearby`` lists key pairs, as its relation asks; there the members of
+large classes are joined in salted pieces.
 
 Defined results: rows without key or usable geometry take no part; points on a
 polygon's edge are outside; regions over the antimeridian and points on either
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,12 +32,16 @@ from pyspark.sql import functions as F
 
 from plotweave.functions import wkb
 from plotweave.functions.text import entity_key, not_blank
+from plotweave.session import stored
 
 EARTH_M = 6_371_008.8
-#: Bound of the sample that fits the k-d splits (it only balances the leaves).
-SPLIT_SAMPLE = 40_000
-#: Objects a leaf should hold, and the most leaves (size of the shipped splits).
-LEAF_OBJECTS, MOST_LEAVES = 6_000, 1 << 16
+#: Sampled objects that fit the k-d splits: at least so many, and so many a leaf
+#: (they only balance the leaves).
+SPLIT_SAMPLE, SAMPLES_PER_LEAF = 40_000, 8
+#: Objects a leaf should hold, and the most leaves (2.4 MB of shipped splits).
+LEAF_OBJECTS, MOST_LEAVES = 6_000, 1 << 18
+#: Members of a class that are joined in one piece.
+PIECE = 5_000
 
 
 def unit_vectors(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
@@ -157,24 +163,22 @@ def with_point(df: DataFrame, c: str, lon: str = "lon", lat: str = "lat") -> Dat
 
 
 def point_reps(points: DataFrame, key: Column, geometry: str) -> tuple[DataFrame, DataFrame]:
-    """(representatives: key, gid, n, lon, lat; members: gid, rep, key of shared places)."""
+    """(representatives: rep, gid, n, lon, lat; members: gid, rep, n, key of shared places)."""
     # equal texts first: repeated deliveries are parsed once
     texts = points.select(key.alias("key"), F.col(geometry).alias("_text")).where("key is not null and _text is not null").distinct()
     each = with_point(texts, "_text").select("key", "lon", "lat").where("key is not null and lon is not null and lat is not null").distinct()
-    each = each.withColumn("gid", F.xxhash64("lon", "lat"))
-    reps = each.groupBy("lon", "lat", "gid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n"))
-    shared = reps.where("n > 1").select("gid", "rep", "lon", "lat")
-    members = each.join(shared, ["gid", "lon", "lat"]).select("gid", "rep", "key")
-    return reps, members
+    return _classes(stored(each.withColumn("gid", F.xxhash64("lon", "lat")), "points"), ["lon", "lat"])
 
 
 def region_reps(regions: DataFrame, key: Column, geometry: Column) -> tuple[DataFrame, DataFrame]:
     each = regions.select(key.alias("key"), geometry.alias("geometry")).where("key is not null and geometry is not null and octet_length(geometry) > 20").distinct()
-    each = each.withColumn("gid", F.xxhash64("geometry"))
-    reps = each.groupBy("geometry", "gid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n"))
-    shared = reps.where("n > 1").select("gid", "rep", "geometry")
-    members = each.join(shared, ["gid", "geometry"]).select("gid", "rep", "key")
-    return reps, members
+    return _classes(stored(each.withColumn("gid", F.xxhash64("geometry")), "regions"), ["geometry"])
+
+
+def _classes(each: DataFrame, place: list[str]) -> tuple[DataFrame, DataFrame]:
+    reps = each.groupBy("gid", *place).agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n"))
+    shared = stored(reps.where("n > 1").select("gid", "rep", "n", *place), "shared")
+    return reps, each.join(shared, ["gid", *place]).select("gid", "rep", "n", "key")
 
 
 def caps(rings: wkb.Rings) -> tuple[np.ndarray, np.ndarray]:
@@ -257,58 +261,94 @@ def _search(radius: float):
     return run
 
 
-def spatial_pairs(points: tuple[DataFrame, DataFrame], structures: tuple[DataFrame, DataFrame], parcels: tuple[DataFrame, DataFrame],
-                  metres: float, total: int, sample: np.ndarray) -> DataFrame:
-    """relation, key_a, key_b over representatives and members of the three
-    sets; ``total`` objects and a ``sample`` of unit vectors shape the leaves."""
-    splits = KDSplits(sample, min(MOST_LEAVES, -(-total // LEAF_OBJECTS)))
-    radius = chord(metres)
-    sets = [points, structures, parcels]
+@dataclass(frozen=True)
+class Classes:
+    """``pairs``: relation, a, a_gid, a_n, b, b_gid, b_n of representatives and
+    sizes; ``members``: set (0 points, 1 structures, 2 parcels), gid, rep, n, key
+    of the classes with several keys."""
+
+    pairs: DataFrame
+    members: DataFrame
+
+    def expanded(self) -> DataFrame:
+        """relation, key_a, key_b of all keys."""
+        relation = F.col("relation")
+        raw = self._side(self.pairs, "a", F.when(relation == "lot", 2).otherwise(0))
+        raw = self._side(raw, "b", F.when(relation == "near", 0).when(relation == "parcel", 2).otherwise(1))
+        kept = raw.where((relation != "near") | (F.col("a") != F.col("b")))
+        return kept.select("relation", F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b")).distinct()
+
+    def _side(self, df: DataFrame, c: str, which: Column) -> DataFrame:
+        """Members in place of representatives. A class of many members meets
+        them in pieces, so no task gets all of them."""
+        pieces = F.ceil(F.col("n") / F.lit(PIECE)).cast("int")
+        m = self.members.select("set", "gid", "rep", F.pmod(F.xxhash64("key"), pieces).cast("int").alias("piece"), F.col("key").alias("_key"))
+        one = df.where(F.col(f"{c}_n") == 1)
+        many = df.where(F.col(f"{c}_n") > 1).select(
+            *[F.col(x) for x in df.columns if x != c], F.col(c).alias("rep"), F.col(f"{c}_gid").alias("gid"), which.cast("int").alias("set"),
+            F.explode(F.sequence(F.lit(0), F.ceil(F.col(f"{c}_n") / F.lit(PIECE)).cast("int") - 1)).alias("piece"))
+        many = many.join(m, ["set", "gid", "rep", "piece"]).withColumn(c, F.col("_key"))
+        return one.unionByName(many.select(*one.columns))
+
+
+def fitted_splits(points: DataFrame, regions: list[DataFrame]) -> KDSplits:
+    """Splits from a hash sample of representatives. Vectors are computed where
+    the rows lie; only they reach the driver."""
+    total = points.count() + sum(r.count() for r in regions)
+    leaves = min(MOST_LEAVES, -(-total // LEAF_OBJECTS))
+    share = min(1.0, max(SPLIT_SAMPLE, SAMPLES_PER_LEAF * leaves) / max(total, 1))
+
+    def some(df: DataFrame) -> DataFrame:
+        return df.where(F.pmod(F.xxhash64("gid"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1))
+
+    def middles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            v, r = caps(wkb.read(pdf["geometry"].tolist()))
+            yield pd.DataFrame(v[np.isfinite(r)], columns=["x", "y", "z"])
+
+    a, b = F.radians("lon"), F.radians("lat")
+    got = some(points).select((F.cos(b) * F.cos(a)).alias("x"), (F.cos(b) * F.sin(a)).alias("y"), F.sin(b).alias("z"))
+    for r in regions:
+        got = got.unionByName(some(r).select("geometry").mapInPandas(middles, "x double, y double, z double"))
+    return KDSplits(got.toPandas().to_numpy(float).reshape(-1, 3), leaves)
+
+
+def _sets(nsi: DataFrame, structures: DataFrame, parcels: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    fd_id = F.when(not_blank(F.col("fd_id")), F.col("fd_id"))
+    parcel_id = F.when(not_blank(F.col("ParcelID")), F.col("ParcelID"))
+    return [
+        point_reps(nsi, fd_id, "geometry"), region_reps(structures, entity_key(F.col("StructureID")), F.col("geometry")),
+        region_reps(parcels, parcel_id, F.col("geometry")),
+    ]
+
+
+def _members(sets: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    parts = [m.select(F.lit(kind).alias("set"), "*") for kind, (_, m) in enumerate(sets)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def classes(nsi: DataFrame, structures: DataFrame, parcels: DataFrame, metres: float = 6.0) -> Classes:
+    """Searches the three tables class by class."""
+    sets = _sets(nsi, structures, parcels)
+    splits, radius = fitted_splits(sets[0][0], [sets[1][0], sets[2][0]]), chord(metres)
     objects = None
     for kind, (reps, _) in enumerate(sets):
         part = _to_leaves(reps, kind, splits, radius * (1 + 1e-9))
         objects = part if objects is None else objects.unionByName(part)
-    raw = objects.groupBy("leaf").applyInPandas(_search(radius), _PAIRS)
-    # keys of shared places; which side of a relation belongs to which set
-    members = [m for _, m in sets]
-    known = members[0].select(F.lit(0).alias("set"), "*")
-    for k in (1, 2):
-        known = known.unionByName(members[k].select(F.lit(k).alias("set"), "*"))
+    return Classes(objects.groupBy("leaf").applyInPandas(_search(radius), _PAIRS), _members(sets))
 
-    def side(df: DataFrame, c: str, which: Column) -> DataFrame:
-        m = known.select(F.col("set").alias("_set"), F.col("gid").alias("_gid"), F.col("rep").alias("_rep"), F.col("key").alias(f"{c}_key"))
-        on = (which == F.col("_set")) & (F.col(f"{c}_gid") == F.col("_gid")) & (F.col(c) == F.col("_rep"))
-        return df.join(m, on, "left").withColumn(c, F.coalesce(f"{c}_key", c)).drop("_set", "_gid", "_rep", f"{c}_key")
 
-    relation = F.col("relation")
-    raw = side(raw, "a", F.when(relation == "lot", 2).otherwise(0))
-    raw = side(raw, "b", F.when(relation == "near", 0).when(relation == "parcel", 2).otherwise(1))
-    return (
-        raw.where((relation != "near") | (F.col("a") != F.col("b")))
-        .select("relation", F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"))
-        .distinct()
-    )
+def nearby(nsi: DataFrame, structures: DataFrame, parcels: DataFrame, metres: float = 6.0) -> DataFrame:
+    """p2_found: near, structure, parcel and lot pairs over whole tables."""
+    return classes(nsi, structures, parcels, metres).expanded()
 
 
-def _sampled(df: DataFrame, c: str, share: float) -> DataFrame:
-    return df.where(F.pmod(F.xxhash64(c), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)).select(c).distinct()
+def near_classes(nsi: DataFrame, structures: DataFrame, parcels: DataFrame, metres: float = 6.0) -> DataFrame:
+    """p2_classes: pairs of representatives with the sizes of their classes."""
+    pairs = classes(nsi, structures, parcels, metres).pairs
+    return pairs.groupBy("relation", F.col("a").alias("class_a"), F.col("b").alias("class_b")).agg(F.max("a_n").alias("n_a"), F.max("b_n").alias("n_b"))
 
 
-def nearby(nsi: DataFrame, structures: DataFrame, parcels: DataFrame, metres: float = 6.0) -> DataFrame:
-    """p2_found: near, structure, parcel and lot pairs over whole tables."""
-    fd_id = F.when(not_blank(F.col("fd_id")), F.col("fd_id"))
-    parcel_id = F.when(not_blank(F.col("ParcelID")), F.col("ParcelID"))
-    total = nsi.count() + structures.count() + parcels.count()
-    share = min(1.0, SPLIT_SAMPLE / max(total, 1))
-    pts = with_point(_sampled(nsi.where("geometry is not null"), "geometry", share), "geometry").select("lon", "lat").dropna()
-    blobs = _sampled(structures.where("geometry is not null"), "geometry", share).unionByName(_sampled(parcels.where("geometry is not null"), "geometry", share))
-    xy = pts.limit(2 * SPLIT_SAMPLE).toPandas()
-    regions = wkb.read([r[0] for r in blobs.limit(2 * SPLIT_SAMPLE).collect()])
-    mid, r = caps(regions)
-    sample = np.concatenate([unit_vectors(xy["lon"].to_numpy(float), xy["lat"].to_numpy(float)), mid[np.isfinite(r)]])
-    return spatial_pairs(
-        point_reps(nsi, fd_id, "geometry"),
-        region_reps(structures, entity_key(F.col("StructureID")), F.col("geometry")),
-        region_reps(parcels, parcel_id, F.col("geometry")),
-        metres, total, sample,
-    )
+def class_members(nsi: DataFrame, structures: DataFrame, parcels: DataFrame) -> DataFrame:
+    """p2_members: set, class and key of every key that shares its place."""
+    return _members(_sets(nsi, structures, parcels)).select("set", F.col("rep").alias("class"), "gid", "key")

@@ -11,6 +11,8 @@ from plotweave.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": lambda s, d: near.nearby(table(s, d, "nsi"), table(s, d, "structures"), table(s, d, "parcels")),
+    "p2_classes": lambda s, d: near.near_classes(table(s, d, "nsi"), table(s, d, "structures"), table(s, d, "parcels")),
+    "p2_members": lambda s, d: near.class_members(table(s, d, "nsi"), table(s, d, "structures"), table(s, d, "parcels")),
     "p3_found": lambda s, d: drift.changes(table(s, d, "parcel_files"), table(s, d, "parcel_raw")).select("file_id", "field", "drift"),
     "p3_report": lambda s, d: drift.changes(table(s, d, "parcel_files"), table(s, d, "parcel_raw")),
     "p3_parcels": lambda s, d: drift.unified(table(s, d, "parcel_files"), table(s, d, "parcel_raw")),

@@ -66,6 +66,38 @@ def test_nearby_dense(spark, monkeypatch):
     assert sorted(map(tuple, near.nearby(*tables).collect())) == one and len(one) > 200
 
 
+def test_hot_place(spark, monkeypatch):
+    """A third of all points in one place: classes stay small, members are joined in pieces."""
+    nsi = [(f"n{i:03}", point(0, 0) if i % 3 == 0 else point(i * D, 3 * D), None) for i in range(90)]
+    tables = spatial_tables(spark, nsi, [(f"s{i}", box(-D, -D, 2 * D), "x") for i in range(8)], [("P", box(-2 * D, -2 * D, 9 * D), 1)])
+    plain = sorted(map(tuple, near.nearby(*tables).collect()))
+    monkeypatch.setattr(near, "PIECE", 4)
+    assert sorted(map(tuple, near.nearby(*tables).collect())) == plain
+    assert sum(r[0] == "near" for r in plain) >= 435 and sum(r[0] == "structure" for r in plain) == 240 and sum(r[0] == "lot" for r in plain) == 8
+    pairs = near.near_classes(*tables).where("class_a = 'n000' and relation in ('structure', 'parcel')").collect()
+    assert {(r.relation, r.class_b, r.n_a, r.n_b) for r in pairs} == {("structure", "s0", 30, 8), ("parcel", "P", 30, 1)}
+    assert {(r.set, r["class"], r["count"]) for r in near.class_members(*tables).groupBy("set", "class").count().collect()} == {(0, "n000", 30), (1, "s0", 8)}
+
+
+def test_sweep_of_many_vertices():
+    """A polygon of 100,000 vertices among small ones, against a formula."""
+    a = np.linspace(0, 2 * np.pi, 100_000)
+    r = 1 + 0.3 * np.sin(7 * a)
+    ring = np.stack([r * np.cos(a), r * np.sin(a)], axis=1)
+    ring[-1] = ring[0]
+    rng = np.random.default_rng(4)
+    p = rng.random((20_000, 2)) * 3 - 1.5
+    small = [box(*(rng.random(2) * 2 - 1), 0.05) for _ in range(300)]
+    got_p, got_g = wkb.sweep_inside(p[:, 0], p[:, 1], wkb.read([wkb.polygon(ring), *small]), chunk=5_000)
+    angle, away = np.arctan2(p[:, 1], p[:, 0]), np.hypot(p[:, 0], p[:, 1])
+    clear = np.abs(away - (1 + 0.3 * np.sin(7 * angle))) > 1e-6
+    inside = np.zeros(len(p), dtype=bool)
+    inside[got_p[got_g == 0]] = True
+    assert (inside == (away < 1 + 0.3 * np.sin(7 * angle)))[clear].all()
+    want = sum(((p > (b := wkb.read([s]).bounds()[0])[:2]) & (p < b[2:])).all(axis=1).sum() for s in small)
+    assert (got_g > 0).sum() == want > 200
+
+
 # p3
 
 
