@@ -335,7 +335,7 @@ def classes(nsi: DataFrame, structures: DataFrame, parcels: DataFrame, metres: f
     for kind, (reps, _) in enumerate(sets):
         part = _to_leaves(reps, kind, splits, radius * (1 + 1e-9))
         objects = part if objects is None else objects.unionByName(part)
-    return Classes(objects.groupBy("leaf").applyInPandas(_search(radius), _PAIRS), _members(sets))
+    return Classes(stored(objects.groupBy("leaf").applyInPandas(_search(radius), _PAIRS), "pairs"), _members(sets))
 
 
 def nearby(nsi: DataFrame, structures: DataFrame, parcels: DataFrame, metres: float = 6.0) -> DataFrame:
