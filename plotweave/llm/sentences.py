@@ -15,8 +15,11 @@ The model is trained here, on boundaries nobody has to label:
   behind hardly ever begins one, though both occur often (abbreviations,
   ordinals, reporting words after a quotation).
 
-It is fitted on the text cells of at most ``SAMPLE_DOCS`` documents, taken by
-hash; every document is then segmented where it lies, without a shuffle.
+How often tokens stand before and behind marks, and at either end of blocks, is
+counted over the text cells of all documents. The weights are fitted on a sample:
+the about ``SAMPLE_DOCS`` documents of the smallest hashes, in that order, and of
+them at most ``SAMPLE_CELLS`` cells, so the same documents give the same model.
+Every document is then segmented where it lies, without a shuffle.
 
 Defined results: NULL or blank texts and cells have no units; units carry no
 outer white space; a block without any mark is one unit; cells that reach over
@@ -35,15 +38,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bound of the training sample, in documents.
-SAMPLE_DOCS = 6_000
+#: Bounds of the training sample: documents (a mean, by share of hashes), cells.
+SAMPLE_DOCS, SAMPLE_CELLS = 6_000, 120_000
 #: A token counts as never ending (beginning) a block if it was seen so often
 #: elsewhere, and at the end (beginning) in at most this share.
 OFTEN, SELDOM = 12, 0.02
 
 # Marks, quotes and brackets.
-ENDS = ".!?…。！？．｡‼⁇⁈⁉۔؟।॥።፧;;"
-FREE_ENDS = "。！？．｡‼⁇⁈⁉۔؟।॥።፧"
+ENDS = ".!?…。！？．｡‼⁇⁈⁉۔؟।॥።፧;;։។៕။།༎᠃᠉"
+FREE_ENDS = "。！？．｡‼⁇⁈⁉۔؟।॥።፧։។៕။།༎᠃᠉"
 PAIRS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "【": "】", "「": "」", "『": "』", "《": "》", "〈": "〉",
          "«": "»", "‹": "›", "„": "“", "‚": "‘", "“": "”", "‘": "’", "»": "«"}
 CLOSERS = set(PAIRS.values()) - {"«", "“", "‘"}
@@ -132,9 +135,9 @@ def script(ch: str) -> str:
 # Unicode blocks the features tell apart.
 _SCRIPTS = (
     ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("hebrew", 0x590, 0x5FF), ("arabic", 0x600, 0x77F), ("indic", 0x900, 0xDFF),
-    ("thai", 0xE00, 0xE7F), ("ethiopic", 0x1200, 0x139F), ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF), ("hangul", 0xAC00, 0xD7AF),
+    ("armenian", 0x530, 0x58F), ("thai", 0xE00, 0xE7F), ("tibetan", 0xF00, 0xFFF), ("burmese", 0x1000, 0x109F), ("khmer", 0x1780, 0x17FF), ("mongolian", 0x1800, 0x18AF), ("ethiopic", 0x1200, 0x139F), ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF), ("hangul", 0xAC00, 0xD7AF),
 )
-_JOINED = {"han", "kana", "thai"}
+_JOINED = {"han", "kana", "thai", "tibetan", "burmese", "khmer"}
 
 
 def token_before(s: str, i: int) -> str:
@@ -322,36 +325,79 @@ class MaxEnt:
         return got
 
 
-def train(cells: list[str]) -> MaxEnt:
-    """The model from raw text cells."""
+class Tally:
+    """Counts of tokens at marks: (token, mark) at the end of blocks and inside,
+    tokens that begin blocks and that follow marks inside. ``asked`` limits them
+    to the tokens a sample needs. Short blocks that return are counted once."""
+
+    KINDS = ("ends", "mids", "begins", "follows")
+
+    def __init__(self, asked: set[tuple[str, str, str]] | None = None, memo: int = 50_000):
+        self.asked, self.memo, self.known = asked, memo, {}
+        self.n: Counter[tuple[str, str, str]] = Counter()
+
+    def keys(self, s: str) -> list[tuple[str, str, str]]:
+        out = [("begins", token_after(s, 0)[0], "")]
+        for c in candidates(s):
+            if c.resume >= len(s):
+                out.append(("ends", c.prev, c.mark))
+            else:
+                out += [("mids", c.prev, c.mark), ("follows", c.next, "")]
+        return out if self.asked is None else [k for k in out if k in self.asked]
+
+    def add(self, text: str) -> None:
+        for a, b in blocks(text):
+            s = text[a:b]
+            got = self.known.get(s)
+            if got is None:
+                got = self.keys(s)
+                if b - a < 300:
+                    if len(self.known) >= self.memo:
+                        self.known.clear()
+                    self.known[s] = got
+            self.n.update(got)
+
+
+def examples(cells: list[str]) -> tuple[list[Candidate], list[Candidate]]:
+    """The last candidates of blocks, and those inside."""
     final: list[Candidate] = []
     inner: list[Candidate] = []
-    ends, mids, begins, follows = Counter(), Counter(), Counter(), Counter()
     for text in cells:
         spans = blocks(text)
         for k, (a, b) in enumerate(spans):
             s = text[a:b]
             after = text[spans[k + 1][0] : spans[k + 1][1]] if k + 1 < len(spans) else ""
-            begins[token_after(s, 0)[0]] += 1
             for c in candidates(s, after):
-                if c.resume >= len(s):
-                    final.append(c)
-                    ends[c.prev, c.mark] += 1
-                else:
-                    inner.append(c)
-                    mids[c.prev, c.mark] += 1
-                    follows[c.next] += 1
+                (final if c.resume >= len(s) else inner).append(c)
+    return final, inner
+
+
+def asked_keys(inner: list[Candidate]) -> set[tuple[str, str, str]]:
+    """The counts that decide about these candidates."""
+    return {k for c in inner for k in (("ends", c.prev, c.mark), ("mids", c.prev, c.mark), ("begins", c.next, ""), ("follows", c.next, ""))}
+
+
+def train(cells: list[str], counts: Counter[tuple[str, str, str]] | None = None) -> MaxEnt:
+    """The model from raw text cells; ``counts`` of a whole corpus, or those of
+    the cells."""
+    final, inner = examples(cells)
+    if counts is None:
+        tally = Tally()
+        for text in cells:
+            tally.add(text)
+        counts = tally.n
     rows, labels = [], []
     for c in final:
         if c.next != "<end>":
             rows.append(c.features())
             labels.append(1)
     for c in inner:
-        p, n = (c.prev, c.mark), c.next
-        odd = mids[p] >= OFTEN and ends[p] <= SELDOM * mids[p] and c.prev not in ("<num>", "<mix>")
+        mids, ends = counts["mids", c.prev, c.mark], counts["ends", c.prev, c.mark]
+        follows, begins = counts["follows", c.next, ""], counts["begins", c.next, ""]
+        odd = mids >= OFTEN and ends <= SELDOM * mids and c.prev not in ("<num>", "<mix>")
         # a capital behind a plain word is no reporting word; after a number it may be a month
         telling = not c.shape.startswith("upper") or c.prev == "<num>" or c.closed == "quote"
-        odd_next = telling and follows[n] >= OFTEN and begins[n] <= SELDOM * follows[n]
+        odd_next = telling and follows >= OFTEN and begins <= SELDOM * follows
         if c.open or c.follow == "stop" or c.shape.startswith("lower") or odd or odd_next:
             rows.append(c.features())
             labels.append(0)
@@ -398,14 +444,32 @@ def _cells(text: str | None, cells) -> Iterator[tuple[int, str]]:
                 yield int(c["start_char"]), text[c["start_char"] : c["end_char"]]
 
 
+def corpus_counts(documents: DataFrame, asked: set[tuple[str, str, str]]) -> Counter[tuple[str, str, str]]:
+    """The asked counts over all documents; each task adds up its own first."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tally = Tally(asked)
+        for pdf in batches:
+            for text, cells in zip(pdf["text"], pdf["cells"]):
+                for _, cell in _cells(text, cells):
+                    tally.add(cell)
+        yield pd.DataFrame([(*k, n) for k, n in tally.n.items()], columns=["kind", "token", "mark", "n"])
+
+    parts = documents.select("text", "cells").mapInPandas(run, "kind string, token string, mark string, n long")
+    return Counter({(r.kind, r.token, r.mark): r.n for r in parts.groupBy("kind", "token", "mark").agg(F.sum("n").alias("n")).collect()})  # as many as asked
+
+
 def fitted(documents: DataFrame, sample: int = SAMPLE_DOCS) -> MaxEnt:
     n = documents.count()
+    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     some = documents.select("doc_id", "text", "cells")
     if n > sample:
-        some = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(sample / n * (1 << 30))))
-    texts = F.transform(F.filter("cells", lambda c: c["kind"] == "text"), lambda c: F.substring(F.col("text"), c["start_char"].cast("int") + 1, (c["end_char"] - c["start_char"]).cast("int")))
-    got = some.where("text is not null").select(F.explode(texts).alias("t")).where("t <> ''").limit(sample * 20).toPandas()
-    return train(got["t"].tolist())
+        some = some.where(rank < F.lit(int(sample / n * (1 << 30))))
+    kept = F.filter("cells", lambda c: (c["kind"] == "text") & c["start_char"].isNotNull() & c["end_char"].isNotNull())
+    texts = F.transform(kept, lambda c: F.struct(c["start_char"].alias("at"), F.substring(F.col("text"), c["start_char"].cast("int") + 1, (c["end_char"] - c["start_char"]).cast("int")).alias("t")))
+    got = some.where("text is not null").select(rank.alias("rank"), "doc_id", F.inline(texts)).where("t <> ''")
+    cells = [r.t for r in got.orderBy("rank", "doc_id", "at", "t").limit(SAMPLE_CELLS).collect()]
+    return train(cells, corpus_counts(documents, asked_keys(examples(cells)[1])))
 
 
 def sentence_units(documents: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:

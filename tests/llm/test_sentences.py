@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from plotweave.llm import sentences as se
 
@@ -55,6 +56,63 @@ def test_held_out():
     assert hits / total > 0.97 and hits / found > 0.97
 
 
+# seen in training besides the stock: abbreviations and patterns in yet other sentences
+MORE = [["Prof. Lind sang a song.", "Ask Prof. Holt about it.", "Dr. Amato nodded.", "The door was open."], ["Der 4. Juni war kalt.", "Bis zum 30. Juni ist Zeit.", "Es regnet."],
+        ["他喊：“谁来了？”", "老师答：“是我。”", "他说：“走吧！”", "“谁？”他问。"], ["क्या हुआ?", "वह कहाँ गया?", "बारिश हुई।"]]
+# other words, the same traps; no sentence of these is in the training prose
+UNSEEN = [
+    ["Prof. Weaver painted two doors.", "The ferry left at 7 p.m.", "Compare Fig. 9 with the map.", "Nails, glue, etc. were bought.", "He wrote, “Close the gate.”",
+     "“Where is the ladder?” asked Miller.", "(Nobody read the letter.)", "Its weight was 2.75 or more.", "Hmm...", "Rename old.csv after lunch.", "They repaired No. 4 and no. 6."],
+    ["Am 9. Juni wurden Fenster geputzt.", "Hier liegt z. B. ein Brett.", "„Kommt er?“, fragte Weber.", "Im 17. Jahrhundert brannte alles.", "Wo bleibt Nr. 5?"],
+    ["她问：“门关了吗？”", "桥很旧；明天再修。", "宽度是2.5，高度不明。"],
+    ["Πού πήγε ο Νίκος;", "Άνοιξε το παράθυρο!", "Βλ. σχ. 8 στην αρχή."],
+    ["« Où est la clé ? » demanda Petit.", "Voir fig. 7, p. 12.", "M. Petit a vendu 2,5 tonnes."],
+    ["यह घर पुराना है।", "कौन आया?"],
+]
+
+
+def test_unseen_sentences():
+    """Trained on the stock, scored on other sentences."""
+    rng = random.Random(6)
+    more = [("" if stock is MORE[2] else " ").join(rng.choice(stock) for _ in range(rng.randint(1, 4))) for stock in MORE * 150]
+    pieces = ["\n\n".join(rng.sample(more, 2)) for _ in range(600)]
+    segmenter = se.Segmenter(se.train([prose(rng)[0] for _ in range(3500)] + pieces))
+    hits = total = found = 0
+    for _ in range(300):
+        stock = rng.choice(UNSEEN)
+        text, units = "", []
+        for n in range(rng.randint(1, 5)):
+            s = rng.choice(stock)
+            text += ("" if stock is UNSEEN[2] else " ") if n else ""
+            units.append((len(text), len(text) + len(s)))
+            text += s
+        got = segmenter.units(text)
+        hits, total, found = hits + len(set(got) & set(units)), total + len(units), found + len(got)
+    assert hits / total > 0.9 and hits / found > 0.9
+
+
+def test_more_scripts():
+    """Marks that need no blank: Armenian, Khmer, Burmese, Tibetan, Mongolian."""
+    units = [("Տունը հին է։", " "), ("ផ្ទះនេះចាស់។", ""), ("အိမ်ဟောင်းသည်။", ""), ("ཁང་པ་རྙིང་པ།", " "), ("ᠭᠡᠷ᠃", " ")]
+    cells = [glue.join([s] * k) + "\n\n" + s for s, glue in units for k in (1, 2, 3) for _ in range(20)]
+    segmenter = se.Segmenter(se.train(cells + [prose(random.Random(i))[0] for i in range(500)]))
+    for s, glue in units:
+        text = glue.join([s, s])
+        assert segmenter.units(text) == [(0, len(s)), (len(text) - len(s), len(text))]
+
+
+def test_counts_cover_all_documents(spark):
+    """A token too rare in the sample is known from the other documents."""
+    rare = "Cf. Roof."
+    docs = [(i, t, [(0, "text", None, 0, len(t))]) for i, t in enumerate([f"{rare} The end." if i % 3 else "All is well. Good." for i in range(200)])]
+    df = spark.createDataFrame(docs, f"doc_id long, text string, {CELLS}")
+    cells = [rare]
+    counts = se.corpus_counts(df, se.asked_keys(se.examples(cells)[1]))
+    assert counts["mids", "cf", "."] == 133 and counts["ends", "cf", "."] == 0 and counts["follows", "roof", ""] == 133
+    a, b = (sorted(se.fitted(df, sample=50).weights.items()) for _ in range(2))
+    assert a == b == sorted(se.fitted(df.orderBy(F.desc("doc_id")).repartition(3), sample=50).weights.items())
+
+
 def test_blocks():
     text = "# Head\nline one\nline two\n\n- a\n- b\n  more\n\n1. x\n2. y\n3 z\n\nAm\n3. Mai\n"
     assert [text[a:b] for a, b in se.blocks(text)] == ["Head", "line one\nline two", "a", "b\n  more", "x", "y\n3 z", "Am\n3. Mai"]
