@@ -34,10 +34,11 @@ def configure(arguments: Sequence[str] | None = None) -> tuple[list[tuple[str, s
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
-    from plotweave.plans.pipeline import build_many_cities
+    from plotweave.plans.pipeline import Connectors, build_many_cities
 
     places, config = configure(arguments)
-    build_many_cities(SparkSession.builder.getOrCreate(), places, config)
+    spark = SparkSession.builder.getOrCreate()
+    build_many_cities(spark, places, config, Connectors.public(spark))
 
 
 if __name__ == "__main__":

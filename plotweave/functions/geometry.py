@@ -8,6 +8,7 @@ projection and tiles stay in the JVM.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -281,3 +282,24 @@ def _shared(a: pa.Array, b: pa.Array, zone: pa.Array) -> pa.Array:
     z = pc.fill_null(zone, 0).to_numpy(zero_copy_only=False).astype(float)
     left, right = (kernels.projected(kernels.closed(_rings(x)), z) for x in (a, b))
     return pa.StructArray.from_arrays([pa.array(kernels.shared_areas(left, right)), pa.array(kernels.areas(left))], ["area", "base"])
+
+
+def crs_code(name: str) -> int:
+    """0 for degrees, a UTM zone (negative: south), 100 for web Mercator."""
+    code = int(re.sub(r"\D", "", name.rpartition(":")[2]) or 0)
+    if code in (4326, 4269, 84, 0):
+        return 0
+    if code in (3857, 900913):
+        return 100
+    for base, sign in ((32600, 1), (26900, 1), (32700, -1)):
+        if 1 <= code - base <= 60:
+            return sign * (code - base)
+    raise ValueError(f"reference system not known: {name}")
+
+
+@F.arrow_udf(T.BinaryType())
+def to_degrees(blobs: pa.Array, code: pa.Array) -> pa.Array:
+    """Geometries of a UTM zone or of web Mercator in longitudes and latitudes."""
+    r = kernels.closed(_rings(blobs))
+    which = code.to_numpy(zero_copy_only=False)[r.vertex_geom()] if len(r.xy) else np.zeros(0)
+    return pa.array(kernels.write(wkb.Rings(kernels.degrees(r.xy, which), r.start, r.geom, r.n_geoms)), pa.binary())

@@ -159,6 +159,29 @@ def utm(xy: np.ndarray, zone: np.ndarray) -> np.ndarray:
     return np.stack([500000 + SCALE * RADIUS * east, SCALE * RADIUS * north], axis=1)
 
 
+def degrees(xy: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Longitudes and latitudes of eastings and northings (code: a UTM zone,
+    negative in the south, or 100 for web Mercator)."""
+    out = np.empty_like(xy)
+    web = code == 100
+    out[web, 0] = np.degrees(xy[web, 0] / 6378137.0)
+    out[web, 1] = np.degrees(np.arctan(np.sinh(xy[web, 1] / 6378137.0)))
+    at = ~web
+    zone = np.abs(code[at])
+    north = np.where(code[at] < 0, xy[at, 1] - 10_000_000.0, xy[at, 1])
+    # start on the sphere, then undo what the projection gets wrong
+    guess = np.stack([(xy[at, 0] - 500000) / 85000.0 + zone * 6 - 183, np.degrees(north / (SCALE * RADIUS))], axis=1)
+    goal = np.stack([xy[at, 0], north], axis=1)
+    for _ in range(30):
+        miss = goal - utm(guess, zone)
+        guess[:, 1] = np.clip(guess[:, 1] + np.degrees(miss[:, 1] / (SCALE * RADIUS)), -89.9, 89.9)
+        guess[:, 0] += np.degrees(miss[:, 0] / (SCALE * RADIUS * np.cos(np.radians(guess[:, 1]))))
+        if np.abs(miss).max(initial=0) < 1e-7:
+            break
+    out[at] = guess
+    return out
+
+
 def projected(r: wkb.Rings, zone: np.ndarray) -> wkb.Rings:
     """Vertices in metres of each geometry's zone; zone 0 leaves them alone."""
     z = zone[r.vertex_geom()] if len(r.xy) else np.zeros(0)

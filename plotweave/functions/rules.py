@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +62,10 @@ def people(am: Column, pm: Column, employed: Column, students: Column) -> Column
 
 
 def finalize(base: DataFrame, city: Column | str, state: Column | str, country: Column | str = "USA",
-             household: float | None = None, household_source: str | None = None) -> DataFrame:
-    """The 44-column table from a base with attached attributes."""
+             household: Column | float | None = None, household_source: Column | str | None = None,
+             keep: Sequence[str] = ()) -> DataFrame:
+    """The 44-column table from a base with attached attributes (D1-D13). What
+    differs by city may be a column; ``keep`` names further columns to carry."""
     def as_column(v: Column | str) -> Column:
         return v if isinstance(v, Column) else F.lit(v)
 
@@ -85,11 +89,12 @@ def finalize(base: DataFrame, city: Column | str, state: Column | str, country:
         "NumUnitsSource": F.when(infer, "inferred_single_family").otherwise(F.col("_units_from")),
         "_people": people(F.col("NSI_Pop2AM"), F.col("NSI_Pop2PM"), F.col("NSI_EmpNum"), F.col("NSI_Students")),
     })
-    size = F.lit(float(household)) if household else F.lit(None).cast("double")
+    size = as_column(household).cast("double")
+    size = F.when(size != 0, size)
     census = F.when(F.col("StructureType").isin("residential", "condo", "apartment", "mobile_home"), F.col("NumUnits") * size)
     df = df.withColumns({
         "OccupantCount": F.coalesce(F.col("_people"), census),
         "OccupantCountMethod": F.when(F.col("_people").isNotNull(), "nsi_max_2am_2pm_emp_students").when(census.isNotNull(), "num_units_x_census_household_size"),
-        "CensusAvgHouseholdSize": F.lit(household).cast("double"), "CensusSource": F.lit(household_source).cast("string"),
+        "CensusAvgHouseholdSize": as_column(household).cast("double"), "CensusSource": as_column(household_source).cast("string"),
     })
-    return ensure_columns(df, OUTPUT).select(*[F.col(c).cast(t).alias(c) for c, t in OUTPUT.items()])
+    return ensure_columns(df, OUTPUT).select(*[F.col(c).cast(t).alias(c) for c, t in OUTPUT.items()], *keep)

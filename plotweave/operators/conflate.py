@@ -21,6 +21,17 @@ from plotweave.schema import FOOTPRINT, NSI, NSI_ATTACHED, OSM, PARCEL, PARCEL_A
 
 #: Grid cell in degrees, near the extent of a building with its lot.
 CELL_DEG = 0.0005
+#: Tables of several cities carry this column; rows of different cities don't meet.
+CITY = "city_slug"
+
+
+def city_of(*tables: DataFrame) -> list[str]:
+    return [CITY] if all(CITY in t.columns for t in tables) else []
+
+
+def whole(df: DataFrame, schema: dict[str, str]) -> DataFrame:
+    """The columns of a schema, and the city's where there is one."""
+    return project(df, schema | {c: "string" for c in city_of(df)})
 
 
 def with_rings(df: DataFrame) -> DataFrame:
@@ -32,15 +43,15 @@ def with_rings(df: DataFrame) -> DataFrame:
 def inner_points(df: DataFrame, key: str = "StructureID") -> DataFrame:
     """key, x, y of each geometry's representative point."""
     p = g.representative_point("geometry")
-    return df.select(key, p.alias("p")).select(key, F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    return df.select(key, *city_of(df), p.alias("p")).select(key, *city_of(df), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
 def shapes_of(df: DataFrame, key: str = "StructureID") -> DataFrame:
     """key, rings, bbox and representative point (x, y): what the joins need,
     decoded once."""
     p = g.representative_point("geometry")
-    out = df.select(key, g.decode("geometry").alias("rings"), g.box_of("geometry").alias("bbox"), p.alias("p"))
-    return out.select(key, "rings", "bbox", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    out = df.select(key, *city_of(df), g.decode("geometry").alias("rings"), g.box_of("geometry").alias("bbox"), p.alias("p"))
+    return out.select(key, *city_of(df), "rings", "bbox", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -69,17 +80,17 @@ def coalesce_onto(base: DataFrame, attributes: DataFrame, key: str, schema: dict
 
 def merge_footprints(overture: DataFrame, microsoft: DataFrame, add_unmatched: bool = True, cell: float = CELL_DEG) -> DataFrame:
     """All first-source rows and those second-source rows whose
-    representative point lies in none of them. An empty first source keeps the
-    whole second one, whatever ``add_unmatched`` says."""
-    overture, microsoft = project(overture, FOOTPRINT), project(microsoft, FOOTPRINT)
-    if overture.isEmpty():
-        return microsoft
+    representative point lies in none of them. Without ``add_unmatched`` only
+    places (cities) without a first source take the second, and take all of it."""
+    overture, microsoft = whole(overture, FOOTPRINT), whole(microsoft, FOOTPRINT)
+    by = city_of(overture, microsoft)
     if not add_unmatched:
-        return overture
-    polygons = with_rings(overture.select("geometry")).select("rings", "bbox")
-    points = inner_points(microsoft)
-    covered = points_in_polygons(points, polygons, cell).select("StructureID").distinct()
-    return overture.unionByName(microsoft.join(covered, "StructureID", "left_anti"))
+        if by:
+            return overture.unionByName(microsoft.join(overture.select(*by).distinct(), by, "left_anti"))
+        return microsoft if overture.isEmpty() else overture
+    polygons = with_rings(overture.select("geometry", *by))
+    covered = points_in_polygons(inner_points(microsoft.select("StructureID", "geometry", *by)), polygons, cell, by=by).select("StructureID", *by).distinct()
+    return overture.unionByName(microsoft.join(covered, ["StructureID", *by], "left_anti"))
 
 
 def attach_osm(base: DataFrame, osm: DataFrame, cell: float = CELL_DEG, shapes: DataFrame | None = None) -> DataFrame:
@@ -87,9 +98,10 @@ def attach_osm(base: DataFrame, osm: DataFrame, cell: float = CELL_DEG, shapes:
     representative point; ties go to the lowest OSMID. ``shapes`` (of
     ``shapes_of``) spares decoding a base that has been attached to before."""
     attributes = {c: t for c, t in OSM.items() if c != "geometry"}
-    polygons = with_rings(project(osm, OSM))
-    points = inner_points(base) if shapes is None else shapes.select("StructureID", "x", "y")
-    pairs = points_in_polygons(points, polygons, cell)
+    by = city_of(base, osm)
+    polygons = with_rings(whole(osm, OSM))
+    points = (inner_points(base) if shapes is None else shapes).select("StructureID", *by, "x", "y")
+    pairs = points_in_polygons(points, polygons.drop(*[c for c in city_of(polygons) if not by]), cell, by=by)
     first = first_per_key(pairs.select("StructureID", *attributes), "StructureID", [F.col("OSMID").isNull(), F.length("OSMID"), F.col("OSMID")])
     return coalesce_onto(base, first, "StructureID", attributes)
 
@@ -117,17 +129,19 @@ def attach_inventory(base: DataFrame, nsi: DataFrame, cell: float = CELL_DEG, sh
     points = ensure_columns(nsi, NSI)
     if "ordinal" not in points.columns:
         points = points.withColumn("ordinal", F.struct(F.length("fd_id"), F.col("fd_id")))
-    polygons = with_rings(base.select("StructureID", "geometry")) if shapes is None else shapes.select("StructureID", "rings", "bbox")
-    joined = points_in_polygons(points.select(*NSI, "ordinal", "x", "y"), polygons, cell)
+    by = city_of(base, points)
+    polygons = (with_rings(base.select("StructureID", "geometry", *by)) if shapes is None else shapes).select("StructureID", *by, "rings", "bbox")
+    joined = points_in_polygons(points.select(*NSI, *by, "ordinal", "x", "y"), polygons, cell, by=by)
     return coalesce_onto(base, aggregate_inventory(joined.select("StructureID", *NSI, "ordinal")), "StructureID", NSI_ATTACHED)
 
 
 def attach_parcels(base: DataFrame, parcels: DataFrame, cell: float = CELL_DEG, shapes: DataFrame | None = None) -> DataFrame:
     """The smallest parcel around the representative point, areas unknown
     last, then the lower ParcelID."""
-    polygons = with_rings(project(parcels, PARCEL))
-    points = inner_points(base) if shapes is None else shapes.select("StructureID", "x", "y")
-    pairs = points_in_polygons(points, polygons, cell)
+    by = city_of(base, parcels)
+    polygons = with_rings(whole(parcels, PARCEL))
+    points = (inner_points(base) if shapes is None else shapes).select("StructureID", *by, "x", "y")
+    pairs = points_in_polygons(points, polygons.drop(*[c for c in city_of(polygons) if not by]), cell, by=by)
     columns = [c for c in PARCEL if c != "geometry"]
     first = first_per_key(pairs.select("StructureID", *columns), "StructureID", [nulls_last(F.col("ParcelArea_m2")), F.col("ParcelID").isNull(), F.col("ParcelID")])
     first = first.withColumn("ParcelMatchMethod", F.when(F.col("ParcelSource").isNotNull(), "representative_point_within"))
@@ -142,10 +156,11 @@ def best_overlap(base: DataFrame, candidates: DataFrame, columns: Sequence[str],
     middle, or in units of the coordinates without ``metres``. Ties go to the
     lower candidate key."""
     keep = list(dict.fromkeys([*columns, candidate_key or columns[0]]))
-    a = cut(base.select(key, g.box_of("geometry").alias("bbox"), F.col("geometry").alias("l_geometry")))
-    b = cut(candidates.select(*keep, g.box_of("geometry").alias("bbox"), F.col("geometry").alias("r_geometry")))
+    by = city_of(base, candidates)
+    a = cut(base.select(key, *by, g.box_of("geometry").alias("bbox"), F.col("geometry").alias("l_geometry")))
+    b = cut(candidates.select(*keep, *by, g.box_of("geometry").alias("bbox"), F.col("geometry").alias("r_geometry")))
     zone = g.frame_zone(a).scalar() if metres else F.lit(0)
-    pairs = boxes_meet(a, b, cell).withColumn("_s", g.shared(F.col("l_geometry"), F.col("r_geometry"), zone))
+    pairs = boxes_meet(a, b, cell, by).withColumn("_s", g.shared(F.col("l_geometry"), F.col("r_geometry"), zone))
     ratio = F.coalesce(F.col("_s.area") / F.nullif(F.col("_s.base"), F.lit(0.0)), F.lit(0.0))
     good = pairs.select(key, *keep, F.col("_s.area").alias("overlap_area"), ratio.alias("overlap_ratio")).where((F.col("overlap_area") > 0) & (F.col("overlap_ratio") >= least_ratio))
     return first_per_key(good, key, [-F.col("overlap_area"), F.col(keep[-1] if candidate_key else columns[0])]).select(key, *columns, "overlap_area", "overlap_ratio")

@@ -9,7 +9,7 @@ adaptive skew handling.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,22 +50,23 @@ def levels_of(polygons: DataFrame, cell: float) -> list[int]:
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, levels: list[int] | None = None,
-                       exact: Callable[[Column, Column, Column], Column] | None = g.within) -> DataFrame:
+                       exact: Callable[[Column, Column, Column], Column] | None = g.within, by: Sequence[str] = ()) -> DataFrame:
     """Pairs of ``points`` (x, y, …) and ``polygons`` (bbox, rings, …) with the
-    point strictly inside. Column names must not clash. A polygon on several
-    cells still meets a point once, as the point has one cell a level."""
+    point strictly inside and equal ``by`` columns. Other column names must not
+    clash. A polygon on several cells still meets a point once, as the point has
+    one cell a level."""
     levels = (levels_of(polygons, cell) if levels is None else levels) or [0]
     looks = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.floor(F.col("x") / (cell * GROWTH**k)).alias("cx"), F.floor(F.col("y") / (cell * GROWTH**k)).alias("cy")) for k in levels]))
     keyed = points.where("x is not null and y is not null").withColumn("_k", looks).withColumns({c: F.col(f"_k.{c}") for c in ("level", "cx", "cy")}).drop("_k")
     box, x, y = F.col("bbox"), F.col("x"), F.col("y")
-    pairs = keyed.join(keyed_polygons(polygons, cell), ["level", "cx", "cy"])
+    pairs = keyed.join(keyed_polygons(polygons, cell), ["level", "cx", "cy", *by])
     pairs = pairs.where((x > box["xmin"]) & (x < box["xmax"]) & (y > box["ymin"]) & (y < box["ymax"]))
     if exact is not None:
         pairs = pairs.where(exact(x, y, F.col("rings")))
     return pairs.drop("level", "cx", "cy")
 
 
-def boxes_meet(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
+def boxes_meet(left: DataFrame, right: DataFrame, cell: float, by: Sequence[str] = ()) -> DataFrame:
     """Pairs whose boxes overlap with positive area. Both sides need ``bbox``
     (renamed ``l_bbox`` and ``r_bbox`` in the result). A pair is kept only in the
     cell that holds the lower left corner of the shared box, at the coarser of
@@ -80,7 +81,7 @@ def boxes_meet(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
         df = df.withColumn("level", at)
         return df.withColumn("_c", F.explode(_cells(box, _size(F.col("level"), cell)))).withColumns({"cx": F.col("_c.cx"), "cy": F.col("_c.cy")}).drop("_c")
 
-    pairs = keyed(left, "l_bbox").join(keyed(right, "r_bbox"), ["level", "cx", "cy"])
+    pairs = keyed(left, "l_bbox").join(keyed(right, "r_bbox"), ["level", "cx", "cy", *by])
     a, b, size = F.col("l_bbox"), F.col("r_bbox"), _size(F.col("level"), cell)
     meet = (F.greatest(a["xmin"], b["xmin"]) < F.least(a["xmax"], b["xmax"])) & (F.greatest(a["ymin"], b["ymin"]) < F.least(a["ymax"], b["ymax"]))
     here = (F.floor(F.greatest(a["xmin"], b["xmin"]) / size) == F.col("cx")) & (F.floor(F.greatest(a["ymin"], b["ymin"]) / size) == F.col("cy"))

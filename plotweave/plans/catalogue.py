@@ -12,12 +12,12 @@ from plotweave.fixtures import blobs, rectangles, view, with_views
 from plotweave.functions import geometry as g
 from plotweave.functions import rules
 from plotweave.functions import scalars as sc
-from plotweave.functions.text import entity_key
+from plotweave.functions.text import entity_key, label_key, strip_ws
 from plotweave.operators import conflate as cf
+from plotweave.operators.conflate import CITY
 from plotweave.operators.spatial_join import boxes_meet
 from plotweave.plans import profile
-from plotweave.schema import OSM, empty
-from plotweave.plans.pipeline import Inputs, build_city
+from plotweave.plans.pipeline import Inputs, build_cities
 from plotweave.sources.attributes import standardize_inventory
 from plotweave.sources.footprints import tile_urls
 from plotweave.sources.parcels import standardize
@@ -460,20 +460,29 @@ def clean_geometry(s: SparkSession, d: str) -> DataFrame:
     return got.select("sid", F.round(g.area(g.decode("geometry")), 6).alias("area"))
 
 
-def delivered_inputs(s: SparkSession, d: str) -> Inputs:
-    """The delivered tables as pipeline inputs: one footprint per structure (the
-    latest delivery), all inventory points, all lots."""
+def delivered_inputs(s: SparkSession, d: str) -> tuple[Inputs, DataFrame]:
+    """The delivered tables as pipeline inputs of many cities: one footprint per
+    structure (the latest delivery), tags from the deliveries labelled so, all
+    inventory points, all lots; and the cities, as the structures name them."""
     t = table(s, d, "structures").where("geometry is not null").withColumn("key", entity_key(F.col("StructureID"))).where("key is not null")
-    latest = t.groupBy("key").agg(F.max(F.struct("observed_at", "record_id", "geometry", "OvertureID", "MicrosoftID", "HeightM", "Confidence_MS", "StructureTypeRaw")).alias("m")).select("key", "m.*")
-    common = [F.col("key").alias("StructureID"), "OvertureID", "MicrosoftID", "geometry"]
+    t = t.withColumns({"City": F.initcap(strip_ws(F.col("City"))), "State": sc.state_name(F.col("State"))})
+    t = t.withColumn(CITY, sc.slugify(F.col("City"), F.col("State")))
+    latest = t.groupBy("key").agg(F.max(F.struct("observed_at", "record_id", "geometry", "OvertureID", "MicrosoftID", "HeightM", "Confidence_MS", "StructureTypeRaw", CITY, "City", "State")).alias("m")).select("key", "m.*")
+    common = [F.col("key").alias("StructureID"), "OvertureID", "MicrosoftID", "geometry", CITY]
     first = latest.where("key not like 'msft%'").select(*common, F.lit("overture").alias("FootprintSource"), F.col("HeightM").alias("Height_OVT"), F.col("StructureTypeRaw").alias("OvertureClass"))
     second = latest.where("key like 'msft%'").select(*common, F.lit("microsoft").alias("FootprintSource"), F.col("HeightM").alias("Height_MS"), "Confidence_MS")
+    tags = t.where(label_key(F.col("StructureTypeSource")) == "osm").select(
+        F.concat(F.lit("w"), "record_id").alias("OSMID"), F.col("StructureTypeRaw").alias("OSM_StructureType"), F.col("NumStories").alias("Stories_OSM"),
+        F.col("NumUnits").alias("Units_OSM"), "geometry", CITY)
     nsi = standardize_inventory(table(s, d, "nsi").withColumn("ordinal", F.col("row_id")))
-    return Inputs(first, second, empty(s, OSM), nsi, table(s, d, "parcels"), 2.5, "ACS 2024 B25010_001E")
+    cities = latest.groupBy(CITY).agg(F.max("City").alias("City"), F.max("State").alias("State"))
+    cities = cities.select("*", F.lit("USA").alias("Country"), F.lit(2.5).alias("household"), F.lit("ACS 2024 B25010_001E").alias("household_source"))
+    return Inputs(first, second, tags, nsi, table(s, d, "parcels")), cities
 
 
 @query()
 def city_pipeline(s: SparkSession, d: str) -> DataFrame:
-    """Stages 6-10 over the delivered tables, all 44 columns."""
-    return build_city(delivered_inputs(s, d), "Corvane", "IL").drop("geometry")
-
+    """Stages 6-10 over the delivered tables, city by city in one plan, all 44
+    columns."""
+    inputs, cities = delivered_inputs(s, d)
+    return build_cities(inputs, cities).drop("geometry", CITY)

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from pathlib import Path
-
+import codecs
+import json
+import os
+import re
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +22,9 @@ from plotweave.functions.scalars import first_number, height_m, place_name, safe
 from plotweave.operators.conflate import dedup_across_tiles
 from plotweave.operators.near import with_point
 from plotweave.schema import NSI, OSM, empty, ensure_columns, project
+from plotweave.sources import files
 
+_NEXT_OBJECT = re.compile(r"[ \t\r\n,]*")
 UNIT_TAGS = ("building:flats", "residential:units", "building:units", "units")
 CENSUS_YEARS = (2024, 2023, 2022, 2021, 2020)
 
@@ -114,24 +123,116 @@ def read_boundary(spark: SparkSession, source: dict | str) -> bytes | None:
     source = {"path": source} if isinstance(source, str) else dict(source)
     if "path" not in source:
         raise ValueError("a boundary source needs a local 'path'")
-    path = Path(source["path"]).expanduser()
-    if not path.exists():
+    path = os.path.expanduser(str(source["path"]))
+    if not files.exists(path):
         raise FileNotFoundError(f"boundary file not found: {path}")
-    return normalize_boundary(read_vector(spark, str(path)))
+    return normalize_boundary(read_vector(spark, path, crs=source.get("crs")))
 
 
-def read_vector(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet (WKB ``geometry``) or GeoJSON (collection or lines) as a table."""
+def read_vector(spark: SparkSession, path: str, bounds: tuple[float, float, float, float] | None = None, crs: str | None = None) -> DataFrame:
+    """Parquet (WKB ``geometry``) or GeoJSON (collection or lines) as a table, in
+    degrees. ``bounds`` keeps what meets a box: it reaches the scan of Parquet
+    with a ``bbox`` column. ``crs`` is used where the file names none (EPSG:4326,
+    a UTM zone or web Mercator)."""
     if path.lower().endswith((".parquet", ".geoparquet")):
-        return spark.read.parquet(path)
-    text = spark.read.text(path, wholetext=True).where("value is not null")
-    whole = F.from_json(F.get_json_object("value", "$.features"), "array<string>")
-    lines = F.filter(F.split("value", "\n"), lambda v: F.trim(v) != "")
-    features = text.select(F.explode(F.coalesce(whole, F.when(F.get_json_object("value", "$.type") == "Feature", F.array("value")), lines)).alias("f"))
+        df, known = spark.read.parquet(path), footer_crs(spark, path)
+        if bounds is not None and "bbox" in df.columns and (known or crs) in (None, "EPSG:4326"):
+            df = df.where(g.overlaps(F.col("bbox"), *[F.lit(float(v)) for v in bounds]))
+    else:
+        df, known = read_geojson(spark, path)
+    zone = g.crs_code(known or crs or "EPSG:4326")
+    if zone:
+        df = df.withColumn("geometry", g.to_degrees(F.col("geometry"), F.lit(zone)))
+    if bounds is not None:
+        df = df.where(g.overlaps(g.box_of("geometry"), *[F.lit(float(v)) for v in bounds]))
+    return df
+
+
+def footer_crs(spark: SparkSession, path: str) -> str | None:
+    """The reference system a GeoParquet file names, as EPSG:code."""
+    try:
+        system, where = pafs.FileSystem.from_uri(path if ":/" in path else f"file://{os.path.abspath(path)}")
+        info = system.get_file_info(where)
+        if info.type == pafs.FileType.Directory:
+            where = next(f.path for f in system.get_file_info(pafs.FileSelector(where)) if f.path.endswith(".parquet"))
+        geo = json.loads((pq.read_metadata(where, filesystem=system).metadata or {}).get(b"geo", b"{}"))
+        got = (geo.get("columns", {}).get(geo.get("primary_column", "geometry"), {}).get("crs") or {}).get("id") or {}
+        return f"EPSG:{got['code']}" if got.get("authority") == "EPSG" else None
+    except (OSError, ValueError, StopIteration, pa.ArrowException, AttributeError):
+        return None
+
+
+def read_geojson(spark: SparkSession, path: str) -> tuple[DataFrame, str | None]:
+    """Features and the file's reference system. Files with a feature a line are
+    read line by line; a file that opens as one collection is cut into features
+    as it streams through its task."""
+    first = spark.read.text(path).where("trim(value) <> ''").limit(1).collect()
+    head = first[0].value.lstrip() if first else ""
+    lines = False
+    if head:
+        try:
+            lines = json.loads(head).get("type") not in ("FeatureCollection",)
+        except (ValueError, AttributeError):
+            lines = False
+    known = None
+    if lines:
+        features = spark.read.text(path).where("trim(value) <> ''").select(F.col("value").alias("f"))
+    else:
+        files_of = spark.read.format("binaryFile").load(path).select("path")
+        features = files_of.mapInPandas(_split_collections, "f string")
+        named = features.where("f like '{\"crs\":%'").limit(1).collect()
+        if named:
+            text = str(json.loads(named[0].f)["crs"])
+            found = re.search(r"EPSG:+([0-9]+)", text)
+            known = f"EPSG:{found[1]}" if found else None
+        features = features.where("f not like '{\"crs\":%'")
     parsed = features.withColumn("p", F.from_json(F.get_json_object("f", "$.properties"), "map<string,string>"))
     names = sorted(r[0] for r in parsed.select(F.explode(F.map_keys("p"))).distinct().collect())  # field names of one layer
     geometry = g.encode(g.geojson_rings(F.coalesce(F.get_json_object("f", "$.geometry"), F.col("f"))))
-    return parsed.select(*[F.try_element_at(F.col("p"), F.lit(n)).alias(n) for n in names if n != "geometry"], geometry.alias("geometry"))
+    return parsed.select(*[F.try_element_at(F.col("p"), F.lit(n)).alias(n) for n in names if n != "geometry"], geometry.alias("geometry")), known
+
+
+def _split_collections(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The features of collections, read piece by piece."""
+    for pdf in batches:
+        for path in pdf["path"]:
+            system, where = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+            with system.open_input_stream(where) as stream:
+                rows = []
+                decoder = codecs.getincrementaldecoder("utf-8")("replace")
+                for f in feature_texts(decoder.decode(b) for b in iter(lambda: stream.read(1 << 20), b"")):
+                    rows.append(f)
+                    if len(rows) >= 2_000:
+                        yield pd.DataFrame({"f": rows})
+                        rows = []
+                yield pd.DataFrame({"f": rows})
+
+
+def feature_texts(pieces: Iterator[str]) -> Iterator[str]:
+    """Texts of the objects in the array ``features`` of a document that comes in
+    pieces; a ``crs`` member before it comes first, a lone feature as it is."""
+    decoder, text, inside = json.JSONDecoder(), "", False
+    for piece in pieces:
+        text += piece
+        if not inside:
+            at = re.search(r'"features"\s*:\s*\[', text)
+            if not at:
+                continue
+            crs = re.search(r'"crs"\s*:\s*(?=\{)', text[: at.start()])
+            if crs:
+                yield '{"crs":' + json.dumps(decoder.raw_decode(text, crs.end())[0]) + "}"
+            text, inside = text[at.end() :], True
+        at = 0
+        while (start := _NEXT_OBJECT.match(text, at).end()) < len(text) and text[start] == "{":
+            try:
+                _, end = decoder.raw_decode(text, start)
+            except ValueError:  # the object goes on in the next piece
+                break
+            yield text[start:end]
+            at = end
+        text = text[at:]
+    if not inside and text.strip():
+        yield text
 
 
 def bounds_of(boundary: bytes) -> tuple[float, float, float, float]:

@@ -6,6 +6,7 @@ import json
 import os
 import subprocess
 import sys
+import tempfile
 from collections.abc import Callable
 from datetime import datetime, timezone
 from pathlib import Path
@@ -17,8 +18,11 @@ from plotweave.config import PipelineConfig
 from plotweave.functions import geometry as g
 from plotweave.functions.scalars import nested_text, safe_number
 from plotweave.schema import FOOTPRINT, empty, project
+from plotweave.sources import files, remote
 
 Bounds = tuple[float, float, float, float]
+#: Public index of the secondary footprints' tiles.
+MICROSOFT_LINKS = "https://minedbuildings.z5.web.core.windows.net/global-buildings/dataset-links.csv"
 
 
 # state sidecars
@@ -26,13 +30,14 @@ Bounds = tuple[float, float, float, float]
 
 def write_state(path: str | Path, bounds: Bounds, **extra: object) -> None:
     box = dict(zip(("xmin", "ymin", "xmax", "ymax"), bounds))
-    Path(f"{path}.state").write_text(json.dumps({"last_run": datetime.now(timezone.utc).isoformat(), **extra, "bbox": box, "output": str(path)}, indent=2))
+    state = {"last_run": datetime.now(timezone.utc).isoformat(), **extra, "bbox": box, "output": str(path)}
+    files.write_text(f"{path}.state", json.dumps(state, indent=2))
 
 
 def state_covers(path: str | Path, bounds: Bounds) -> bool:
     """The sidecar's box holds the bounds; missing or malformed ones don't."""
     try:
-        box = json.loads(Path(f"{path}.state").read_text())["bbox"]
+        box = json.loads(files.read_text(f"{path}.state"))["bbox"]
         return box["xmin"] <= bounds[0] and box["ymin"] <= bounds[1] and box["xmax"] >= bounds[2] and box["ymax"] >= bounds[3]
     except (OSError, ValueError, KeyError, TypeError):
         return False
@@ -44,7 +49,7 @@ def state_covers(path: str | Path, bounds: Bounds) -> bool:
 def read_overture(spark: SparkSession, path: str | Path, bounds: Bounds | None = None, boundary: bytes | None = None) -> DataFrame:
     """The footprint schema from a Parquet layer. Only known columns are read;
     the box filter reaches the scan when the file has a ``bbox`` column."""
-    if not Path(path).exists():
+    if not files.exists(path):
         return empty(spark, FOOTPRINT)
     raw = spark.read.parquet(str(path))
     if bounds is not None and "bbox" in raw.columns:
@@ -66,10 +71,12 @@ def read_overture(spark: SparkSession, path: str | Path, bounds: Bounds | None =
     return project(out.where("geometry is not null"), FOOTPRINT)
 
 
-def download_overture(bounds: Bounds, path: Path, config: PipelineConfig) -> None:
-    """Calls the public download command; partial output is removed on failure."""
-    path.parent.mkdir(parents=True, exist_ok=True)
-    command = [sys.executable, "-m", "overturemaps", "download", "--bbox=" + ",".join(map(str, bounds)), "-f", "geoparquet", "--type=building", "-o", str(path)]
+def download_overture(bounds: Bounds, path: files.Location, config: PipelineConfig) -> None:
+    """Calls the public download command, which writes to the driver's disk; for
+    other places the file is moved there. Partial output is removed on failure."""
+    local = path if isinstance(path, Path) else Path(tempfile.mkdtemp(prefix="plotweave-download-")) / "buildings.parquet"
+    local.parent.mkdir(parents=True, exist_ok=True)
+    command = [sys.executable, "-m", "overturemaps", "download", "--bbox=" + ",".join(map(str, bounds)), "-f", "geoparquet", "--type=building", "-o", str(local)]
     if config.overture_release:
         command += ["--release", config.overture_release]
     env = dict(os.environ)
@@ -81,21 +88,23 @@ def download_overture(bounds: Bounds, path: Path, config: PipelineConfig) -> Non
         pass
     try:
         subprocess.run(command, check=True, env=env)
+        if local is not path:
+            files.upload(local, path)
     except (OSError, subprocess.CalledProcessError):
-        path.unlink(missing_ok=True)
-        Path(f"{path}.state").unlink(missing_ok=True)
+        local.unlink(missing_ok=True)
+        files.remove(f"{path}.state")
         raise
     write_state(path, bounds, release=config.overture_release, type="building")
 
 
-def overture_path(slug: str, bounds: Bounds, config: PipelineConfig, download: Callable = download_overture) -> Path | None:
+def overture_path(slug: str, bounds: Bounds, config: PipelineConfig, download: Callable = download_overture) -> files.Location | None:
     """City file, else the general file if its state covers the bounds, else a
     download if allowed; a failed download is reported and skipped."""
-    city = config.raw_dir / f"overture_{slug}.parquet"
-    if city.exists():
+    city = files.join(config.raw_dir, f"overture_{slug}.parquet")
+    if files.exists(city):
         return city
-    general = config.data_dir / "overture_buildings.parquet"
-    if general.exists() and state_covers(general, bounds):
+    general = files.join(config.data_dir, "overture_buildings.parquet")
+    if files.exists(general) and state_covers(general, bounds):
         return general
     if config.download_missing:
         try:
@@ -114,19 +123,30 @@ def load_overture(spark: SparkSession, slug: str, bounds: Bounds, boundary: byte
 # secondary footprints
 
 
-def read_remote_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A staged CSV, everything as text."""
-    return spark.read.csv(path, header=True)
+def read_remote_csv(spark: SparkSession, url: str, transport: str | None = None) -> DataFrame:
+    """A CSV behind a url, everything as text; fetched by one task."""
+    lines = remote.url_lines(spark.createDataFrame([(url,)], "Url string"), transport)
+    head = lines.orderBy("line").first()
+    if head is None:
+        return spark.createDataFrame([], "QuadKey string, Url string")
+    names = [n.strip().strip('"') for n in head.value.split(",")]
+    row = F.from_csv("value", ", ".join(f"`{n}` string" for n in names))
+    return lines.where("line > 0").select(row.alias("r")).select("r.*")
 
 
-def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """GeoJSON lines (``.gz`` too): height, confidence and WKB geometry."""
-    raw = spark.read.text(path).where("trim(value) <> ''")
+def json_lines(raw: DataFrame) -> DataFrame:
+    """height, confidence and WKB geometry of GeoJSON features in ``value``."""
+    raw = raw.where("trim(value) <> ''")
     p = F.coalesce(F.get_json_object("value", "$.properties"), F.col("value"))
     rings = g.geojson_rings(F.get_json_object("value", "$.geometry"))
     return raw.select(safe_number(F.get_json_object(p, "$.height")).alias("height"), safe_number(F.get_json_object(p, "$.confidence")).alias("confidence"), g.encode(rings).alias("geometry"))
 
 
+def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """GeoJSON lines (``.gz`` too)."""
+    return json_lines(spark.read.text(path))
+
+
 def tile_urls(links: DataFrame, bounds: DataFrame, zoom: int) -> DataFrame:
     """Distinct urls of the tiles that cover the bounds; ``links`` has QuadKey, Url."""
     keys = g.quadkeys_for_bounds(bounds, zoom).withColumnRenamed("quadkey", "QuadKey")
@@ -156,25 +176,34 @@ def load_microsoft(spark: SparkSession, slug: str, bounds: Bounds, boundary: byt
     anything is left), else ``fetch(bounds, path)``, whose errors propagate."""
     if not config.use_microsoft:
         return empty(spark, FOOTPRINT)
-    city = config.raw_dir / f"microsoft_{slug}.parquet"
-    if city.exists():
+    city = files.join(config.raw_dir, f"microsoft_{slug}.parquet")
+    if files.exists(city):
         return standardize_microsoft(spark.read.parquet(str(city)), slug)
-    general = config.data_dir / "microsoft_buildings.parquet"
-    if slug in config.generic_microsoft_cache_slugs and general.exists():
+    general = files.join(config.data_dir, "microsoft_buildings.parquet")
+    if slug in config.generic_microsoft_cache_slugs and files.exists(general):
         part = spark.read.parquet(str(general)).withColumn("geometry", g.clip(F.col("geometry"), boundary)).where("geometry is not null")
         if not part.isEmpty():
             return standardize_microsoft(part, slug)
     if not config.download_missing or fetch is None:
         return empty(spark, FOOTPRINT)
-    fetch(bounds, city)
-    return standardize_microsoft(spark.read.parquet(str(city)), slug)
+    fetch(bounds, boundary, city, config)
+    return standardize_microsoft(spark.read.parquet(str(city)), slug) if files.exists(city) else empty(spark, FOOTPRINT)
 
 
-def store_microsoft(spark: SparkSession, files: str | list[str], boundary: bytes, bounds: Bounds, path: Path) -> None:
-    """Tiles sliced by box, clipped, cleaned and kept as the city's file with a
-    state sidecar (K3)."""
-    raw = read_json_lines(spark, files)
-    box = g.bbox(g.decode("geometry"))
-    raw = raw.where(g.overlaps(box, *[F.lit(float(v)) for v in bounds])).withColumn("geometry", g.clip(F.col("geometry"), boundary))
+def store_microsoft(raw: DataFrame, boundary: bytes, bounds: Bounds, path: files.Location) -> None:
+    """Features sliced by box, clipped, cleaned and kept as the city's file with
+    a state sidecar (K3)."""
+    raw = raw.where(g.overlaps(g.box_of("geometry"), *[F.lit(float(v)) for v in bounds])).withColumn("geometry", g.clip(F.col("geometry"), boundary))
     raw.where("geometry is not null").write.mode("overwrite").parquet(str(path))
     write_state(path, bounds)
+
+
+def download_microsoft(spark: SparkSession, links: str = MICROSOFT_LINKS, transport: str | None = None) -> Callable:
+    """The fetch of ``load_microsoft``: the index of links names the tiles over
+    the bounds, tasks read a tile each, and what lies in the boundary is kept."""
+    def fetch(bounds: Bounds, boundary: bytes, path: files.Location, config: PipelineConfig) -> None:
+        box = spark.createDataFrame([bounds], "xmin double, ymin double, xmax double, ymax double")
+        urls = tile_urls(read_remote_csv(spark, links, transport), box, config.microsoft_zoom)
+        store_microsoft(json_lines(remote.url_lines(urls, transport)), boundary, bounds, path)
+
+    return fetch

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from plotweave.functions import geometry as g
 from plotweave.functions.scalars import field_name, safe_number
 from plotweave.schema import PARCEL, empty, project
 from plotweave.session import cut
-from plotweave.sources import remote
+from plotweave.sources import files, remote
 from plotweave.sources.attributes import read_vector
 
 
@@ -65,16 +65,16 @@ def load(spark: SparkSession, source: Mapping[str, Any] | None, name: str, slug:
     if not config.use_parcels or source is None:
         return empty(spark, PARCEL)
     if source.get("path"):
-        path = Path(source["path"]).expanduser()
-        if not path.exists():
+        path = os.path.expanduser(str(source["path"]))
+        if not files.exists(path):
             print(f"parcels skipped: no file at {path}")
             return empty(spark, PARCEL)
-        raw = read_vector(spark, str(path))
+        raw = read_vector(spark, path, bounds, source.get("crs"))
         return standardize(raw.withColumn("geometry", g.clip(F.col("geometry"), boundary)), source, name)
     if not source.get("url"):
         return empty(spark, PARCEL)
-    kept = config.raw_dir / f"parcels_{slug}_{source_digest(source)}.parquet"
-    if kept.exists():
+    kept = files.join(config.raw_dir, f"parcels_{slug}_{source_digest(source)}.parquet")
+    if files.exists(kept):
         return spark.read.parquet(str(kept))
     if not config.download_missing:
         return empty(spark, PARCEL)

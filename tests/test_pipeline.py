@@ -1,15 +1,20 @@
 """Sources, sinks, pipeline, command line and stream over local files."""
 
+import gzip
+import io
 import json
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from plotweave import cli
 from plotweave.config import PipelineConfig
-from plotweave.functions import overlay, wkb
+from plotweave.functions import geometry as g
+from plotweave.functions import kernels, overlay, wkb
 from plotweave.plans import pipeline, profile
 from plotweave.schema import OUTPUT
 from plotweave.sources import attributes, footprints, parcels, remote, sinks
@@ -64,7 +69,7 @@ def config(spark, tmp_path):
     lines = [{"type": "Feature", "properties": {"height": h, "confidence": -1}, "geometry": geojson(*a)} for h, a in ((5.5, (20, 20, 2)), (-1, (1.5, 1.5, 1)))]
     (tmp_path / "tile.jsonl").write_text("\n".join(map(json.dumps, lines)))
     boundary = attributes.read_boundary(spark, str(tmp_path / "boundary.geojson"))
-    footprints.store_microsoft(spark, str(tmp_path / "tile.jsonl"), boundary, attributes.bounds_of(boundary), c.raw_dir / "microsoft_corvane_illinois_usa.parquet")
+    footprints.store_microsoft(footprints.read_json_lines(spark, str(tmp_path / "tile.jsonl")), boundary, attributes.bounds_of(boundary), c.raw_dir / "microsoft_corvane_illinois_usa.parquet")
     return c
 
 
@@ -84,7 +89,6 @@ def test_city(spark, config):
     assert {r.label: r.n for r in profile.label_counts(out, ["HeightSource"]).collect()} == {"osm": 1, "microsoft": 1, None: 1}
     assert len(list(config.raw_dir.glob("parcels_*"))) == 1
     path = config.output_dir / "corvane_illinois_usa_structures.parquet"
-    assert sinks.add_geo_footer(path) >= 1
     assert all(b"geo" in pq.read_schema(f).metadata for f in Path(path).glob("*.parquet"))
     overlap = PipelineConfig(**{**config.__dict__, "match_mode": "overlap"})
     again = pipeline.build_city_structures(spark, "Corvane", "IL", overlap, connectors=connectors, write=False)
@@ -161,3 +165,119 @@ def test_entry(spark, tiny):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_uri_paths(spark, config):
+    """A path with a scheme means the same file."""
+    plain = config.raw_dir / "overture_corvane_illinois_usa.parquet"
+    assert footprints.read_overture(spark, f"file://{plain}").count() == footprints.read_overture(spark, plain).count() == 3
+    stores = PipelineConfig(**{**config.__dict__, **{d: f"file://{getattr(config, d)}" for d in ("data_dir", "raw_dir", "output_dir", "cache_dir")}})
+    assert str(stores.raw_dir).startswith("file:///")
+    assert footprints.overture_path("corvane_illinois_usa", (0, 0, 1, 1), stores, None) == f"file://{plain}"
+    footprints.write_state(f"{stores.raw_dir}/x", (0, 0, 2, 2))
+    assert footprints.state_covers(config.raw_dir / "x", (0.5, 0.5, 1, 1))
+    out = pipeline.build_many_cities(spark, [("Corvane", "IL")], stores, pipeline.Connectors(nsi_transport="test_pipeline:answer"))
+    assert out.count() == 3 and (config.output_dir / "structures_master.parquet").is_dir()
+
+
+def many(url, params=None, body=None, timeout=None):
+    """All public services for two cities that share a street."""
+    if "nominatim" in url:
+        assert params["q"] in ("Corvane, Illinois, USA", "Tessaly, Illinois, USA")
+        x = 0 if params["q"].startswith("Corvane") else 60
+        return {"features": [{"geometry": geojson(x, 0, 100)}]}
+    if "overpass" in url:
+        corner = lambda p: {"lon": p[0], "lat": p[1]}
+        square = [corner(p) for p in ring(68, 8, 6)]
+        house = {"type": "way", "id": 5, "tags": {"building": "house", "building:levels": "2"}, "geometry": square}
+        halves = {"type": "relation", "id": 6, "tags": {"building": "barn"}, "members": [{"role": "outer", "geometry": square[:3]}, {"role": "outer", "geometry": square[2:]}]}
+        return {"elements": [house, halves, {"type": "node", "id": 1}]}
+    if "census" in url:
+        assert params["in"] == "state:17"
+        return [["NAME", "B25010_001E"], ["Corvane city, Illinois", "2.5"], ["Tessaly village, Illinois", "3"]]
+    return answer(url, params, body, timeout)
+
+
+# the tile of zoom 9 that holds the test area
+QUADS = ("032000002",)
+
+
+def tiles(url):
+    """The index of links and a packed tile."""
+    if url.endswith(".csv"):
+        return io.BytesIO(("Location,QuadKey,Url\n" + "\n".join(f"Here,{q},http://x/{q}.csv.gz" for q in QUADS) + "\nFar,000000000,http://x/far.csv.gz\n").encode())
+    rows = [{"type": "Feature", "properties": {"height": 7.0, "confidence": 0.5}, "geometry": geojson(30, 30, 5)}, {"type": "Feature", "properties": {"height": -1}, "geometry": geojson(900, 900, 5)}]
+    return gzip.GzipFile(fileobj=io.BytesIO(gzip.compress("\n".join(map(json.dumps, rows)).encode())))
+
+
+def test_microsoft_download(spark, config):
+    bounds, boundary = (X0, Y0, X0 + 0.01, Y0 + 0.01), bytes(box(0, 0, 100))
+    fetch = footprints.download_microsoft(spark, "http://x/links.csv", "test_pipeline:tiles")
+    links = footprints.read_remote_csv(spark, "http://x/links.csv", "test_pipeline:tiles")
+    assert links.columns == ["Location", "QuadKey", "Url"] and links.count() > 1
+    got = footprints.load_microsoft(spark, "elsewhere", bounds, boundary, config, fetch).collect()
+    assert [(r.Height_MS, r.Confidence_MS) for r in got] == [(7.0, 0.5)]
+    assert footprints.state_covers(config.raw_dir / "microsoft_elsewhere.parquet", bounds)
+    assert footprints.load_microsoft(spark, "elsewhere", bounds, boundary, config).count() == 1  # from the file
+    assert footprints.load_microsoft(spark, "nowhere", bounds, boundary, config).count() == 0
+
+
+def test_many_cities_in_one_plan(spark, tmp_path):
+    """Overlapping cities: a structure may stand in both, matches stay apart."""
+    c = PipelineConfig(data_dir=tmp_path / "d", output_dir=tmp_path / "o", raw_dir=tmp_path / "r", cache_dir=tmp_path / "c", use_microsoft=False,
+                       parcel_sources={"corvane": {"path": str(tmp_path / "lots.geojson")}})
+    c.ensure_dirs()
+    both = [("o1", box(70, 10, 3)), ("o2", box(5, 5, 3)), ("o3", box(140, 10, 3))]
+    for s in ("corvane", "tessaly"):
+        spark.createDataFrame(both, "id string, geometry binary").write.parquet(str(c.raw_dir / f"overture_{s}_illinois_usa.parquet"))
+    lots = {"type": "FeatureCollection", "crs": {"properties": {"name": "urn:ogc:def:crs:EPSG::4326"}}, "features": [{"type": "Feature", "properties": {"APN": 1}, "geometry": geojson(60, 0, 30)}]}
+    (tmp_path / "lots.geojson").write_text(json.dumps(lots, indent=1))
+    connectors = pipeline.Connectors(remote.geocoder(spark, "test_pipeline:many"), remote.buildings(spark, "test_pipeline:many"), remote.household_sizes("test_pipeline:many"), nsi_transport="test_pipeline:answer")
+    out = pipeline.build_many_cities(spark, [("Corvane", "IL"), {"city": "Tessaly", "state": "Illinois"}], c, connectors)
+    rows = {(r.City, r.StructureID): r for r in out.collect()}
+    assert set(rows) == {("Corvane", "o1"), ("Corvane", "o2"), ("Tessaly", "o1"), ("Tessaly", "o3")} and out.columns == list(OUTPUT)
+    a, b = rows["Corvane", "o1"], rows["Tessaly", "o1"]
+    assert (a.OSMID, b.OSMID, a.StructureType, a.NumStories) == ("5", "5", "residential", 2.0)
+    assert (a.ParcelID, b.ParcelID) == ("1", None)  # the lots are Corvane's
+    assert (a.CensusAvgHouseholdSize, b.CensusAvgHouseholdSize, a.OccupantCount, b.OccupantCount) == (2.5, 3.0, 2.5, 3.0)
+    assert a.FootprintArea_m2 == pytest.approx(b.FootprintArea_m2)
+    for name, n in (("corvane_illinois_usa_structures", 2), ("structures_master", 4)):
+        found = list((c.output_dir / f"{name}.parquet").glob("*.parquet"))
+        assert sum(pq.read_metadata(f).num_rows for f in found) == n and all(b"geo" in pq.read_schema(f).metadata for f in found)
+    again = pipeline.build_many_cities(spark, [("Corvane", "IL")], c, connectors)
+    assert again.count() == 2 and sum(pq.read_metadata(f).num_rows for f in (c.output_dir / "structures_master.parquet").glob("*.parquet")) == 2
+    assert pipeline.build_many_cities(spark, [], c).count() == 0
+
+
+def test_vectors(spark, tmp_path):
+    """Collections, lines, lone features, GeoParquet; systems; boxes."""
+    feats = [{"type": "Feature", "properties": {"n": i, "t": 'a "{" é'}, "geometry": geojson(i * 10, 0, 5)} for i in range(5)]
+    (tmp_path / "whole.geojson").write_text(json.dumps({"type": "FeatureCollection", "name": "x", "features": feats}))
+    (tmp_path / "pretty.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": feats}, indent=2))
+    (tmp_path / "lines.geojsonl").write_text("\n".join(map(json.dumps, feats)))
+    (tmp_path / "one.geojson").write_text(json.dumps(feats[0], indent=2))
+    for name, n in (("whole.geojson", 5), ("pretty.geojson", 5), ("lines.geojsonl", 5), ("one.geojson", 1)):
+        df = attributes.read_vector(spark, str(tmp_path / name))
+        assert {(r.n, r.t) for r in df.collect()} == {(str(i), 'a "{" é') for i in range(n)}
+    near = (X0, Y0, X0 + 12e-4, Y0 + 1e-3)
+    assert attributes.read_vector(spark, str(tmp_path / "whole.geojson"), near).count() == 2
+    pieces = list(attributes.feature_texts(iter([c for c in json.dumps({"type": "FeatureCollection", "features": feats})])))
+    assert [json.loads(p) for p in pieces] == feats
+    # a UTM layer and a layer that names no system
+    zone = kernels.utm(np.array(ring(0, 0, 10)), np.full(5, 15))
+    (tmp_path / "utm.geojson").write_text(json.dumps({"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::32615"}},
+                                                      "features": [{"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": [zone.tolist()]}}]}))
+    got = wkb.read([attributes.read_vector(spark, str(tmp_path / "utm.geojson")).first().geometry])
+    assert np.allclose(got.xy, np.array(ring(0, 0, 10)), atol=1e-10)
+    table = pa.table({"geometry": pa.array([bytes(wkb.polygon(zone))], pa.binary())})
+    pq.write_table(table, tmp_path / "bare.parquet")
+    got = wkb.read([attributes.read_vector(spark, str(tmp_path / "bare.parquet"), crs="EPSG:32615").first().geometry])
+    assert np.allclose(got.xy, np.array(ring(0, 0, 10)), atol=1e-10)
+    meta = json.dumps({"primary_column": "geometry", "columns": {"geometry": {"crs": {"id": {"authority": "EPSG", "code": 32615}}}}})
+    pq.write_table(table.replace_schema_metadata({b"geo": meta.encode()}), tmp_path / "named.parquet")
+    assert attributes.footer_crs(spark, str(tmp_path / "named.parquet")) == "EPSG:32615"
+    assert attributes.read_vector(spark, str(tmp_path / "named.parquet"), near).count() == 1
+    web = np.stack([np.radians(-90.0) * 6378137.0 * np.ones(1), 6378137.0 * np.arcsinh(np.tan(np.radians(40.0))) * np.ones(1)], axis=1)
+    assert np.allclose(kernels.degrees(web, np.array([100])), [[-90, 40]])
+    with pytest.raises(ValueError):
+        g.crs_code("EPSG:2277")
