@@ -9,9 +9,10 @@ the columns and back until the scores settle, and a consistent one-to-one choice
 is read off. The canonical graph also has nodes for fields that aren't wanted
 (sale, mailing, owner …), so that look-alikes find their own home.
 
-Files are matched on their own, so the work is spread by file; the comparison
-with the preceding vintage only sees four small rows a file (a feed has at most
-one file a month).
+Files whose profiles agree (shares of kinds and shapes in ``STEPS``) are matched
+once; the comparison with the preceding vintage only sees four small rows a file
+(a feed has at most one file a month). Scores that don't settle are an error, not
+a result.
 
 Defined results: payloads that aren't JSON objects are skipped; a field is held
 by a file when some record has a non-NULL value for it; JSON true/false count
@@ -21,7 +22,6 @@ feed or vintage take no part; the first vintage of a feed has no changes.
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
 
@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plotweave.session import stored
+
 FIELDS = ("ParcelID", "ParcelAddress", "ParcelAssessedValue", "ParcelYearBuilt")
 
 # The canonical schema graph. Tokens, shapes and kinds of each
@@ -54,10 +56,11 @@ GRAPH: dict[str, dict[str, tuple[str, ...]]] = {
     "remarks": {"token": ("remarks", "remark", "note", "notes", "comment"), "shape": ("words",), "kind": ("text",), "member": ()},
     "row number": {"token": ("object", "objectid", "oid", "fid", "row", "id"), "shape": ("small",), "kind": ("number",), "member": ()},
 }
+#: Steps of a share that are told apart.
+STEPS = 4
 SHAPES = ("code", "street", "money", "year", "box", "small", "words")
 KINDS = ("number", "text", "object")
-_NODES = tuple(GRAPH)
-_VOCABULARY = sorted({t for g in GRAPH.values() for t in g["token"]}, key=lambda t: (-len(t), t))
+Graph = dict[str, dict[str, tuple[str, ...]]]
 
 # Shape tests over the text form of a value (Java and Python regex agree on them).
 _TESTS = {
@@ -71,21 +74,25 @@ _TESTS = {
 }
 
 
-def tokens(name: str) -> list[str]:
+def vocabulary(graph: Graph) -> list[str]:
+    return sorted({t for g in graph.values() for t in g["token"]}, key=lambda t: (-len(t), t))
+
+
+def tokens(name: str, known: list[str]) -> list[str]:
     """Name parts: camel case, separators, and runs of known tokens."""
     parts = re.findall(r"[a-z]+|\d+", re.sub(r"(?<=[a-z])(?=[A-Z])", "_", name).lower())
     out: list[str] = []
     for part in parts:
-        cut: list[str] | None = _segment(part) if part not in _VOCABULARY else [part]
+        cut: list[str] | None = _segment(part, known) if part not in known else [part]
         out += cut or [part]
     return out
 
 
-def _segment(part: str) -> list[str] | None:
+def _segment(part: str, known: list[str]) -> list[str] | None:
     """The split of a run into known tokens with the fewest pieces."""
     best: list[list[str] | None] = [[]] + [None] * len(part)
     for end in range(1, len(part) + 1):
-        for t in _VOCABULARY:
+        for t in known:
             head = end - len(t)
             if head >= 0 and best[head] is not None and part.startswith(t, head) and (best[end] is None or len(best[head]) + 1 < len(best[end])):
                 best[end] = best[head] + [t]
@@ -107,12 +114,13 @@ class Flooding:
 
     WEIGHT = {"token": 1.0, "shape": 0.9, "kind": 0.15, "member": 0.5}
 
-    def __init__(self, eps: float = 1e-4, most: int = 60, floor: float = 0.25):
+    def __init__(self, graph: Graph = GRAPH, eps: float = 1e-4, most: int = 10_000, floor: float = 0.25):
         self.eps, self.most, self.floor = eps, most, floor
+        self.graph, self.nodes, self.known = graph, tuple(graph), vocabulary(graph)
         self.own = {}
         for label in self.WEIGHT:
-            values = sorted({t for g in GRAPH.values() for t in g[label]})
-            links = np.array([[t in g[label] for t in values] for g in GRAPH.values()], dtype=float)
+            values = sorted({t for g in graph.values() for t in g[label]})
+            links = np.array([[t in g[label] for t in values] for g in graph.values()], dtype=float)
             self.own[label] = values, links
         self.memo: dict[str, dict[str, float]] = {}
 
@@ -145,11 +153,11 @@ class Flooding:
         if not columns:
             return {}
         graph = self.start(columns)
-        base = np.zeros((len(columns), len(_NODES)))
+        base = np.zeros((len(columns), len(self.nodes)))
         for label, (links, own, first) in graph.items():
             part = links @ first @ own.T
             if label == "token":  # the share of a name's tokens that the field knows
-                part = (links @ np.stack([np.max(np.where(own[k] > 0, first, 0), axis=1, initial=0) for k in range(len(_NODES))], axis=1)) / np.maximum(links.sum(axis=1, keepdims=True), 1)
+                part = (links @ np.stack([np.max(np.where(own[k] > 0, first, 0), axis=1, initial=0) for k in range(len(self.nodes))], axis=1)) / np.maximum(links.sum(axis=1, keepdims=True), 1)
             base += self.WEIGHT[label] * np.minimum(part, 1)
         score = base.copy()
         values = {label: first.copy() for label, (_, _, first) in graph.items()}
@@ -167,17 +175,20 @@ class Flooding:
             score = new
             if moved < self.eps:
                 break
-        # consistent choice: best pair first, each column and each field once
-        pairs = sorted(((score[i, k] * base[i, k], -i, k) for i in range(len(columns)) for k in range(len(_NODES))), reverse=True)
+        else:
+            raise RuntimeError(f"scores did not settle in {self.most} rounds for {[c['name'] for c in columns]}")
+        # consistent choice: best pair first, each column and each field once; what
+        # could be either goes to the wanted field
+        pairs = sorted(((round(score[i, k] * base[i, k], 9), -i, -k) for i in range(len(columns)) for k in range(len(self.nodes))), reverse=True)
         used: set[int] = set()
         got: dict[str, int] = {}
-        for s, i, k in pairs:
-            i = -i
-            shaped = sum(columns[i]["shape"].get(x, 0.0) for x in GRAPH[_NODES[k]]["shape"])
-            if i in used or _NODES[k] in got or base[i, k] < self.floor or shaped < 0.3:
+        for _, i, k in pairs:
+            i, k = -i, -k
+            shaped = sum(columns[i]["shape"].get(x, 0.0) for x in self.graph[self.nodes[k]]["shape"])
+            if i in used or self.nodes[k] in got or base[i, k] < self.floor or shaped < 0.3:
                 continue
             used.add(i)
-            got[_NODES[k]] = i
+            got[self.nodes[k]] = i
         return {f: i for f, i in got.items() if f in FIELDS}
 
 
@@ -199,51 +210,53 @@ def profiles(raw: DataFrame) -> DataFrame:
         F.count("kind").alias("held"),
         *[F.count(F.when(F.col("kind") == k, 1)).alias(f"k_{k}") for k in KINDS],
         *[F.count(F.when(is_a[s] & F.col("kind").isNotNull(), 1)).alias(f"s_{s}") for s in SHAPES],
-        F.max(F.when(F.col("kind") == "object", F.substring("value", 1, 2000))).alias("sample"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("kind") == "object", F.json_object_keys("value")))))).alias("members"),
     )
 
 
-def correspondences(raw: DataFrame) -> DataFrame:
+def signatures(raw: DataFrame) -> DataFrame:
+    """file_id, signature (digest), columns: each file's fields with the kind of
+    most values and the shares of kinds and shapes in steps."""
+    def share(c: str) -> Column:
+        return F.round(F.col(c) / F.col("held") * STEPS).cast("int").alias(c)
+
+    most = F.greatest(*[f"k_{k}" for k in KINDS])
+    kind = F.coalesce(*[F.when(F.col(f"k_{k}") == most, k) for k in KINDS])
+    fields = profiles(raw).where("held > 0").select("file_id", "key", kind.alias("kind"), *[share(f"k_{k}") for k in KINDS], *[share(f"s_{x}") for x in SHAPES], "members")
+    files = fields.groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct(*[c for c in fields.columns if c != "file_id"]))).alias("columns"))
+    return files.withColumn("signature", F.md5(F.to_json("columns")))
+
+
+def correspondences(raw: DataFrame, graph: Graph = GRAPH) -> DataFrame:
     """file_id, field, key, kind of every canonical field a file holds."""
-    names = ["key", "held", *[f"k_{k}" for k in KINDS], *[f"s_{s}" for s in SHAPES], "sample"]
-    files = profiles(raw).where("held > 0").groupBy("file_id").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("columns"))
-    # profiles are small and matching them isn't: a fixed number of tasks, which adaptive execution leaves alone
+    files = stored(signatures(raw), "signatures")
+    one = files.groupBy("signature").agg(F.min_by("columns", "file_id").alias("columns"))
+    # signatures are small and matching them isn't: a fixed number of tasks, which adaptive execution leaves alone
     spark = raw.sparkSession
-    files = files.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), F.xxhash64("file_id"))
+    one = one.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "signature")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flood = Flooding()
+        flood = Flooding(graph)
         for pdf in batches:
             out = []
-            for file_id, columns in zip(pdf["file_id"], pdf["columns"]):
-                nodes = []
-                for c in columns:
-                    held = max(c["held"], 1)
-                    members: dict[str, float] = {}
-                    if c["k_object"]:
-                        try:
-                            members = {str(k).lower(): 1.0 for k in json.loads(c["sample"])}
-                        except (ValueError, TypeError):
-                            members = {}
-                    nodes.append({
-                        "token": dict.fromkeys(tokens(c["key"]), 1.0),
-                        "kind": {k: c[f"k_{k}"] / held for k in KINDS if c[f"k_{k}"]},
-                        "shape": {s: c[f"s_{s}"] / held for s in SHAPES if c[f"s_{s}"]},
-                        "member": members,
-                    })
-                for field, i in flood.match(nodes).items():
-                    c = columns[i]
-                    kind = max(KINDS, key=lambda k: (c[f"k_{k}"], -KINDS.index(k)))
-                    out.append((file_id, field, c["key"], kind))
-            yield pd.DataFrame(out, columns=["file_id", "field", "key", "kind"])
-
-    return files.mapInPandas(run, "file_id long, field string, key string, kind string")
-
-
-def changes(files: DataFrame, raw: DataFrame) -> DataFrame:
+            for signature, columns in zip(pdf["signature"], pdf["columns"]):
+                nodes = [{
+                    "name": c["key"], "token": dict.fromkeys(tokens(c["key"], flood.known), 1.0),
+                    "kind": {k: c[f"k_{k}"] / STEPS for k in KINDS if c[f"k_{k}"]},
+                    "shape": {x: c[f"s_{x}"] / STEPS for x in SHAPES if c[f"s_{x}"]},
+                    "member": {str(m).lower(): 1.0 for m in c["members"]},
+                } for c in columns]
+                out += [(signature, field, columns[i]["key"], columns[i]["kind"]) for field, i in flood.match(nodes).items()]
+            yield pd.DataFrame(out, columns=["signature", "field", "key", "kind"])
+
+    found = one.mapInPandas(run, "signature string, field string, key string, kind string")
+    return files.select("file_id", "signature").join(found, "signature").drop("signature")
+
+
+def changes(files: DataFrame, raw: DataFrame, graph: Graph = GRAPH) -> DataFrame:
     """file_id, field, drift, before, after: differences from the preceding
     vintage of the feed."""
-    held = correspondences(raw).groupBy("file_id").agg(*[
+    held = correspondences(raw, graph).groupBy("file_id").agg(*[
         F.max(F.when(F.col("field") == f, F.struct("key", "kind"))).alias(f) for f in FIELDS
     ])
     line = files.where("feed is not null and vintage is not null").select("file_id", "feed", "vintage").join(held, "file_id", "left")
