@@ -233,7 +233,7 @@ def correspondences(raw: DataFrame, graph: Graph = GRAPH) -> DataFrame:
     one = files.groupBy("signature").agg(F.min_by("columns", "file_id").alias("columns"))
     # signatures are small and matching them isn't: a fixed number of tasks, which adaptive execution leaves alone
     spark = raw.sparkSession
-    one = one.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "signature")
+    one = one.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), F.xxhash64("signature"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         flood = Flooding(graph)

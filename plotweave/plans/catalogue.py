@@ -18,6 +18,7 @@ from plotweave.operators.conflate import CITY
 from plotweave.operators.spatial_join import boxes_meet
 from plotweave.plans import profile
 from plotweave.plans.pipeline import Inputs, build_cities
+from plotweave.schema import OUTPUT
 from plotweave.sources.attributes import standardize_inventory
 from plotweave.sources.footprints import tile_urls
 from plotweave.sources.parcels import standardize
@@ -393,32 +394,57 @@ def union_cities(s: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
+# attached columns besides those of the fixture, in SQL both engines read
+_ATTACHED = {
+    "OvertureID": "CASE WHEN k % 3 = 0 THEN sid END", "MicrosoftID": "CASE WHEN k % 3 = 1 THEN concat('msft_', k) END", "OSMID": "CASE WHEN k % 5 = 1 THEN cast(k AS string) END",
+    "NSI_FD_ID": "CASE WHEN k % 4 = 0 THEN concat('f', k) END", "NSI_RecordCount": "CASE WHEN k % 4 = 0 THEN cast(k % 7 AS bigint) END",
+    "BuildingName_OSM": "CASE k % 7 WHEN 0 THEN 'Hall' WHEN 1 THEN ' ' END", "BuildingName_OVT": "CASE WHEN k % 3 = 0 THEN concat('B', k) END",
+    "OvertureSubtype": "CASE WHEN k % 6 = 2 THEN 'civic' END", "NSI_DamageCategory": "CASE WHEN k % 2 = 0 THEN 'RES' END",
+    "NSI_Pop2AM": "CASE WHEN k % 4 = 0 THEN cast(k % 6 AS double) END", "NSI_Pop2PM": "CASE WHEN k % 3 = 0 THEN cast(k % 5 AS double) END",
+    "NSI_EmpNum": "CASE WHEN k % 5 = 0 THEN 3e0 END", "NSI_Students": "CASE WHEN k % 10 = 0 THEN 2e0 END", "CBFIPS": "concat('0100', k % 9)",
+    "ParcelID": "CASE WHEN k % 2 = 0 THEN concat('P', k) END", "ParcelAddress": "concat(k, ' Oak St')", "ParcelLandUse": "CASE WHEN k % 2 = 0 THEN 'R1' END", "ParcelZoning": "'Z'",
+    "ParcelOwner": "cast(NULL AS string)", "ParcelAssessedValue": "k * 10e0", "ParcelYearBuilt": "1900e0 + k % 100", "ParcelArea_m2": "k * 2e0",
+    "ParcelSource": "CASE WHEN k % 2 = 0 THEN 'county' END", "ParcelMatchMethod": "CASE WHEN k % 2 = 0 THEN 'representative_point_within' END",
+    "FootprintArea_m2": "k * 1.5e0", "Confidence_MS": "CASE WHEN k % 3 = 1 THEN (k % 11) / 8e0 END", "HasParts": "k % 2 = 0",
+}
+
+
 def _final(s: SparkSession, d: str) -> DataFrame:
     """The 44 columns over the tag fixture; two cities by key."""
     t = view(s, d, "fx_tags").select(
         F.col("sid").alias("StructureID"), F.col("k"), F.lit("overture").alias("FootprintSource"), F.col("tag").alias("OSM_StructureType"), F.col("cls").alias("OvertureClass"),
         F.col("occ").alias("NSI_OccType"), F.col("h_osm").alias("Height_OSM"), F.col("h_ovt").alias("Height_OVT"), F.col("h_ms").alias("Height_MS"),
         F.col("s_osm").alias("Stories_OSM"), F.col("s_ovt").alias("Stories_OVT"), F.col("s_nsi").alias("NSI_NumStory"), F.col("u_osm").alias("Units_OSM"), F.col("u_nsi").alias("NSI_ResUnits"),
-        F.when(F.col("k") % 4 == 0, (F.col("k") % 6).cast("double")).alias("NSI_Pop2AM"), F.when(F.col("k") % 5 == 0, F.lit(3.0)).alias("NSI_EmpNum"),
+        *[F.expr(e).alias(c) for c, e in _ATTACHED.items()],
     )
     city = F.when(F.col("k") % 2 == 0, "Corvane").otherwise("Tessaly")
     return rules.finalize(t, city, "IL", household=2.5, household_source="ACS 2024 B25010_001E")
 
 
-_FINAL = f"""t AS (SELECT *, {_RAW} AS raw, {_RAW_FROM} AS raw_from, {_H} AS hm, {_EST} AS est FROM fx_tags),
-u AS (SELECT *, {_TYPE_CASE.format("raw")} AS typ FROM t),
+_CLEAN = {c: f"trim(coalesce({c}, '')) <> ''" for c in ("tag", "cls", "occ", '"OvertureSubtype"', '"NSI_DamageCategory"', '"BuildingName_OSM"')}
+_FINAL = f"""t AS (SELECT *, {_H} AS hm, {_EST} AS est, {", ".join(f'{e} AS "{c}"' for c, e in _ATTACHED.items())} FROM fx_tags),
+r AS (SELECT *, CASE WHEN {_CLEAN["tag"]} THEN tag WHEN {_CLEAN["cls"]} THEN cls WHEN {_CLEAN['"OvertureSubtype"']} THEN "OvertureSubtype" WHEN {_CLEAN["occ"]} THEN occ
+    WHEN {_CLEAN['"NSI_DamageCategory"']} THEN "NSI_DamageCategory" END AS raw,
+  CASE WHEN {_CLEAN["tag"]} THEN 'osm' WHEN {_CLEAN["cls"]} THEN 'overture_class' WHEN {_CLEAN['"OvertureSubtype"']} THEN 'overture_subtype' WHEN {_CLEAN["occ"]} THEN 'nsi_occtype'
+    WHEN {_CLEAN['"NSI_DamageCategory"']} THEN 'nsi_damage_category' END AS raw_from FROM t),
+u AS (SELECT *, {_TYPE_CASE.format("coalesce(raw, '')")} AS typ FROM r),
 v AS (SELECT *, (u_osm IS NULL AND u_nsi IS NULL AND typ IN ('residential', 'mobile_home') AND regexp_matches(lower(coalesce(raw, '')), {_SINGLE})) AS single,
-  greatest(CASE WHEN k % 4 = 0 THEN cast(k % 6 AS DOUBLE) END, CASE WHEN k % 5 = 0 THEN 3e0 END) AS ppl FROM u),
-final AS (SELECT sid AS "StructureID", CASE WHEN k % 2 = 0 THEN 'Corvane' ELSE 'Tessaly' END AS "City", 'Illinois' AS "State", typ AS "StructureType", raw AS "StructureTypeRaw", raw_from AS "StructureTypeSource",
-  CASE WHEN single THEN 1e0 ELSE coalesce(u_osm, u_nsi) END AS "NumUnits",
-  CASE WHEN single THEN 'inferred_single_family' WHEN u_osm IS NOT NULL THEN 'osm' WHEN u_nsi IS NOT NULL THEN 'nsi' END AS "NumUnitsSource",
+  greatest("NSI_Pop2AM", "NSI_Pop2PM", nullif(coalesce("NSI_EmpNum", 0e0) + coalesce("NSI_Students", 0e0), 0e0)) AS ppl FROM u),
+w AS (SELECT *, CASE WHEN single THEN 1e0 ELSE coalesce(u_osm, u_nsi) END AS num FROM v),
+final AS (SELECT sid AS "StructureID", CASE WHEN k % 2 = 0 THEN 'Corvane' ELSE 'Tessaly' END AS "City", 'Illinois' AS "State", 'USA' AS "Country", 'overture' AS "FootprintSource",
+  "OvertureID", "MicrosoftID", "OSMID", "NSI_FD_ID", "NSI_RecordCount", typ AS "StructureType", raw AS "StructureTypeRaw", raw_from AS "StructureTypeSource",
+  CASE WHEN {_CLEAN['"BuildingName_OSM"']} THEN "BuildingName_OSM" ELSE "BuildingName_OVT" END AS "BuildingName",
+  CASE WHEN {_CLEAN['"BuildingName_OSM"']} THEN 'osm' WHEN "BuildingName_OVT" IS NOT NULL THEN 'overture' END AS "BuildingNameSource",
+  num AS "NumUnits", CASE WHEN single THEN 'inferred_single_family' WHEN u_osm IS NOT NULL THEN 'osm' WHEN u_nsi IS NOT NULL THEN 'nsi' END AS "NumUnitsSource",
   coalesce(s_osm, s_ovt, s_nsi, est) AS "NumStories",
   CASE WHEN s_osm IS NOT NULL THEN 'osm' WHEN s_ovt IS NOT NULL THEN 'overture' WHEN s_nsi IS NOT NULL THEN 'nsi' WHEN est IS NOT NULL THEN 'height_estimate' END AS "NumStoriesSource",
   hm AS "HeightM", CASE WHEN h_osm IS NOT NULL THEN 'osm' WHEN h_ovt IS NOT NULL THEN 'overture' WHEN h_ms IS NOT NULL THEN 'microsoft' END AS "HeightSource",
-  coalesce(ppl, CASE WHEN typ IN ('residential', 'condo', 'apartment', 'mobile_home') THEN (CASE WHEN single THEN 1e0 ELSE coalesce(u_osm, u_nsi) END) * 2.5e0 END) AS "OccupantCount",
-  CASE WHEN ppl IS NOT NULL THEN 'nsi_max_2am_2pm_emp_students' WHEN typ IN ('residential', 'condo', 'apartment', 'mobile_home') AND (single OR coalesce(u_osm, u_nsi) IS NOT NULL) THEN 'num_units_x_census_household_size' END AS "OccupantCountMethod"
-FROM v)"""
-_CHECKED = ["StructureID", "City", "State", "StructureType", "StructureTypeRaw", "StructureTypeSource", "NumUnits", "NumUnitsSource", "NumStories", "NumStoriesSource", "HeightM", "HeightSource", "OccupantCount", "OccupantCountMethod"]
+  coalesce(ppl, CASE WHEN typ IN ('residential', 'condo', 'apartment', 'mobile_home') THEN num * 2.5e0 END) AS "OccupantCount",
+  CASE WHEN ppl IS NOT NULL THEN 'nsi_max_2am_2pm_emp_students' WHEN typ IN ('residential', 'condo', 'apartment', 'mobile_home') AND num IS NOT NULL THEN 'num_units_x_census_household_size' END AS "OccupantCountMethod",
+  "NSI_Pop2AM", "NSI_Pop2PM", "NSI_EmpNum", "NSI_Students", "CBFIPS", "ParcelID", "ParcelAddress", "ParcelLandUse", "ParcelZoning", "ParcelOwner", "ParcelAssessedValue", "ParcelYearBuilt",
+  "ParcelArea_m2", "ParcelSource", "ParcelMatchMethod", "FootprintArea_m2", "Confidence_MS", "HasParts", 2.5e0 AS "CensusAvgHouseholdSize", 'ACS 2024 B25010_001E' AS "CensusSource"
+FROM w)"""
+_CHECKED = [c for c in OUTPUT if c != "geometry"]  # the shapes have queries of their own
 
 
 @query(f"WITH {_FINAL} SELECT * FROM final")

@@ -241,6 +241,33 @@ def test_nearest_donor_of_all(spark, monkeypatch):
         assert max(len(v) for v in donors.values()) > 600 and len({r.donor_record_id for r in got}) > 300
 
 
+def test_predictions_against_least_squares(spark):
+    """Values, donors and distances from a regression of its own in NumPy."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(240):
+        area, height = float(np.exp(rng.normal(5, 0.6))), None if rng.random() < 0.3 else float(np.exp(rng.normal(2, 0.4)))
+        stories = None if rng.random() < 0.3 else float(max(1, round(area / 90 + rng.normal(0, 0.7))))
+        rows.append((i, str(1 + i % 3), stories, 5.0, impute.METHODS[0], area, height, None))
+    df = spark.createDataFrame(rows, "record_id long, CBFIPS string, NumStories double, OccupantCount double, OccupantCountMethod string, FootprintArea_m2 double, HeightM double, NumUnits double")
+    got = {r.record_id: (float(r.value), r.donor_record_id, r.distance) for r in impute.filled_cells(df).where("field = 'NumStories'").collect()}
+    known = [r for r in rows if r[2] is not None]
+    overall = np.mean([r[2] for r in known])
+    mean = {b: (sum(r[2] for r in known if r[1] == b) + impute.SHRINK * overall) / (sum(r[1] == b for r in known) + impute.SHRINK) for b in "123"}
+
+    def x(r):
+        return [1.0, mean[r[1]], np.log(r[5]), 0.0, np.log(r[6]) if r[6] else 0.0, float(r[6] is None), 0.0, 1.0]
+
+    a, y = np.array([x(r) for r in known]), np.array([r[2] for r in known])
+    k = a.shape[1]
+    beta = np.linalg.solve(a.T @ a + 1e-3 * (np.trace(a.T @ a) / k + 1) * np.eye(k), a.T @ y)
+    guess = {r[0]: float(np.dot(x(r), beta)) for r in rows}
+    assert len(got) == 240 - len(known) > 40
+    for i, (value, donor, away) in got.items():
+        best = min((abs(guess[r[0]] - guess[i]), guess[r[0]], r[0], r[2]) for r in known if r[1] == rows[i][1])
+        assert away == pytest.approx(best[0], abs=1e-9) and (donor, value) == (best[2], best[3])
+
+
 def test_twin_is_the_donor(spark):
     """A recipient like exactly one donor copies it, whatever the outliers."""
     df = spark.range(400).selectExpr(
