@@ -89,7 +89,7 @@ def merge_footprints(overture: DataFrame, microsoft: DataFrame, add_unmatched: b
             return overture.unionByName(microsoft.join(overture.select(*by).distinct(), by, "left_anti"))
         return microsoft if overture.isEmpty() else overture
     polygons = with_rings(overture.select("geometry", *by))
-    covered = points_in_polygons(inner_points(microsoft.select("StructureID", "geometry", *by)), polygons, cell, by=by).select("StructureID", *by).distinct()
+    covered = points_in_polygons(inner_points(microsoft.select("StructureID", "geometry", *by)), polygons, cell, by=by, narrow_points=True).select("StructureID", *by).distinct()
     return overture.unionByName(microsoft.join(covered, ["StructureID", *by], "left_anti"))
 
 
@@ -101,7 +101,7 @@ def attach_osm(base: DataFrame, osm: DataFrame, cell: float = CELL_DEG, shapes:
     by = city_of(base, osm)
     polygons = with_rings(whole(osm, OSM))
     points = (inner_points(base) if shapes is None else shapes).select("StructureID", *by, "x", "y")
-    pairs = points_in_polygons(points, polygons.drop(*[c for c in city_of(polygons) if not by]), cell, by=by)
+    pairs = points_in_polygons(points, polygons.drop(*[c for c in city_of(polygons) if not by]), cell, by=by, narrow_points=True)
     first = first_per_key(pairs.select("StructureID", *attributes), "StructureID", [F.col("OSMID").isNull(), F.length("OSMID"), F.col("OSMID")])
     return coalesce_onto(base, first, "StructureID", attributes)
 
@@ -141,7 +141,7 @@ def attach_parcels(base: DataFrame, parcels: DataFrame, cell: float = CELL_DEG,
     by = city_of(base, parcels)
     polygons = with_rings(whole(parcels, PARCEL))
     points = (inner_points(base) if shapes is None else shapes).select("StructureID", *by, "x", "y")
-    pairs = points_in_polygons(points, polygons.drop(*[c for c in city_of(polygons) if not by]), cell, by=by)
+    pairs = points_in_polygons(points, polygons.drop(*[c for c in city_of(polygons) if not by]), cell, by=by, narrow_points=True)
     columns = [c for c in PARCEL if c != "geometry"]
     first = first_per_key(pairs.select("StructureID", *columns), "StructureID", [nulls_last(F.col("ParcelArea_m2")), F.col("ParcelID").isNull(), F.col("ParcelID")])
     first = first.withColumn("ParcelMatchMethod", F.when(F.col("ParcelSource").isNotNull(), "representative_point_within"))

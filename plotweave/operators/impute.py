@@ -11,7 +11,8 @@ id (none of the others could win) before anything moves, and a prediction is
 looked up once however many cells ask for it. The predictions of a group are
 sorted and the nearest donors below and above found in one pass each way. Blocks
 that hold many rows are sorted in up to ``PIECES`` ranges of the prediction; the
-outermost donors of the ranges are handed on to the ranges beside them.
+outermost donors of the ranges are handed on to the ranges beside them. Rows of a
+very frequent block or prediction get its mean or donor by broadcast.
 
 Defined results: NULL, NaN and impossible values are missing; rows without a
 group number are left alone; a missing cell whose group has no value stays
@@ -28,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotweave.functions.text import block_number, real
-from plotweave.session import cut
+from plotweave.operators.skew import hot_keys, join_spread
+from plotweave.session import cut, stored
 
 #: The two occupant methods of the reference.
 METHODS = ("nsi_max_2am_2pm_emp_students", "num_units_x_census_household_size")
@@ -88,12 +90,12 @@ def filled_cells(structures: DataFrame) -> DataFrame:
     targets = structure_targets()
     xs = predictors()
     k = len(xs) + 2
-    rows = structures.select(
+    rows = stored(structures.select(
         "record_id", block_number(F.col("CBFIPS")).alias("block"),
         *[x.alias(f"x{i}") for i, x in enumerate(xs)],
         *[c for t in targets for c in (
             F.when(t.usable, F.col(t.name).cast("string")).alias(f"v_{t.name}"), F.when(t.usable, t.score).alias(f"y_{t.name}"))],
-    ).where("block is not null")
+    ).where("block is not null"), "rows")
     # group means: one small row per block, shrunken to the overall mean
     sums = cut(rows.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), *[
         f(f"y_{t.name}").alias(f"{p}_{t.name}") for t in targets for p, f in (("s", F.sum), ("n", F.count))]))
@@ -103,7 +105,7 @@ def filled_cells(structures: DataFrame) -> DataFrame:
         ((F.coalesce(f"s_{t.name}", F.lit(0.0)) + SHRINK * (overall[t.name] or 0.0)) / (F.col(f"n_{t.name}") + SHRINK)).alias(f"g_{t.name}")
         for t in targets
     ])
-    full = rows.join(means, "block")
+    full = join_spread(rows, means, "block", hot_keys(sums, "block", "rows"))
     # one pass for the cross products of all targets
     products: list[Column] = []
     for t in targets:
@@ -126,14 +128,16 @@ def filled_cells(structures: DataFrame) -> DataFrame:
 
     every = long(full)
     donor = F.when(F.col("value").isNotNull(), F.struct("record_id", "value"))
-    guesses = every.groupBy("group", "guess").agg(F.min(donor).alias("d"), F.max(F.col("value").isNull()).alias("asked"))
+    asked = F.count(F.when(F.col("value").isNull(), 1))
+    guesses = stored(every.groupBy("group", "guess").agg(F.min(donor).alias("d"), (asked > 0).alias("asked"), asked.alias("n")), "guesses")
     hot = max(HOT_ROWS, (overall["rows"] or 0) // SHARE)
     ranges = None
     if (overall["most"] or 0) > hot:
         few = long(full.where((F.col("rows") > hot) & (F.pmod(F.xxhash64("record_id"), F.lit(SAMPLE)) == 0)))
         ranges = cut(few.groupBy("group").agg(F.percentile_approx("guess", [i / PIECES for i in range(1, PIECES)], 2000).alias("ends")))
     near = nearest_donors(guesses, ranges)
-    found = every.where("value is null").select("record_id", "group", "guess").join(near, ["group", "guess"])
+    gaps = every.where("value is null").select("record_id", "group", "guess")
+    found = join_spread(gaps, near, ["group", "guess"], hot_keys(guesses, ["group", "guess"]))
     return found.select(
         "record_id", F.col("group.field").alias("field"), F.col("m.d.value").alias("value"), F.col("m.d.record_id").alias("donor_record_id"),
         F.abs(F.col("m.guess") - F.col("guess")).alias("distance"), F.lit(True).alias("was_filled"),

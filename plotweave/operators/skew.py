@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A key is hot above both bounds; at most ``SHARE`` keys can be.
 HOT_ROWS, SHARE = 20_000, 200
 
 
-def hot_keys(counts: DataFrame, key: str, n: str = "n") -> list:
-    """The keys that hold more than ``HOT_ROWS`` rows and one row in ``SHARE``.
-    ``counts`` has a row per key with its number of rows."""
+def hot_keys(counts: DataFrame, key: str | list[str], n: str = "n") -> list[int]:
+    """Digests of the keys that hold more than ``HOT_ROWS`` rows and one row in
+    ``SHARE``. ``counts`` has a row per key with its number of rows."""
     total = counts.agg(F.sum(n)).first()[0] or 0
-    return [r[0] for r in counts.where(F.col(n) > max(HOT_ROWS, total // SHARE)).select(key).collect()]
+    return [r[0] for r in counts.where(F.col(n) > max(HOT_ROWS, total // SHARE)).select(_digest(key)).collect()]
 
 
-def join_spread(rows: DataFrame, table: DataFrame, key: str, hot: list) -> DataFrame:
+def _digest(key: str | list[str]) -> Column:
+    return F.xxhash64(*([key] if isinstance(key, str) else key))
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str | list[str], hot: list[int]) -> DataFrame:
     """Inner join with a ``table`` of one row per key. Rows of hot keys stay where
-    they are: their few table rows are broadcast."""
+    they are: their few table rows are broadcast. Digests only decide which way a
+    row takes."""
     if not hot:
         return rows.join(table, key)
-    few = F.col(key).isin(hot)
-    return rows.where(~few).join(table, key).unionByName(rows.where(few).join(F.broadcast(table.where(few)), key))
+    few = _digest(key).isin(hot)
+    return rows.where(~few).join(table.where(~few), key).unionByName(rows.where(few).join(F.broadcast(table.where(few)), key))
 
 
 def ranked(rows: DataFrame, group: list[str], n: str, order: str, piece_rows: int = HOT_ROWS) -> DataFrame:

@@ -50,16 +50,29 @@ def levels_of(polygons: DataFrame, cell: float) -> list[int]:
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, levels: list[int] | None = None,
-                       exact: Callable[[Column, Column, Column], Column] | None = g.within, by: Sequence[str] = ()) -> DataFrame:
+                       exact: Callable[[Column, Column, Column], Column] | None = g.within, by: Sequence[str] = (), narrow_points: bool = False) -> DataFrame:
     """Pairs of ``points`` (x, y, …) and ``polygons`` (bbox, rings, …) with the
     point strictly inside and equal ``by`` columns. Other column names must not
-    clash. A polygon on several cells still meets a point once, as the point has
-    one cell a level."""
+    clash. Either the polygons stand in every cell they touch and a point looks
+    into its own, or, with ``narrow_points``, a polygon stands in the cell of its
+    lower left corner and a point looks into four: the side with less to carry is
+    copied. A pair meets in one cell either way."""
     levels = (levels_of(polygons, cell) if levels is None else levels) or [0]
-    looks = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.floor(F.col("x") / (cell * GROWTH**k)).alias("cx"), F.floor(F.col("y") / (cell * GROWTH**k)).alias("cy")) for k in levels]))
+    near = ((0, 0), (0, -1), (-1, 0), (-1, -1)) if narrow_points else ((0, 0),)
+
+    def cell_of(c: str, level: int, step: int) -> Column:
+        return F.floor(F.col(c) / (cell * GROWTH**level)) + step
+
+    looks = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), cell_of("x", k, i).alias("cx"), cell_of("y", k, j).alias("cy")) for k in levels for i, j in near]))
     keyed = points.where("x is not null and y is not null").withColumn("_k", looks).withColumns({c: F.col(f"_k.{c}") for c in ("level", "cx", "cy")}).drop("_k")
     box, x, y = F.col("bbox"), F.col("x"), F.col("y")
-    pairs = keyed.join(keyed_polygons(polygons, cell), ["level", "cx", "cy", *by])
+    if narrow_points:
+        size = _size(F.col("level"), cell)
+        at = polygons.where(box.isNotNull()).withColumn("level", _level(box, cell))
+        standing = at.withColumns({"cx": F.floor(box["xmin"] / size), "cy": F.floor(box["ymin"] / size)})
+    else:
+        standing = keyed_polygons(polygons, cell)
+    pairs = keyed.join(standing, ["level", "cx", "cy", *by])
     pairs = pairs.where((x > box["xmin"]) & (x < box["xmax"]) & (y > box["ymin"]) & (y < box["ymax"]))
     if exact is not None:
         pairs = pairs.where(exact(x, y, F.col("rings")))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from plotweave.functions import overlay, wkb
 from plotweave.operators import conflate as cf
-from plotweave.operators import drift, impute, near
+from plotweave.operators import drift, impute, near, skew
+from plotweave.operators.spatial_join import points_in_polygons
 from plotweave.schema import FOOTPRINT, NSI, OSM, PARCEL, empty
 
 D = 1 / 111_195  # about a metre in degrees of latitude
@@ -207,6 +208,17 @@ def test_hot_block(spark):
     assert {r.field: r["count"] for r in got} == {"NumStories": 1000}
 
 
+def test_frequent_prediction(spark, monkeypatch):
+    """A third of all rows without any predictor, in one block: same result either way."""
+    df = spark.range(900).selectExpr(
+        "id AS record_id", "if(id % 3 = 0, '7', cast(1000 + id % 49 AS string)) AS CBFIPS", "if(id % 2 = 0, null, cast(1 + id % 9 AS double)) AS NumStories",
+        "cast(id % 100 AS double) AS OccupantCount", f"'{impute.METHODS[1]}' AS OccupantCountMethod", "if(id % 3 = 0, null, cast(50 + id % 977 AS double)) AS FootprintArea_m2",
+        "cast(null AS double) AS HeightM", "cast(null AS double) AS NumUnits")
+    plain = sorted(map(tuple, impute.filled_cells(df).collect()))
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    assert sorted(map(tuple, impute.filled_cells(df).collect())) == plain and len(plain) == 450
+
+
 def test_nearest_donor_of_all(spark, monkeypatch):
     """Every donor is searched, also with an outlier and with blocks in ranges."""
     df = spark.range(3000).selectExpr(
@@ -315,6 +327,19 @@ def test_attach(spark):
     assert cf.attach_inventory(base, empty(spark, NSI | {"x": "double", "y": "double"})).count() == 3
 
 
+def test_either_side_may_be_copied(spark):
+    """Random boxes of all sizes and points: both keyings give the brute-force pairs."""
+    rng = np.random.default_rng(8)
+    boxes = [(i, *(rng.random(2) * 40 - 20), float(10 ** rng.uniform(-2, 1.3))) for i in range(150)]
+    pts = [(k, *map(float, rng.random(2) * 40 - 20)) for k in range(300)]
+    polygons = cf.with_rings(spark.createDataFrame([(i, box(float(x), float(y), w)) for i, x, y, w in boxes], "i int, geometry binary"))
+    points = spark.createDataFrame(pts, "k int, x double, y double")
+    want = sorted((k, i) for k, px, py in pts for i, x, y, w in boxes if x < px < x + w and y < py < y + w)
+    for narrow in (False, True):
+        got = sorted((r.k, r.i) for r in points_in_polygons(points, polygons, 0.5, narrow_points=narrow).collect())
+        assert got == want and len(want) > 300
+
+
 def test_best_overlap(spark):
     base = footprints(spark, [("a", box(0, 0, 2), ""), ("b", box(10, 10, 1), "")])
     cand = spark.createDataFrame([(2, box(1, 0, 2)), (1, box(-1, 0, 2)), (3, box(0, 0, 0.5)), (4, box(2, 0, 2))], "oid int, geometry binary")
