@@ -41,3 +41,18 @@ def test_corpus(spark):
     codec = tokens.Codec(str(FOLDER / "byte_bpe_50k.json"))
     assert got == {i: codec.encode(t) for i, t in enumerate(TEXTS)}
     assert tokens.encode_corpus(df.limit(0)).count() == 0
+
+
+def test_every_document(spark, tiny):
+    """All documents of the smallest test data and, in pieces, of the next."""
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(str(FOLDER / "byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    for folder in (tiny, tiny.replace("0.001", "0.01")):
+        if not Path(folder).exists():
+            continue
+        documents = spark.read.parquet(f"{folder}/documents.parquet")
+        texts = {r.doc_id: r.text or "" for r in documents.select("doc_id", "text").collect()}
+        got = {r.doc_id: r.ids for r in tokens.encode_corpus(documents).collect()}
+        order = sorted(texts)
+        want = library.encode_batch([texts[i] for i in order], add_special_tokens=False)
+        assert got == {i: w.ids for i, w in zip(order, want)} and len(got) == len(order)
