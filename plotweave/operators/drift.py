@@ -122,7 +122,7 @@ class Flooding:
             values = sorted({t for g in graph.values() for t in g[label]})
             links = np.array([[t in g[label] for t in values] for g in graph.values()], dtype=float)
             self.own[label] = values, links
-        self.memo: dict[str, dict[str, float]] = {}
+        self.memo: dict[tuple[str, str], np.ndarray] = {}
 
     def start(self, columns: list[dict]) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """label -> (links column x value, links canonical x value, first scores)."""
@@ -137,16 +137,20 @@ class Flooding:
             for i, j, w in weight:
                 links[i, j] = w
             values, own = self.own[label]
-            likeness = (lambda a, b: self.alike(a, b)) if label in ("token", "member") else (lambda a, b: float(a == b))
-            first = np.array([[likeness(t, u) for u in values] for t in seen]).reshape(len(seen), len(values))
+            first = np.array([self.likeness(label, t) for t in seen]).reshape(len(seen), len(values))
             out[label] = links, own, first
         return out
 
-    def alike(self, a: str, b: str) -> float:
-        row = self.memo.setdefault(a, {})
-        if b not in row:
-            row[b] = kinship(a, b)
-        return row[b]
+    def likeness(self, label: str, t: str) -> np.ndarray:
+        """First scores of a value with all canonical values of its kind."""
+        row = self.memo.get((label, t))
+        if row is None:
+            if len(self.memo) > 50_000:
+                self.memo.clear()
+            values = self.own[label][0]
+            alike = kinship if label in ("token", "member") else lambda a, b: float(a == b)
+            row = self.memo[label, t] = np.array([alike(t, u) for u in values])
+        return row
 
     def match(self, columns: list[dict]) -> dict[str, int]:
         """Canonical field -> column, for the wanted fields that are held."""

@@ -37,6 +37,8 @@ METHODS = ("nsi_max_2am_2pm_emp_students", "num_units_x_census_household_size")
 #: A block of more rows than this, and than its share, is sorted in ranges; at
 #: most ``SHARE`` blocks can hold so much, which bounds the table of the ranges.
 HOT_ROWS, SHARE, PIECES = 20_000, 500, 256
+#: Means of so many blocks (under 10 MB) are broadcast; more are joined by block.
+FEW_BLOCKS = 150_000
 #: One row in so many fixes the ranges (they affect balance only).
 SAMPLE = 8
 #: Rows the group's own mean has to outweigh the overall mean.
@@ -99,13 +101,16 @@ def filled_cells(structures: DataFrame) -> DataFrame:
     # group means: one small row per block, shrunken to the overall mean
     sums = cut(rows.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), *[
         f(f"y_{t.name}").alias(f"{p}_{t.name}") for t in targets for p, f in (("s", F.sum), ("n", F.count))]))
-    overall = sums.agg(F.max("rows").alias("most"), F.sum("rows").alias("rows"), *[
+    overall = sums.agg(F.count(F.lit(1)).alias("blocks"), F.max("rows").alias("most"), F.sum("rows").alias("rows"), *[
         (F.sum(f"s_{t.name}") / F.greatest(F.sum(f"n_{t.name}"), F.lit(1))).alias(t.name) for t in targets]).first()
     means = sums.select("block", "rows", *[
         ((F.coalesce(f"s_{t.name}", F.lit(0.0)) + SHRINK * (overall[t.name] or 0.0)) / (F.col(f"n_{t.name}") + SHRINK)).alias(f"g_{t.name}")
         for t in targets
     ])
-    full = join_spread(rows, means, "block", hot_keys(sums, "block", "rows"))
+    if overall["blocks"] <= FEW_BLOCKS:
+        full = rows.join(F.broadcast(means), "block")
+    else:
+        full = join_spread(rows, means, "block", hot_keys(sums, "block", "rows"))
     # one pass for the cross products of all targets
     products: list[Column] = []
     for t in targets:

@@ -64,7 +64,7 @@ WITH s AS (
 SELECT record_id, field FROM cells c WHERE NOT u AND EXISTS (SELECT 1 FROM cells d WHERE d.b = c.b AND d.field = c.field AND d.u)""",
 }
 
-from plotweave.plans import catalogue  # noqa: E402  (registers the reference's operators)
+from plotweave.plans import catalogue, source_queries  # noqa: E402, F401  (register the reference's operators)
 
 QUERIES |= catalogue.QUERIES
 SQL |= catalogue.SQL

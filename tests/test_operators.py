@@ -218,6 +218,7 @@ def test_frequent_prediction(spark, monkeypatch):
     rows = lambda: sorted((r.record_id, r.field, r.value, r.donor_record_id, round(r.distance, 9)) for r in impute.filled_cells(df).collect())
     plain = rows()
     monkeypatch.setattr(skew, "HOT_ROWS", 20)
+    monkeypatch.setattr(impute, "FEW_BLOCKS", 3)
     assert rows() == plain and len(plain) == 450
 
 
