@@ -165,15 +165,19 @@ class Flooding:
             base += self.WEIGHT[label] * np.minimum(part, 1)
         score = base.copy()
         values = {label: first.copy() for label, (_, _, first) in graph.items()}
+        steps = []  # what stays the same from round to round
+        for label, (links, own, first) in graph.items():
+            fan = np.maximum(links.sum(axis=1, keepdims=True), 1) * np.maximum(own.sum(axis=1), 1)
+            back = np.maximum(links.sum(axis=0)[:, None], 1) * np.maximum(own.sum(axis=0), 1)
+            if links.shape[1]:
+                steps.append((label, links, own, self.WEIGHT[label] / fan, 0.5 * (first > 0) / back, first))
         for _ in range(self.most):
             new = base + score
-            for label, (links, own, first) in graph.items():
-                fan = np.maximum(links.sum(axis=1, keepdims=True), 1) * np.maximum(own.sum(axis=1), 1)
-                new += self.WEIGHT[label] * (links @ values[label] @ own.T) / fan
-            for label, (links, own, first) in graph.items():
-                fan = np.maximum(links.sum(axis=0)[:, None], 1) * np.maximum(own.sum(axis=0), 1)
-                back = first + values[label] + 0.5 * (links.T @ score @ own) / fan * (first > 0)
-                values[label] = back / max(back.max(initial=0), 1e-12)
+            for label, links, own, out, _, _ in steps:
+                new += out * (links @ values[label] @ own.T)
+            for label, links, own, _, back, first in steps:
+                got = first + values[label] + back * (links.T @ score @ own)
+                values[label] = got / max(got.max(), 1e-12)
             new /= max(new.max(), 1e-12)
             moved = np.abs(new - score / max(score.max(), 1e-12)).max()
             score = new
