@@ -53,4 +53,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """A written table in the shared folder: compressed, and read by column."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Removes a written path when the driver ends."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
