@@ -42,7 +42,7 @@ from pyarrow.dataset import dataset
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotweave.session import shared_path
+from plotweave.session import drop_at_exit, shared_path
 
 #: Words of a window, distance of windows, words of a block.
 WINDOW, STRIDE, BLOCK = 3, 2, 2
@@ -196,6 +196,7 @@ def write_items(items: DataFrame) -> tuple[str, int]:
     folded = folded.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)).cast("int"))
     path = shared_path(items.sparkSession, "items")
     folded.repartition(shards, "shard").write.partitionBy("shard").parquet(path)
+    drop_at_exit(items.sparkSession, path)
     return path, shards
 
 
