@@ -19,9 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": lambda s, d: impute.filled_cells(table(s, d, "structures")).select("record_id", "field"),
     "p4_filled": lambda s, d: impute.filled_table(table(s, d, "structures")),
 }
-SQL: dict[str, str] = {
-    # independent of the matcher: the names seen in the test feeds, by hand
-    "p3_found": r"""
+# independent of the matcher: the names seen in the test feeds, by hand
+_HELD = r"""
 WITH v AS (
   SELECT r.file_id, u.key AS key, json_type(r.payload, '$."' || u.key || '"') AS t,
     lower(regexp_replace(u.key, '[^A-Za-z0-9]', '', 'g')) AS n
@@ -38,17 +37,38 @@ WITH v AS (
   SELECT file_id, field, key, kind, count(*) AS c FROM k WHERE field IS NOT NULL GROUP BY ALL
 ), held AS (
   SELECT file_id, field, any_value(key) AS key, arg_min(kind, (-c, kind)) AS kind FROM c GROUP BY ALL
-), line AS (
+)"""
+_LINE = r""", line AS (
   SELECT f.file_id, x.field, h.key, h.kind,
     lag(h.key) OVER w AS key0, lag(h.kind) OVER w AS kind0, row_number() OVER w AS nth
   FROM parcel_files f CROSS JOIN (VALUES ('ParcelID'), ('ParcelAddress'), ('ParcelAssessedValue'), ('ParcelYearBuilt')) x(field)
   LEFT JOIN held h ON h.file_id = f.file_id AND h.field = x.field
   WINDOW w AS (PARTITION BY f.feed, x.field ORDER BY f.vintage)
-)
+)"""
+SQL: dict[str, str] = {
+    "p3_found": _HELD + _LINE + r"""
 SELECT file_id, field, 'added' AS drift FROM line WHERE nth > 1 AND key0 IS NULL AND key IS NOT NULL
 UNION ALL SELECT file_id, field, 'removed' FROM line WHERE nth > 1 AND key0 IS NOT NULL AND key IS NULL
 UNION ALL SELECT file_id, field, 'renamed' FROM line WHERE nth > 1 AND key0 <> key
 UNION ALL SELECT file_id, field, 'retyped' FROM line WHERE nth > 1 AND kind0 <> kind""",
+    "p3_report": _HELD + _LINE + r"""
+SELECT file_id, field, 'added' AS drift, NULL::VARCHAR AS before, key AS after FROM line WHERE nth > 1 AND key0 IS NULL AND key IS NOT NULL
+UNION ALL SELECT file_id, field, 'removed', key0, NULL FROM line WHERE nth > 1 AND key0 IS NOT NULL AND key IS NULL
+UNION ALL SELECT file_id, field, 'renamed', key0, key FROM line WHERE nth > 1 AND key0 <> key
+UNION ALL SELECT file_id, field, 'retyped', kind0, kind FROM line WHERE nth > 1 AND kind0 <> kind""",
+    "p3_parcels": _HELD + r""", w AS (
+  SELECT file_id, max(CASE WHEN field = 'ParcelID' THEN key END) AS k1, max(CASE WHEN field = 'ParcelAddress' THEN key END) AS k2,
+    max(CASE WHEN field = 'ParcelAssessedValue' THEN key END) AS k3, max(CASE WHEN field = 'ParcelYearBuilt' THEN key END) AS k4 FROM held GROUP BY file_id
+), x AS (
+  SELECT r.row_id, r.file_id, f.feed, f.vintage, json_extract_string(r.payload, '$."' || k1 || '"') AS id, json_extract_string(r.payload, '$."' || k2 || '"') AS place,
+    json_extract_string(r.payload, '$."' || k3 || '"') AS worth, json_extract_string(r.payload, '$."' || k4 || '"') AS built
+  FROM parcel_raw r LEFT JOIN w ON w.file_id = r.file_id LEFT JOIN parcel_files f ON f.file_id = r.file_id
+)
+SELECT row_id, file_id, feed, vintage, nullif(regexp_replace(id, '[^0-9A-Za-z]', '', 'g'), '') AS "ParcelID",
+  nullif(trim(CASE WHEN place LIKE '{%' THEN concat_ws(' ', json_extract_string(place, '$.no'), json_extract_string(place, '$.street')) ELSE place END), '') AS "ParcelAddress",
+  TRY_CAST(regexp_replace(worth, '(?i)[$,\s]|usd', '', 'g') AS DOUBLE) AS "ParcelAssessedValue",
+  TRY_CAST(nullif(regexp_extract(built, '(1[5-9][0-9][0-9]|20[0-9][0-9])', 1), '') AS INTEGER) AS "ParcelYearBuilt"
+FROM x""",
     "p4_found": r"""
 WITH s AS (
   SELECT record_id, TRY_CAST(regexp_extract(CBFIPS, '^\s*\+?([0-9]+)(\.0*)?\s*$', 1) AS BIGINT) AS b,
