@@ -24,8 +24,8 @@ All three are counted over all rows, combined before the shuffle. Entries and
 values meet by a co-grouping: entries are cut into shards of about
 ``SHARD_ENTRIES``, values into batches of about ``BATCH_VALUES``, each shard is
 searched for each batch, and the shards' winners are merged by (distance, words
-taken off, entry). Neither side passes through the driver, except the learned
-words around names (at most ``MOST_WORDS``, the most frequent).
+taken off, entry). The learned words around names go with every shard and batch.
+Nothing of all this passes through the driver.
 
 Values are searched once per distinct spelling (aggregated before the shuffle)
 and the verdicts are joined back to the rows, those of very frequent values by
@@ -59,8 +59,8 @@ SHARD_ENTRIES, BATCH_VALUES = 20_000, 2_000
 LEAST_ROWS, LEAST_SHARE, PRECISION, ACCIDENT = 2, 0.002, 0.75, 1e-3
 #: Rounds of learning: names learned in the first vouch in the second.
 ROUNDS = 2
-#: Different entries a word must stand beside, words of a run, runs kept.
-LEAST_CODES, MOST_RUN, MOST_WORDS = 3, 3, 2_000
+#: Different entries a word must stand beside, words of a run.
+LEAST_CODES, MOST_RUN = 3, 3
 _CLASS = re.compile(r"^([a-z]{3}[0-9]{1,2})(?: ?[a-z]| [0-9][a-z]{2,4})?$")
 
 
@@ -271,8 +271,8 @@ class Mapper:
         return found
 
 
-#: kinds of entries, the stronger first
-_LABEL, _CLASS_OF, _NOTE, _LEARNED = 0, 1, 2, 3
+#: kinds of entries, the stronger first; words before and behind names
+_LABEL, _CLASS_OF, _NOTE, _LEARNED, _BEFORE, _BEHIND = 0, 1, 2, 3, 4, 5
 
 
 def synonyms(note: str | None) -> list[str]:
@@ -360,28 +360,27 @@ def learned_names(forms: DataFrame) -> DataFrame:
     return kept.select("key", F.lit(_LEARNED).alias("kind"), "code")
 
 
-def learned_surround(forms: DataFrame, entries: DataFrame) -> Surround:
-    """Runs of words beside names of several entries."""
+def learned_surround(forms: DataFrame, entries: DataFrame) -> DataFrame:
+    """key, kind: the runs of words beside names of several entries."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for w, code, n in zip(pdf["words"], pdf["code"], pdf["n"]):
+            for w, code in zip(pdf["words"], pdf["code"]):
                 ts = w.split()
                 for k in range(1, min(MOST_RUN, len(ts) - 1) + 1):
-                    out.append((0, generic(ts[:k]), "".join(ts[k:]), code, n))
-                    out.append((1, generic(ts[-k:]), "".join(ts[:-k]), code, n))
-            yield pd.DataFrame(out, columns=["side", "run", "key", "code", "n"])
+                    out.append((_BEFORE, generic(ts[:k]), "".join(ts[k:]), code))
+                    out.append((_BEHIND, generic(ts[-k:]), "".join(ts[:-k]), code))
+            yield pd.DataFrame(out, columns=["side", "run", "key", "code"])
 
-    split = forms.mapInPandas(run, "side int, run string, key string, code string, n long")
+    split = forms.mapInPandas(run, "side int, run string, key string, code string")
     # one row for a run and code first, so a frequent run isn't counted in one task
-    beside = split.join(entries.where(F.col("kind") != _CLASS_OF).select("key", "code"), ["key", "code"]).groupBy("side", "run", "code").agg(F.sum("n").alias("n"))
-    kept = beside.groupBy("side", "run").agg(F.count(F.lit(1)).alias("codes"), F.sum("n").alias("n")).where(F.col("codes") >= LEAST_CODES)
-    got = kept.orderBy(F.desc("n"), "side", "run").limit(MOST_WORDS).collect()
-    return Surround({r.run for r in got if r.side == 0}, {r.run for r in got if r.side == 1})
+    beside = split.join(entries.where(F.col("kind") != _CLASS_OF).select("key", "code"), ["key", "code"]).select("side", "run", "code").distinct()
+    kept = beside.groupBy("side", "run").agg(F.count(F.lit(1)).alias("codes")).where(F.col("codes") >= LEAST_CODES)
+    return cut(kept.select(F.col("run").alias("key"), F.col("side").alias("kind")))
 
 
-def lexicon(structures: DataFrame, types: DataFrame) -> tuple[DataFrame, Surround]:
+def lexicon(structures: DataFrame, types: DataFrame) -> tuple[DataFrame, DataFrame]:
     """key, kind, code of all entries, and the words around names. Of equal keys
     labels come first, then notes, then learned names, then the smaller code."""
     reference = reference_entries(types)
@@ -397,21 +396,26 @@ def lexicon(structures: DataFrame, types: DataFrame) -> tuple[DataFrame, Surroun
     return entries, learned_surround(forms, entries)
 
 
-def map_values(values: DataFrame, entries: DataFrame, surround: Surround, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
-    """``values(value string)`` to ``value, type_code, distance``."""
+def map_values(values: DataFrame, entries: DataFrame, surround: DataFrame | Surround, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
+    """``values(value string)`` to ``value, type_code, distance``. ``surround``:
+    the table of ``learned_surround``, or given words."""
     values = cut(values.select("value"))
     shards = max(1, -(-entries.count() // shard_entries))
     batches = max(1, -(-values.count() // BATCH_VALUES))
     tasks = shards * batches
     numbers = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     asked = values.select("value", numbers.alias("shard"), F.pmod(F.xxhash64("value"), F.lit(batches)).cast("int").alias("batch"))
-    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
-    known = entries.select("key", "kind", "code", shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).alias("batch"))
+    known = entries.select("key", "kind", "code", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"))
+    given = surround if isinstance(surround, Surround) else None
+    if given is None:
+        known = known.unionByName(surround.select("key", "kind", F.lit(None).cast("string").alias("code"), numbers.alias("shard")))
+    known = known.select("*", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).alias("batch"))
 
     def search(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        around = given or Surround(*(set(known["key"][known["kind"] == side]) for side in (_BEFORE, _BEHIND)))
         of_class = known["kind"] == _CLASS_OF
-        names = known[~of_class]
-        mapper = Mapper(dict(zip(names["key"], names["code"])), dict(zip(known["key"][of_class], known["code"][of_class])), surround)
+        names = known[~of_class & (known["kind"] < _BEFORE)]
+        mapper = Mapper(dict(zip(names["key"], names["code"])), dict(zip(known["key"][of_class], known["code"][of_class])), around)
         got = mapper.best(list(asked["value"]))
         return pd.DataFrame({
             "value": asked["value"], "distance": pd.array([g[0] if g else None for g in got], dtype="Int32"),

@@ -121,6 +121,17 @@ def test_shard_overflow(spark):
     assert ca.map_values(values, entries, ca.Surround(set(), set()), 20).where("type_code = 'T1' and distance = 0").count() == 50
 
 
+def test_all_surrounding_words(spark):
+    """More words around names than one would list by hand: all of them are known."""
+    types = spark.createDataFrame(TYPES, SCHEMA)
+    entries = ca.reference_entries(types).groupBy("key").agg(F.min("kind").alias("kind"), F.min("code").alias("code"))
+    runs = ["".join(2 * chr(97 + k // 26**j % 26) for j in range(3)) for k in range(2100)]
+    told = [(f"{r} {label}", code, 1) for r in runs for code, label, _ in TYPES[:3]]
+    surround = ca.learned_surround(spark.createDataFrame(told, "words string, code string, n long"), entries)
+    values = spark.createDataFrame([(f"{r} warehouse",) for r in runs], "value string")
+    assert ca.map_values(values, entries, surround).where("type_code = 'T5' and distance = 0").count() == 2100
+
+
 def test_hot_value(spark, monkeypatch):
     types = spark.createDataFrame(TYPES, SCHEMA)
     df = spark.range(900).selectExpr("id AS record_id", "if(id % 3 = 0, 'Warehouse', concat('retail stor ', id % 7)) AS StructureTypeRaw", "cast(null AS string) AS StructureID")
