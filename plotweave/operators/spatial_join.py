@@ -2,9 +2,10 @@
 
 Every polygon picks the grid level whose cells are at least as large as its box
 and registers in the at most four cells it touches; every point looks into one
-cell of each level in use. Large and small polygons thus cost the same, nothing
-is broadcast, and the join key is a column pair. Dense cells are split by
-adaptive skew handling.
+cell of each level in use. Large and small polygons thus cost the same, and the
+join key is a column pair. Nothing is broadcast: sizes are estimated from files,
+before rows are copied to their cells, so the joins ask for a merge. Dense cells
+are split by adaptive skew handling.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, leve
         standing = at.withColumns({"cx": F.floor(box["xmin"] / size), "cy": F.floor(box["ymin"] / size)})
     else:
         standing = keyed_polygons(polygons, cell)
-    pairs = keyed.join(standing, ["level", "cx", "cy", *by])
+    pairs = keyed.join(standing.hint("merge"), ["level", "cx", "cy", *by])
     pairs = pairs.where((x > box["xmin"]) & (x < box["xmax"]) & (y > box["ymin"]) & (y < box["ymax"]))
     if exact is not None:
         pairs = pairs.where(exact(x, y, F.col("rings")))
@@ -94,7 +95,7 @@ def boxes_meet(left: DataFrame, right: DataFrame, cell: float, by: Sequence[str]
         df = df.withColumn("level", at)
         return df.withColumn("_c", F.explode(_cells(box, _size(F.col("level"), cell)))).withColumns({"cx": F.col("_c.cx"), "cy": F.col("_c.cy")}).drop("_c")
 
-    pairs = keyed(left, "l_bbox").join(keyed(right, "r_bbox"), ["level", "cx", "cy", *by])
+    pairs = keyed(left, "l_bbox").join(keyed(right, "r_bbox").hint("merge"), ["level", "cx", "cy", *by])
     a, b, size = F.col("l_bbox"), F.col("r_bbox"), _size(F.col("level"), cell)
     meet = (F.greatest(a["xmin"], b["xmin"]) < F.least(a["xmax"], b["xmax"])) & (F.greatest(a["ymin"], b["ymin"]) < F.least(a["ymax"], b["ymax"]))
     here = (F.floor(F.greatest(a["xmin"], b["xmin"]) / size) == F.col("cx")) & (F.floor(F.greatest(a["ymin"], b["ymin"]) / size) == F.col("cy"))

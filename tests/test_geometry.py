@@ -147,6 +147,15 @@ def test_no_nested_loops(spark):
     assert none.count() == 0
 
 
+def test_small_estimates_are_not_broadcast(spark):
+    """What a table's files promise says little of its rows in the cells."""
+    box = F.struct(*[F.lit(v).alias(c) for c, v in (("xmin", 0.0), ("ymin", 0.0), ("xmax", 1.0), ("ymax", 1.0))])
+    polygons = spark.range(1).select("id", box.alias("bbox"), g.rectangle(*map(F.lit, (0.0, 0.0, 1.0, 1.0))).alias("rings"))
+    points = spark.range(1).selectExpr("id AS p", "0.5D AS x", "0.5D AS y")
+    joins = points_in_polygons(points, polygons, 1.0), boxes_meet(polygons.select("id", "bbox"), polygons.select(F.col("id").alias("b"), "bbox"), 1.0)
+    assert all("Broadcast" not in j._jdf.queryExecution().executedPlan().toString() and j.count() == 1 for j in joins)
+
+
 def test_utm_and_tiles(spark):
     df = spark.createDataFrame([(-87.6, 41.85, 0.001)], "x double, y double, d double")
     rings = g.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("d"), F.col("y") + F.col("d"))
